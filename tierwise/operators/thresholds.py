@@ -43,7 +43,8 @@ def threshold_grid(scored: DataFrame) -> DataFrame:
     points = spark.createDataFrame(
         [(-1, None), *enumerate(GRID)], "grid_at int, threshold double"
     )
-    joined = F.broadcast(points).join(binned, F.col("grid_at") == F.col("at"), "left")
+    # Both sides hold at most 201 rows.
+    joined = points.join(F.broadcast(binned), F.col("grid_at") == F.col("at"), "left")
     reached = Window.orderBy(F.desc("grid_at")).rowsBetween(Window.unboundedPreceding, 0)
     everything = Window.partitionBy()  # 201 rows
     counts = joined.select(
