@@ -83,6 +83,8 @@ class _Shape:
 
     def __init__(self, schema: T.StructType, carry: list[str], with_vectors: bool):
         self.carry, self.with_vectors = carry, with_vectors
+        self.vector = T.StructField("vector", T.ArrayType(T.DoubleType(), True))
+        schema = T.StructType([self.vector if f.name == "vector" else f for f in schema])
         kept = ["key", *carry, *(["vector"] if with_vectors else [])]
         item = T.StructType([T.StructField("d2", T.DoubleType()), *[schema[c] for c in kept]])
         self.neighbors = T.StructField("neighbors", T.ArrayType(item))
@@ -100,6 +102,12 @@ class _Shape:
         self.partial = T.StructType([schema["key"], self.neighbors])
 
 
+def _plain(table: pa.Table) -> pa.Table:
+    """The table with vectors of nullable elements, as the declared results have them."""
+    at = table.schema.get_field_index("vector")
+    return table.set_column(at, "vector", table.column("vector").cast(pa.list_(pa.float64())))
+
+
 def _matrix(table: pa.Table, name: str = "vector") -> np.ndarray:
     column = table.column(name).combine_chunks()
     if isinstance(column, pa.ChunkedArray):
@@ -175,6 +183,7 @@ def _lists(shape: _Shape, candidates: pa.Table, qi, ci, d2, n_queries: int) -> p
 
 def _within(shape: _Shape, k: int):
     def answer(table: pa.Table) -> pa.Table:
+        table = _plain(table)
         asked = table.filter(table.column("is_query"))
         qi, ci, d2 = _nearest(_matrix(asked), _matrix(table), _key_rank(table), k)
         lists = _lists(shape, table, qi, ci, d2, len(asked))
@@ -202,7 +211,11 @@ def _by_blocks(rows: DataFrame, shape: _Shape, k: int, size: int, block_rows: in
     placed = points.mapInArrow(
         _place(pivots),
         T.StructType(
-            [*points.schema, T.StructField("cell", T.IntegerType()), T.StructField("reach", T.DoubleType())]
+            [
+                *[shape.vector if f.name == "vector" else f for f in points.schema],
+                T.StructField("cell", T.IntegerType()),
+                T.StructField("reach", T.DoubleType()),
+            ]
         ),
     )
     ranged = placed.repartitionByRange(n_blocks, "cell", "reach", "key")
@@ -280,7 +293,7 @@ def _to_pivots(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 def _place(pivots: np.ndarray):
     def place(batches):
         for batch in batches:
-            table = pa.Table.from_batches([batch])
+            table = _plain(pa.Table.from_batches([batch]))
             x = _matrix(table)
             if not len(x):
                 continue
@@ -300,6 +313,7 @@ def _local(shape: _Shape, k: int, pivots: np.ndarray, spans: np.ndarray):
     pivot_gaps = _to_pivots(pivots, pivots)
 
     def answer(table: pa.Table) -> pa.Table:
+        table = _plain(table)
         home = table.column("block")[0].as_py()
         asked = table.filter(table.column("is_query"))
         n = len(asked)
@@ -359,6 +373,7 @@ def _local(shape: _Shape, k: int, pivots: np.ndarray, spans: np.ndarray):
 
 def _visit(shape: _Shape, k: int):
     def answer(visitors: pa.Table, hosts: pa.Table) -> pa.Table:
+        visitors, hosts = _plain(visitors), _plain(hosts)
         bound = visitors.column("bound").to_numpy()
         qi, ci, d2 = _nearest(_matrix(visitors), _matrix(hosts), _key_rank(hosts), k, bound)
         lists = _lists(shape, hosts, qi, ci, d2, len(visitors))

@@ -152,17 +152,24 @@ def allknn_clean(
     clean_class: int = 0,
     mode: str = "sequential",
     wrong_in: str = "any",
+    stop_when_smaller: bool = True,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Edited nearest neighbours for k = 1..n.
 
-    ``sequential`` lets round k vote among the survivors of round k-1.  ``static`` takes
-    all votes from one neighbour list and drops rows wrong in ``any`` or in ``all`` rounds.
+    ``sequential`` lets round k vote among the survivors of round k-1, and with
+    ``stop_when_smaller`` ends after the round that makes the cleaned class the smaller
+    one.  ``static`` takes all votes from one neighbour list and drops rows wrong in
+    ``any`` or in ``all`` rounds.
     """
     if mode == "sequential":
         left = rows
+        common = F.col("label") == clean_class
         for k in range(1, n + 1):
             left = checkpointed(enn_clean(left, k, rule, clean_class, block_rows))
+            sizes = left.agg(F.count_if(common).alias("many"), F.count_if(~common).alias("few")).first()
+            if stop_when_smaller and sizes["many"] < sizes["few"]:
+                break
         return left
     if mode != "static" or wrong_in not in ("any", "all"):
         raise ValueError("mode is sequential or static; wrong_in is any or all")
