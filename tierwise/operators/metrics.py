@@ -13,6 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tierwise.functions.lineage import checkpointed
 from tierwise.functions.ranking import take_by_hash
 
 BANDS = 2048
@@ -201,6 +202,7 @@ def top_capture(
     k = F.greatest(F.lit(1), F.ceil(F.col("total") * F.lit(float(top_pct))))
     at_cut = (F.col("cn") - F.col("n") < k) & (k <= F.col("cn"))
     # One row per group: what lies above the cut score and what is still needed from it.
+    # Written, because the ties below are looked at more than once.
     cut = curve.groupBy(*by).agg(
         F.max(k).alias("k"),
         F.max("positives").alias("positives"),
@@ -209,6 +211,7 @@ def top_capture(
         F.max(F.when(at_cut, F.col("ctp") - F.col("tp"))).alias("_above"),
         F.max(F.when(at_cut, k - F.col("cn") + F.col("n"))).alias("_need"),
     )
+    cut = checkpointed(cut)
     needs = cut.select(*[F.col(c).alias(f"_c_{c}") for c in by], F.col("_cut").alias("_c_p"), "_need")
     if not by:
         needs = F.broadcast(needs)
