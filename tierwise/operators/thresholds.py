@@ -65,11 +65,11 @@ def threshold_grid(scored: DataFrame) -> DataFrame:
     )
 
 
-# The first grid point wins among equals, hence the ascending threshold at the end.
+# Metrics to maximise, in order; the first grid point wins among equals.
 _ORDERS = {
-    "maximize_f1": [F.desc("f1"), F.desc("recall"), F.desc("precision"), F.asc("threshold")],
-    "maximize_f2": [F.desc("f2"), F.desc("recall"), F.desc("precision"), F.asc("threshold")],
-    "maximize_recall": [F.desc("recall"), F.desc("precision"), F.desc("f1"), F.asc("threshold")],
+    "maximize_f1": ("f1", "recall", "precision"),
+    "maximize_f2": ("f2", "recall", "precision"),
+    "maximize_recall": ("recall", "precision", "f1"),
 }
 STRATEGIES = (*_ORDERS, "recall_100", "recall_at_min_precision")
 
@@ -87,7 +87,7 @@ def select_threshold(
         raise ValueError(f"unknown threshold strategy {strategy!r}; use one of {list(STRATEGIES)}")
     grid = threshold_grid(scored)
     if name in _ORDERS:
-        best = grid.orderBy(*_ORDERS[name]).limit(1)
+        best = grid.orderBy(*[F.desc(m) for m in _ORDERS[name]], "threshold").limit(1)
     elif name == "recall_100":
         best = _below_lowest_positive(scored, grid, safety_margin, max_threshold)
     else:
