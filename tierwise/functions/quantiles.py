@@ -30,7 +30,7 @@ class _Target:
     prob: float
     first: int  # 0-based ranks whose values are interpolated
     last: int
-    weight: float
+    at: float
     low: float = -math.inf
     high: float = math.inf
     below: int = 0
@@ -63,33 +63,42 @@ def exact_quantiles(
         for p in probs:
             if sizes[c]:
                 at = (sizes[c] - 1) * float(p)
-                targets.append(
-                    _Target(c, p, math.floor(at), math.ceil(at), at - math.floor(at), inside=sizes[c])
-                )
+                targets.append(_Target(c, p, math.floor(at), math.ceil(at), at, inside=sizes[c]))
     _narrow(df, targets, small)
     values = _pick(df, targets)
     out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
     for i, t in enumerate(targets):
         lo, hi = values[(i, t.first)], values[(i, t.last)]
-        out[t.column][list(probs).index(t.prob)] = lo + (hi - lo) * t.weight
+        # Weighted as ``percentile`` does, to the last digit.
+        value = lo if t.first == t.last or lo == hi else (t.last - t.at) * lo + (t.at - t.first) * hi
+        out[t.column][list(probs).index(t.prob)] = value
     return out
 
 
 def _narrow(df: DataFrame, targets: list[_Target], small: int) -> None:
     open_targets = [t for t in targets if t.inside > small]
     while open_targets:
+        # Targets that look at the same values share one sketch.
+        shared: dict[tuple, list[_Target]] = {}
+        for t in open_targets:
+            shared.setdefault((t.column, t.low, t.high), []).append(t)
         exprs = []
-        for i, t in enumerate(open_targets):
-            lo = max(0.0, (t.first - t.below) / t.inside - 2 / ACCURACY)
-            hi = min(1.0, (t.last - t.below + 1) / t.inside + 2 / ACCURACY)
-            value = F.when(t.condition(), as_double(t.column))
-            exprs.append(
-                F.percentile_approx(value, F.array(F.lit(lo), F.lit(hi)), F.lit(ACCURACY)).alias(f"b{i}")
-            )
-        bounds = df.agg(*exprs).first()
+        for i, group in enumerate(shared.values()):
+            probs = []
+            for t in group:
+                probs.append(max(0.0, (t.first - t.below) / t.inside - 2 / ACCURACY))
+                probs.append(min(1.0, (t.last - t.below + 1) / t.inside + 2 / ACCURACY))
+            value = F.when(group[0].condition(), as_double(group[0].column))
+            points = F.array(*[F.lit(p) for p in probs])
+            exprs.append(F.percentile_approx(value, points, F.lit(ACCURACY)).alias(f"b{i}"))
+        row = df.agg(*exprs).first()
+        bounds = {}
+        for i, group in enumerate(shared.values()):
+            for j, t in enumerate(group):
+                bounds[id(t)] = (row[i][2 * j], row[i][2 * j + 1])
         checks = []
         for i, t in enumerate(open_targets):
-            lo, hi = bounds[i]
+            lo, hi = bounds[id(t)]
             value = as_double(t.column)
             checks.append(F.count_if(value < F.lit(lo)).alias(f"l{i}"))
             checks.append(F.count_if(value.between(F.lit(lo), F.lit(hi))).alias(f"m{i}"))
@@ -100,36 +109,48 @@ def _narrow(df: DataFrame, targets: list[_Target], small: int) -> None:
             covered = below <= t.first and t.last < below + inside
             if not covered or inside == t.inside:
                 continue  # ties only: the rest is settled on distinct values
-            (t.low, t.high), t.below, t.inside = bounds[i], below, inside
+            (t.low, t.high), t.below, t.inside = bounds[id(t)], below, inside
             if t.inside > small and t.low < t.high:
                 still.append(t)
         open_targets = still
 
 
 def _pick(df: DataFrame, targets: list[_Target]) -> dict[tuple[int, int], float]:
+    out = {}
+    open_targets = {}
+    for i, t in enumerate(targets):
+        if t.low == t.high:  # the bracket closed on one value
+            out[(i, t.first)] = out[(i, t.last)] = t.low
+        else:
+            open_targets[i] = t
+    if not open_targets:
+        return out
+    inside = F.lit(False)
+    for t in open_targets.values():
+        inside = inside | F.coalesce(t.condition(), F.lit(False))
     cells = F.array(
         *[
             F.when(
                 t.condition(),
                 F.struct(F.lit(i).alias("target"), as_double(t.column).alias("value")),
             )
-            for i, t in enumerate(targets)
+            for i, t in open_targets.items()
         ]
     )
     counted = (
-        df.select(F.explode(F.array_compact(cells)).alias("cell"))
+        df.where(inside)
+        .select(F.explode(F.array_compact(cells)).alias("cell"))
         .groupBy("cell.target", "cell.value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     upto = Window.partitionBy("target").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     counted = counted.withColumn("upto", F.sum("n").over(upto))
     wanted = F.lit(False)
-    for i, t in enumerate(targets):
+    for i, t in open_targets.items():
         for rank in {t.first - t.below, t.last - t.below}:
             wanted = wanted | (
                 (F.col("target") == i) & (F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto"))
             )
-    out = {}
     for row in counted.where(wanted).collect():
         t = targets[row["target"]]
         for rank in (t.first, t.last):
