@@ -47,17 +47,15 @@ def exact_quantiles(
     columns = list(columns)
     if not columns:
         return {}
-    counts = df.agg(*[F.count(as_double(c)).alias(f"c{i}") for i, c in enumerate(columns)]).first()
-    sizes = {c: counts[i] for i, c in enumerate(columns)}
-    if max(sizes.values()) <= small:
+    if df.count() <= small:
+        points = F.array(*[F.lit(float(p)) for p in probs])
         row = df.agg(
-            *[
-                F.percentile(as_double(c), F.array(*[F.lit(float(p)) for p in probs])).alias(f"c{i}")
-                for i, c in enumerate(columns)
-            ]
+            *[F.percentile(as_double(c), points).alias(f"c{i}") for i, c in enumerate(columns)]
         ).first()
         return {c: list(row[i]) if row[i] is not None else [None] * len(probs) for i, c in enumerate(columns)}
 
+    counts = df.agg(*[F.count(as_double(c)).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    sizes = {c: counts[i] for i, c in enumerate(columns)}
     targets = []
     for c in columns:
         for p in probs:

@@ -114,10 +114,12 @@ class RiskEstimator(Estimator):
 
     def _fit(self, train: DataFrame) -> PipelineModel:
         spec = self.spec
-        strategy_name(spec.strategy)
+        strategy = strategy_name(spec.strategy)
         prepare = spec.preprocessor().fit(train)
         rows = checkpointed(to_vectors(prepare.transform(train), spec.target, spec.key))
-        balanced = resample(rows, spec.strategy, spec.seed, **spec.sampler)
+        balanced = resample(rows, strategy, spec.seed, **spec.sampler)
+        if strategy != "none":
+            balanced = checkpointed(balanced)  # the trees pass over it many times
         model = fit_boosted(balanced, spec.params, spec.seed)
         return PipelineModel(stages=[prepare, model])
 

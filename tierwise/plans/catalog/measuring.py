@@ -323,6 +323,29 @@ ISOTONIC = f"""with {SCORED_TIES}, g as (select p, sum(y) as pos, count(*) as n
 select s.key, s.y, round(s.p, 9) as p, round(c.calibrated, 9) as calibrated from s join c on s.p = c.p"""
 
 
+def _sigmoid_sql(steps: int = 12) -> str:
+    """Platt's fit by Newton steps over the distinct scores."""
+    parts = [
+        SCORED,
+        "tg as (select (sum(y) + 1.0) / (sum(y) + 2.0) as hi, 1.0 / (count(*) - sum(y) + 2.0) as lo from s)",
+        "g as materialized (select p, cast(count(*) as double) as n, "
+        "cast(sum(case when y = 1 then hi else lo end) as double) as t from s, tg group by p)",
+        "w0 as (select 0.0::double as a, 0.0::double as b)",
+    ]
+    for i in range(steps):
+        parts.append(
+            f"""h{i} as (select any_value(a) as a, any_value(b) as b, sum(n * q - t) as gb, sum((n * q - t) * p) as ga,
+   sum(n * q * (1 - q)) as bb, sum(n * q * (1 - q) * p) as ab, sum(n * q * (1 - q) * p * p) as aa
+   from (select g.*, a, b, 1 / (1 + exp(-(a * p + b))) as q from g, w{i})),
+ w{i + 1} as materialized (select a - (bb * ga - ab * gb) / (aa * bb - ab * ab) as a,
+   b - (aa * gb - ab * ga) / (aa * bb - ab * ab) as b from h{i})"""
+        )
+    return (
+        f"with {', '.join(parts)} select key, y, round(p, 9) as p, "
+        f"round(1 / (1 + exp(-(a * p + b))), 4) as calibrated from s, w{steps}"
+    )
+
+
 QUERIES = {
     "confusion_matrix": (
         lambda spark, sf: M.confusion_matrix(scored(spark, sf), CUT),
@@ -429,8 +452,10 @@ QUERIES = {
         ISOTONIC,
     ),
     "calibrate_sigmoid": (
-        lambda spark, sf: rounded(calibrate_sigmoid(scored(spark, sf), scored(spark, sf))),
-        None,
+        lambda spark, sf: rounded(calibrate_sigmoid(scored(spark, sf), scored(spark, sf))).withColumn(
+            "calibrated", F.round("calibrated", 4)
+        ),
+        _sigmoid_sql(),
     ),
     "cv_summary": (cv_summary, _cv_sql()),
     "search_trials": (search_trials, _trials_sql()),
