@@ -1,6 +1,6 @@
 """Exact k-nearest-neighbour self-join.
 
-Up to ``block_rows`` points are answered by one task.  Beyond that:
+Up to two blocks of points are answered by one task.  Beyond that:
 
 1. Of equal vectors only the k+1 smallest keys can ever be neighbours, so the rest are set
    aside and share the answer of their vector at the end.
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from tierwise.functions.hashing import order_hash
 from tierwise.functions.lineage import checkpointed
 
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 2048
 MAX_BLOCKS = 1_000_000  # bounds the block table every task reads; blocks grow beyond it
 MAX_PIVOTS = 1024
 CHUNK_CELLS = 4_000_000  # query x candidate distances held at a time
@@ -59,7 +59,7 @@ def nearest_neighbors(
     )
     shape = _Shape(rows.schema, list(carry), with_vectors)
     size = rows.count()
-    if size <= block_rows:
+    if size <= 2 * block_rows:
         block = rows.withColumn("block", F.lit(0)).groupBy("block")
         found = block.applyInArrow(_within(shape, k + 1), shape.answer)
         found = found.select("key", "vector", *carry, "neighbors")

@@ -6,6 +6,7 @@ import statistics
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
+from functools import reduce
 from threading import Lock
 
 from pyspark.ml.functions import array_to_vector
@@ -30,16 +31,19 @@ CV_METRICS = ("pr_auc", "roc_auc", "recall", "precision", "f1", "f2", "specifici
 
 
 def baseline_cv(
-    train: DataFrame, spec: TrainSpec, n_splits: int, threshold: float
+    train: DataFrame, spec: TrainSpec, n_splits: int, threshold: float, parallelism: int = 1
 ) -> DataFrame:
-    """Metric row per fold.  Folds are scored one by one and measured together."""
+    """Metric row per fold.  ``parallelism`` folds are fitted at a time, all are measured together."""
     folds = checkpointed(stratified_folds(train, spec.target, spec.key, n_splits, spec.seed, "_fold"))
-    scored = None
-    for fold in range(n_splits):
+
+    def held_out(fold: int) -> DataFrame:
         model = RiskEstimator(spec).fit(folds.where(F.col("_fold") != fold).drop("_fold"))
         held = folds.where(F.col("_fold") == fold).drop("_fold")
-        part = score(model, held, spec.key, spec.target).withColumn("fold", F.lit(fold + 1))
-        scored = part if scored is None else scored.unionByName(part)
+        return score(model, held, spec.key, spec.target).withColumn("fold", F.lit(fold + 1))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        parts = list(pool.map(held_out, range(n_splits)))
+    scored = reduce(DataFrame.unionByName, parts)
     return classification_metrics(checkpointed(scored), threshold, ["fold"])
 
 
@@ -160,7 +164,7 @@ def random_search(
     drawn = [r.asDict(recursive=True) for r in search_trials(
         spark.range(n_trials).withColumnRenamed("id", "trial"), spec.strategy, spec.seed
     ).orderBy("trial").collect()]  # n_trials rows
-    folds = _prepare_folds(train, spec, n_splits)
+    folds = _prepare_folds(train, spec, n_splits, parallelism)
     history: dict[int, list[float]] = {}
     complete: set[int] = set()
     states: dict[int, str] = {}
@@ -219,18 +223,20 @@ def tuned(spec: TrainSpec, result: SearchResult) -> TrainSpec:
     return replace(spec, params=result.best_params, sampler=result.best_sampler)
 
 
-def _prepare_folds(train: DataFrame, spec: TrainSpec, n_splits: int) -> list[_Fold]:
+def _prepare_folds(train: DataFrame, spec: TrainSpec, n_splits: int, parallelism: int) -> list[_Fold]:
     tagged = checkpointed(stratified_folds(train, spec.target, spec.key, n_splits, spec.seed, "_fold"))
-    out = []
-    for fold in range(n_splits):
+
+    def prepare_fold(fold: int) -> _Fold:
         learn = tagged.where(F.col("_fold") != fold).drop("_fold")
         held = tagged.where(F.col("_fold") == fold).drop("_fold")
         prepare = spec.preprocessor().fit(learn)
         rows = checkpointed(to_vectors(prepare.transform(learn), spec.target, spec.key))
         if strategy_name(spec.strategy) != "none":
             rows = checkpointed(borderline_smote(rows, seed=spec.seed))
-        out.append(_Fold(rows, checkpointed(to_vectors(prepare.transform(held), spec.target, spec.key))))
-    return out
+        return _Fold(rows, checkpointed(to_vectors(prepare.transform(held), spec.target, spec.key)))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        return list(pool.map(prepare_fold, range(n_splits)))
 
 
 def _cleaned(fold: _Fold, strategy: str, sampler: dict, lock: Lock) -> DataFrame:

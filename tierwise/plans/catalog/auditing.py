@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tierwise.functions.lineage import shared_dir
+from tierwise.functions.lineage import checkpointed, shared_dir
 from tierwise.operators import audit, cleaning, imputation, split
 from tierwise.operators.preprocessing import build_preprocessor
 from tierwise.plans.catalog.bindings import (
@@ -215,7 +215,7 @@ from c left join kc on c.cat = kc.cat left join kg on c.grp = kg.grp"""
 
 
 def preprocess_features(spark, sf):
-    df = documents(spark, sf, gaps=True)
+    df = checkpointed(documents(spark, sf, gaps=True))  # the fit passes over it many times
     numeric, cats = ["n_chars", "n_words", "n_unique", "n_lines"], ["lang", "source"]
     fitted = build_preprocessor(numeric, cats, categorical_rounds=1, categorical_trees=3).fit(df)
     return rounded(fitted.transform(df).select("key", *numeric, *cats))

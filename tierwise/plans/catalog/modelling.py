@@ -47,13 +47,13 @@ def train_score(spark, sf):
 
 def baseline_cv(spark, sf):
     rows = checkpointed(documents(spark, sf).drop("toxic"))
-    return rounded(search.baseline_cv(rows, _spec("poor", "borderline_smote"), 2, 0.2))
+    return rounded(search.baseline_cv(rows, _spec("poor", "borderline_smote"), 2, 0.2, parallelism=2))
 
 
 def random_search(spark, sf):
     rows = checkpointed(documents(spark, sf).drop("poor"))
     limits = {"n_estimators": 3, "max_depth": 3, "reg_alpha": 0.0, "reg_lambda": 1.0}
-    found = search.random_search(rows, _spec(strategy="borderline_smote_ncr"), 2, 2, "pr_auc", limits=limits)
+    found = search.random_search(rows, _spec(strategy="borderline_smote_ncr"), 2, 2, "pr_auc", limits=limits, parallelism=2)
     return rounded(found.trials.select("trial", "value", "state", "sampler.*"))
 
 

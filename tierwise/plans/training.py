@@ -96,7 +96,7 @@ def run_training(
         c.clip_lower, c.clip_upper, c.numeric_rounds, c.categorical_rounds, c.categorical_trees, c.seed,
     )
 
-    baseline = search.baseline_cv(parts["train"], spec, c.n_splits, c.baseline_threshold)
+    baseline = search.baseline_cv(parts["train"], spec, c.n_splits, c.baseline_threshold, c.parallelism)
     found = None
     if c.n_trials:
         found = search.random_search(
