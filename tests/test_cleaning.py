@@ -122,7 +122,7 @@ def test_decode_rounds_half_to_even_and_stays_in_range(spark):
     assert out == ["p", "r", "r", "p", "s"]
 
 
-def test_category_chain_uses_what_other_columns_say(spark, tmp_path):
+def test_category_chain_uses_what_other_columns_say(spark, tmp_path, monkeypatch):
     rows = [(i, "xyz"[i % 3] if i % 10 else None, "uvw"[i % 3]) for i in range(300)]
     df = spark.createDataFrame(rows, "key long, s string, t string")
     chain = imputation.ChainedCategoryImputer(inputCols=["s", "t"], maxIter=1, numTrees=3)
@@ -130,6 +130,8 @@ def test_category_chain_uses_what_other_columns_say(spark, tmp_path):
     out = model.transform(df)
     assert out.where("s is null").isEmpty() and out.count() == 300
     assert out.where("translate(t, 'uvw', 'xyz') <> s").isEmpty()
+    monkeypatch.setattr(imputation, "FEW_COMBINATIONS", 0)
+    assert model.transform(df).exceptAll(out).isEmpty()
     # An unseen category is imputed like a missing one.
     new = spark.createDataFrame([(1, "other", "v"), (2, None, None)], "key long, s string, t string")
     got = {r["key"]: (r["s"], r["t"]) for r in model.transform(new).collect()}

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tierwise.functions.hashing import order_hash
 
 SLICE_DIGITS = 4
+FEW_GROUPS = 100_000  # up to here one row per group may be broadcast
 
 
 def _sliced(df: DataFrame, key: str, seed: int) -> DataFrame:
@@ -34,6 +35,8 @@ def hash_cuts(df: DataFrame, by: Sequence[str], key: str, seed: int, ranks: Colu
 
     ``ranks`` is an array of 1-based ranks written over ``_total``, the group size.
     Returns ``by``, ``cut`` (position in ``ranks``), ``cut_hash`` and ``cut_key``.
+    There must be few groups: their cuts are broadcast, so that only rows of the slices
+    that hold a cut are shuffled.
     """
     by = list(by)
     sliced = _sliced(df.select(*by, key), key, seed)
@@ -43,7 +46,7 @@ def hash_cuts(df: DataFrame, by: Sequence[str], key: str, seed: int, ranks: Colu
     hit = wanted.where("_upto - _n < _rank and _rank <= _upto").select(
         *by, "_slice", "cut", (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_need")
     )
-    edge = _null_safe_join(sliced, hit, [*by, "_slice"])
+    edge = _null_safe_join(sliced, hit, [*by, "_slice"], small=True)
     within = Window.partitionBy(*by, "_slice", "cut").orderBy("_hash", key)
     return (
         edge.withColumn("_rn", F.row_number().over(within))
@@ -67,9 +70,12 @@ def hash_rank(df: DataFrame, key: str, seed: int, out: str, by: Sequence[str] =
 
 
 def take_by_hash(
-    df: DataFrame, by: Sequence[str], key: str, seed: int, need: str, value: Column
+    df: DataFrame, by: Sequence[str], key: str, seed: int, need: str, value: Column, few: bool
 ) -> DataFrame:
-    """Sum ``value`` over the first ``need`` rows (a column) of each group's hash order."""
+    """Sum ``value`` over the first ``need`` rows (a column) of each group's hash order.
+
+    ``few`` says that the groups are known to be FEW_GROUPS at most.
+    """
     by = list(by)
     sliced = _sliced(df.select(*by, key, need, value.alias("_value")), key, seed)
     counts = _slice_counts(
@@ -81,7 +87,7 @@ def take_by_hash(
     )
     within = Window.partitionBy(*by, "_slice").orderBy("_hash", key)
     part = (
-        _null_safe_join(sliced, hit, [*by, "_slice"])
+        _null_safe_join(sliced, hit, [*by, "_slice"], small=few)
         .withColumn("_rn", F.row_number().over(within))
         .where("_rn <= _left")
         .groupBy(*by)
@@ -90,8 +96,12 @@ def take_by_hash(
     return whole.unionByName(part).groupBy(*by).agg(F.sum("_got").alias("taken"))
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+def _null_safe_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], small: bool = False
+) -> DataFrame:
     """Inner join that lets a null group meet itself and keeps one copy of the key columns."""
     right = right.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in right.columns])
+    if small:
+        right = F.broadcast(right)
     cond = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on]
     return left.join(right, cond).drop(*[f"_r_{c}" for c in on])

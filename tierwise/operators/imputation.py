@@ -37,6 +37,7 @@ from tierwise.operators.cleaning import (
     require_numeric,
 )
 
+FEW_COMBINATIONS = 100_000  # imputed code combinations that may be broadcast
 DRIVER_CELLS = 20_000_000  # pattern moments held on the driver: 160 MB at most
 
 
@@ -334,7 +335,7 @@ class ChainedCategoryImputer(Estimator, _Columns):
     def _fit(self, df: DataFrame) -> "ChainedCategoryImputerModel":
         columns = self.getInputCols()
         labels = categories(df, columns)
-        names = [f"v{i}" for i in range(len(columns))]
+        names = [f"_v{i}" for i in range(len(columns))]
         coded = codes(df.select(*columns), labels, unknown=None).toDF(*names)
         combos = checkpointed(coded.groupBy(*names).agg(F.count(F.lit(1)).cast("double").alias("n")))
         frequent = modes(df, columns)
@@ -362,7 +363,7 @@ class ChainedCategoryImputer(Estimator, _Columns):
         return ChainedCategoryImputerModel(columns, learned, [m for _, m in forests])
 
     def _forest(self, state, names, c, widest) -> RandomForestRegressionModel | None:
-        known = state.where(~F.col(f"g{c}"))
+        known = state.where(~F.col(f"_g{c}"))
         if known.isEmpty():
             return None
         others = [v for i, v in enumerate(names) if i != c]
@@ -384,9 +385,9 @@ class ChainedCategoryImputer(Estimator, _Columns):
 
 
 def _with_start(df: DataFrame, names: Sequence[str], start: Sequence[float]) -> DataFrame:
-    flags = {f"g{i}": F.col(v).isNull() for i, v in enumerate(names)}
+    flags = {f"_g{i}": F.col(v).isNull() for i, v in enumerate(names)}
     filled = {v: F.coalesce(F.col(v), F.lit(s)) for v, s in zip(names, start)}
-    originals = {f"o{i}": F.col(v) for i, v in enumerate(names)}
+    originals = {f"_o{i}": F.col(v) for i, v in enumerate(names)}
     return df.withColumns({**flags, **originals}).withColumns(filled)
 
 
@@ -394,13 +395,13 @@ def _predict(state: DataFrame, names: Sequence[str], c: int, model) -> DataFrame
     others = [v for i, v in enumerate(names) if i != c]
     ready = VectorAssembler(inputCols=others, outputCol="_f").transform(state)
     guessed = model.setFeaturesCol("_f").setPredictionCol("_guess").transform(ready)
-    value = F.when(F.col(f"g{c}"), F.col("_guess")).otherwise(F.col(names[c]))
+    value = F.when(F.col(f"_g{c}"), F.col("_guess")).otherwise(F.col(names[c]))
     return guessed.withColumn(names[c], value).drop("_f", "_guess")
 
 
 def _largest_change(before: DataFrame, after: DataFrame, names: Sequence[str]) -> float:
     """Largest total change of a combination between two rounds."""
-    keys = [f"o{i}" for i in range(len(names))]
+    keys = [f"_o{i}" for i in range(len(names))]
     old = before.select(*[F.col(k).alias(f"k_{k}") for k in keys], *[F.col(v).alias(f"b_{v}") for v in names])
     paired = after.join(old, [F.col(k).eqNullSafe(F.col(f"k_{k}")) for k in keys])
     moved = sum((F.abs(F.col(v) - F.col(f"b_{v}")) for v in names), F.lit(0.0))
@@ -419,33 +420,36 @@ class ChainedCategoryImputerModel(Model, _Columns, MLReadable, MLWritable):
         if not columns:
             return df
         labels = self.learned["labels"]
-        names = [f"v{i}" for i in range(len(columns))]
+        names = [f"_v{i}" for i in range(len(columns))]
         temp = [f"_code_of_{i}" for i in range(len(columns))]
-        coded = codes(df.withColumns({t: F.col(f"`{c}`") for t, c in zip(temp, columns)}),
-                      {t: labels[c] for t, c in zip(temp, columns)}, unknown=None)
-        if df.isStreaming:
-            renamed = coded.withColumnsRenamed(dict(zip(temp, names)))
-            imputed = self._replay(renamed, names)
-            values = {c: F.col(v) for c, v in zip(columns, names)}
-            out = imputed.withColumns({c: self._text(c, F.col(c), values[c]) for c in columns})
-            return out.select(*df.columns)
-        # Incomplete code combinations are few: impute each once and join it back.
+        copied = df.withColumns({t: F.col(f"`{c}`") for t, c in zip(temp, columns)})
+        coded = codes(copied, {t: labels[c] for t, c in zip(temp, columns)}, unknown=None)
         gap = F.lit(False)
         for t in temp:
             gap = gap | F.col(t).isNull()
-        combos = coded.where(gap).select(*[F.col(t).alias(v) for t, v in zip(temp, names)]).distinct()
-        imputed = self._replay(combos, names)
-        same = [F.col(t).eqNullSafe(F.col(f"o{i}")) for i, t in enumerate(temp)]
-        joined = coded.join(imputed, same, "left")
-        return joined.select(
+        imputed = None if df.isStreaming else self._by_combination(coded, temp, names, gap)
+        if imputed is None:  # every row by itself
+            filled = self._replay(coded.withColumnsRenamed(dict(zip(temp, names))), names)
+            value = {c: F.col(v) for c, v in zip(columns, names)}
+        else:
+            same = [F.col(t).eqNullSafe(F.col(f"_o{i}")) for i, t in enumerate(temp)]
+            filled = coded.join(F.broadcast(imputed), same, "left")
+            value = {c: F.coalesce(F.col(v), F.col(t)) for c, v, t in zip(columns, names, temp)}
+        return filled.select(
             *[
-                self._text(c, F.col(f"`{c}`"), F.coalesce(F.col(names[columns.index(c)]), F.col(temp[columns.index(c)]))).alias(c)
-                if c in columns
-                else F.col(f"`{c}`")
+                self._text(c, F.col(f"`{c}`"), value[c]).alias(c) if c in columns else F.col(f"`{c}`")
                 for c in df.columns
             ]
         )
 
+    def _by_combination(self, coded, temp, names, gap: Column) -> DataFrame | None:
+        """Each incomplete code combination imputed once, if there are few enough to broadcast."""
+        combos = coded.where(gap).select(*[F.col(t).alias(v) for t, v in zip(temp, names)]).distinct()
+        combos = checkpointed(combos)
+        if combos.count() > FEW_COMBINATIONS:
+            return None
+        return checkpointed(self._replay(combos, names))
+
     def _replay(self, coded: DataFrame, names: Sequence[str]) -> DataFrame:
         state = _with_start(coded, names, self.learned["start"])
         for c, model in zip(self.learned["order"], self.forests):

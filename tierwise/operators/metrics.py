@@ -14,7 +14,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tierwise.functions.lineage import checkpointed
-from tierwise.functions.ranking import take_by_hash
+from tierwise.functions.ranking import FEW_GROUPS, take_by_hash
 
 BANDS = 2048
 TIE_SEED = 0
@@ -213,11 +213,12 @@ def top_capture(
     )
     cut = checkpointed(cut)
     needs = cut.select(*[F.col(c).alias(f"_c_{c}") for c in by], F.col("_cut").alias("_c_p"), "_need")
-    if not by:
+    few = not by or cut.count() <= FEW_GROUPS
+    if few:
         needs = F.broadcast(needs)
     same = [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in by]
     ties = scored.join(needs, [F.col("p").cast("double") == F.col("_c_p"), *same])
-    taken = take_by_hash(ties, by, key, TIE_SEED, "_need", F.col("y").cast("bigint"))
+    taken = take_by_hash(ties, by, key, TIE_SEED, "_need", F.col("y").cast("bigint"), few)
     taken = taken.select(*[F.col(c).alias(f"_t_{c}") for c in by], "taken")
     if by:
         joined = cut.join(taken, [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in by], "left")

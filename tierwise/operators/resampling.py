@@ -57,7 +57,7 @@ def borderline_groups(
     near = nearest_neighbors(
         rows, "key", "vector", m, ["label"], F.col("label") == minority, block_rows=block_rows
     )
-    against, votes = _disagreeing(), F.size("neighbors")
+    against, votes = _disagreeing().cast("bigint"), F.size("neighbors").cast("bigint")
     zone = F.when(against == votes, "noise").when(against * 2 >= votes, "danger").otherwise("safe")
     return near.select("key", against.alias("n_majority"), votes.alias("n_neighbors"), zone.alias("zone"))
 

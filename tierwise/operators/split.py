@@ -66,12 +66,11 @@ def drop_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def _part(df: DataFrame, target: str, key: str, seed: int, ranks: Column) -> Column:
     """Number of cuts that lie before each row (carrying ``_hash``) in the order of its class."""
-    found = hash_cuts(df, [target], key, seed, ranks).limit(MAX_CLASSES * 100).collect()
+    if df.select(target).distinct().limit(MAX_CLASSES + 1).count() > MAX_CLASSES:
+        raise ValueError(f"{target!r} has more than {MAX_CLASSES} classes")
     classes: dict = {}
-    for row in found:
+    for row in hash_cuts(df, [target], key, seed, ranks).collect():  # one row per class and cut
         classes.setdefault(row[0], {})[row["cut"]] = (row["cut_hash"], row["cut_key"])
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"{target!r} has more than {MAX_CLASSES} classes")
     hashed = F.col("_hash")
     part = F.lit(0)
     for value, cuts in classes.items():
