@@ -78,7 +78,7 @@ def test_no_background_gives_zeros(leaves):
 
 
 @pytest.fixture(scope="module")
-def patients(spark):
+def records_table(spark):
     """Records shaped like the sample record, with a rare target that depends on them."""
     rng = np.random.default_rng(11)
     rows = []
@@ -91,7 +91,7 @@ def patients(spark):
     return spark.createDataFrame(
         rows,
         "id long, gender string, age double, hypertension int, avg_glucose_level double, bmi double, "
-        "smoking_status string, stroke int",
+        "smoking_status string, outcome int",
     )
 
 
@@ -99,13 +99,13 @@ SMALL = {"n_estimators": 4, "max_depth": 3}
 
 
 @pytest.fixture(scope="module")
-def run(spark, patients, tmp_path_factory):
+def run(spark, records_table, tmp_path_factory):
     config = RunConfig(
-        "stroke", "id", n_splits=2, n_trials=1, categorical_rounds=1, categorical_trees=2,
+        "outcome", "id", n_splits=2, n_trials=1, categorical_rounds=1, categorical_trees=2,
         params=SMALL, search_limits={**SMALL, "reg_alpha": 0.0, "reg_lambda": 1.0}, explained=40, background=60,
     )
     store = RunStore(spark, str(tmp_path_factory.mktemp("runs")))
-    return run_training(patients, config, store, "run_a"), store
+    return run_training(records_table, config, store, "run_a"), store
 
 
 def test_a_run_reports_everything(run):
@@ -123,11 +123,11 @@ def test_a_run_reports_everything(run):
         store.report("nothing")
 
 
-def test_shapley_values_of_a_run_add_up_to_the_margin(spark, run, patients):
+def test_shapley_values_of_a_run_add_up_to_the_margin(spark, run, records_table):
     made, _ = run
     prepare, trees = made.model.stages
     model_leaves = X.read_leaves(X.leaf_table(spark, trees))
-    ready = trees.transform(prepare.transform(patients)).select(
+    ready = trees.transform(prepare.transform(records_table)).select(
         vector_to_array("features").alias("x"), F.get(vector_to_array("rawPrediction"), F.lit(1)).alias("m")
     )
     pdf = ready.withColumn("shap", X.shap_values(F.col("x"), model_leaves)).toPandas()
@@ -137,12 +137,12 @@ def test_shapley_values_of_a_run_add_up_to_the_margin(spark, run, patients):
     assert long.count() == 40
 
 
-def test_records_are_scored_in_batch_and_as_a_stream(spark, run, patients, tmp_path):
+def test_records_are_scored_in_batch_and_as_a_stream(spark, run, records_table, tmp_path):
     made, store = run
     record = store.resolve()
     model = store.load(record)
     model_leaves = X.read_leaves(X.leaf_table(spark, model.stages[1]))
-    asked = patients.drop("stroke").limit(30)
+    asked = records_table.drop("outcome").limit(30)
     high = [{**t, "min_prob": t["min_prob"] + 0.5} for t in record.tiers]
     batch = score_records(asked, model, model_leaves, record.threshold, high, "id", record.run_id, 3)
     rows = batch.collect()

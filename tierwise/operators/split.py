@@ -7,8 +7,6 @@ handful of constants, so the table itself is never shuffled.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 

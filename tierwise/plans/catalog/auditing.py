@@ -114,10 +114,9 @@ def _report_sql() -> str:
 
     classes = f"select * from (with {body(CLASSES)})"
     ctes = f"missing as ({body(MISSING)}), types as ({body(TYPES)}), classes as ({classes}), iqr as ({body(IQR)})"
-    casted = [p if i == 0 else p for i, p in enumerate(parts)]
     return (
         f"with {DIRTY}, {ctes} select section, name, metric, round(cast(value as double), 9) as value from ("
-        + _union(casted)
+        + _union(parts)
         + ")"
     )
 
