@@ -70,13 +70,20 @@ def _rows(rows: list[tuple], schema: pa.Schema) -> pa.Table:
 _HALVES = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("keys", pa.binary()), ("many", pa.binary())])
 _REPEATED = pa.schema([("chunk", pa.int32()), ("keys", pa.binary())])
 _FULL = pa.schema(
-    [("bucket", pa.int32()), ("chunk", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("first", pa.binary())]
+    [
+        ("bucket", pa.int32()),
+        ("chunk", pa.int32()),
+        ("a", pa.binary()),
+        ("b", pa.binary()),
+        ("first", pa.binary()),
+        ("many", pa.binary()),
+    ]
 )
 _FIRSTS = pa.schema([("chunk", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("first", pa.binary())])
 _DDL = {
     "halves": "bucket int, chunk int, keys binary, many binary",
     "repeated": "chunk int, keys binary",
-    "full": "bucket int, chunk int, a binary, b binary, first binary",
+    "full": "bucket int, chunk int, a binary, b binary, first binary, many binary",
     "firsts": "chunk int, a binary, b binary, first binary",
 }
 
@@ -148,10 +155,12 @@ def _send_full(length: int, buckets: int, text: str, key_column: str):
         a, b, owner = a[order], b[order], owner[order]
         first = np.ones(len(a), bool)
         first[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        a, b, owner = a[first], b[first], owner[first]
+        at = np.flatnonzero(first)
+        many = np.maximum.reduceat(owner, at) > owner[at]  # the chunk has it under other ids too
+        a, b, owner = a[at], b[at], owner[at]
         return _rows(
             [
-                (n, key[0].as_py(), _binary(a[i:j]), _binary(b[i:j]), _binary(owner[i:j]))
+                (n, key[0].as_py(), *(_binary(x[i:j]) for x in (a, b, owner, many)))
                 for n, i, j in _by_bucket(a, buckets)
             ],
             _FULL,
@@ -161,24 +170,32 @@ def _send_full(length: int, buckets: int, text: str, key_column: str):
 
 
 def _find_firsts(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """For each chunk, its full windows with the smallest id that any chunk holds them under."""
+    """For each chunk, the smallest id that any chunk holds its full windows under, where that
+    covers one of its own; of the second hash half is enough to tell those of one chunk apart."""
     chunks = table.column("chunk").to_pylist()
     sizes = [len(x) // 8 for x in table.column("a").to_pylist()]
     a, b = (np.concatenate([np.frombuffer(x, np.uint64) for x in table.column(c).to_pylist()]) for c in "ab")
     owner = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("first").to_pylist()])
+    many = np.concatenate([np.frombuffer(x, bool) for x in table.column("many").to_pylist()])
     order = np.lexsort((owner, b, a))
     new = np.ones(len(a), bool)
     new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
     least = np.empty_like(owner)
     least[order] = owner[order][new][np.cumsum(new) - 1]
+    covers, half = many | (least < owner), _half(b)
     out, at = [], 0
     for chunk, n in zip(chunks, sizes):
-        s = slice(at, at + n)
-        out.append((chunk, _binary(a[s]), _binary(b[s]), _binary(least[s])))
+        own = np.flatnonzero(covers[at : at + n]) + at
+        if len(own):
+            out.append((chunk, _binary(a[own]), _binary(half[own]), _binary(least[own])))
         at += n
     return _rows(out, _FIRSTS)
 
 
+def _half(x: np.ndarray) -> np.ndarray:
+    return (x >> np.uint64(32)).astype(np.uint32)
+
+
 def _covered(words: Words, part: pa.Array, length: int, owner: np.ndarray, firsts: tuple) -> np.ndarray:
     """True for words inside a window that starts in a document with a smaller id."""
     a, b, least = firsts
@@ -187,7 +204,7 @@ def _covered(words: Words, part: pa.Array, length: int, owner: np.ndarray, first
     at, known = sorted_member(words.windows(length)[starts], a)
     starts, at = starts[known], at[known]
     if len(starts):
-        strong = words_of(part, 1).windows(length, 1)[starts]
+        strong = _half(words_of(part, 1).windows(length, 1)[starts])
         # Different windows with one first hash stand next to each other; look on while it is equal.
         own = a[at]
         while (off := (b[at] != strong) & (at + 1 < len(a)) & (a[np.minimum(at + 1, len(a) - 1)] == own)).any():
@@ -204,7 +221,7 @@ def _cut(length: int, text: str, key_column: str, chunk_column: str, schema: pa.
         ids = _ids(docs.column(key_column))
         firsts = None
         if len(answers):
-            kinds = (np.uint64, np.uint64, np.int64)
+            kinds = (np.uint64, np.uint32, np.int64)
             parts = [
                 np.concatenate([np.frombuffer(x, k) for x in answers.column(c).to_pylist()])
                 for c, k in zip(("a", "b", "first"), kinds)
