@@ -1,10 +1,12 @@
 """python tests/try_queries.py MODULE [name ...]: compare registered queries while developing."""
 
 import importlib
+import os
 import sys
 import time
 
-sys.path[:0] = ["/root/repo", "/root/repo/tests"]
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 from compare import compare  # noqa: E402
 from pyspark.sql import SparkSession  # noqa: E402

@@ -37,15 +37,29 @@ def csv_scan_nulls(spark, sf):
         F.when(F.col("o_orderstatus") == "P", "NULL").otherwise(F.col("o_orderstatus")).alias("status"),
         (F.col("o_orderkey") % 2 == 0).cast("string").alias("even"),
     )
+    return _through_csv(spark, orders)
+
+
+def _through_csv(spark, df):
     path = f"{shared_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
-    write_csv(orders, path)
+    write_csv(df, path)
     return read_csv(spark, path)
 
 
+def csv_scan_text(spark, sf):
+    """Whole texts with quotes and line breaks, and a number column with infinities."""
+    docs = table(spark, sf, "documents")
+    size = F.when(F.col("doc_id") % 5 == 0, "inf").when(F.col("doc_id") % 5 == 1, "-Infinity")
+    return _through_csv(spark, docs.select("doc_id", "text", size.otherwise(F.col("n_chars").cast("string")).alias("size")))
+
+
 CSV = """select o_orderkey, case when o_custkey % 10 <> 0 then o_custkey end as custkey,
   case when o_orderkey % 7 <> 0 then o_totalprice end as price,
   nullif(o_orderstatus, 'P') as status, o_orderkey % 2 = 0 as even from orders"""
 
+CSV_TEXT = """select doc_id, text, case doc_id % 5 when 0 then 'inf'::double when 1 then '-inf'::double
+  else n_chars::double end as size from documents"""
+
 _COLUMNS = ["l_quantity", "l_extendedprice", "disc", "tax", "l_returnflag", "l_linestatus", "y"]
 _NUMBERS = ["l_quantity", "l_extendedprice", "disc", "tax", "y"]
 
@@ -222,6 +236,7 @@ def preprocess_features(spark, sf):
 
 QUERIES = {
     "csv_scan_nulls": (csv_scan_nulls, CSV),
+    "csv_scan_text": (csv_scan_text, CSV_TEXT),
     "audit_shape": (
         lambda spark, sf: audit.shape(dirty(spark, sf)),
         f"with {DIRTY} select count(*) as rows, cast(7 as bigint) as columns from d",

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tierwise.functions.fixed_values import CSV_NULL_TOKENS
 
-NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 WHOLE = r"^\s*[+-]?\d+\s*$"
 TRUTH = r"^(True|TRUE|true|False|FALSE|false)$"
 
@@ -18,16 +18,18 @@ def read_csv(
     path: str,
     schema: T.StructType | str | None = None,
     null_tokens: Sequence[str] = CSV_NULL_TOKENS,
+    multi_line: bool = True,
 ) -> DataFrame:
     """CSV with a header; every null token becomes NULL, then columns are typed.
 
     Without ``schema`` the types are found in one pass over the file: whole numbers,
-    numbers, booleans, else text.
+    numbers, booleans, else text.  Quoted fields may hold line breaks, for which a task reads
+    a whole file; files known to have none can be split with ``multi_line=False``.
     """
     raw = (
         spark.read.option("header", True)
         .option("escape", '"')
-        .option("multiLine", False)
+        .option("multiLine", multi_line)
         .csv(path)
     )
     clean = raw.select(*[_untoken(c, null_tokens).alias(c) for c in raw.columns])
