@@ -82,3 +82,12 @@ def test_assigning_a_split_shuffles_nothing(spark, sf):
     ):
         plan = made._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_many_classes_are_split_as_few_are(spark, monkeypatch):
+    df = spark.range(3000).selectExpr("id as key", "if(id % 40 = 0, null, id % 39) as y")
+    few = [split.stratified_split(df, "y", "key", 0.2, 0.15, 5), split.stratified_folds(df, "y", "key", 4, 5)]
+    monkeypatch.setattr(split, "MAX_CLASSES", 10)
+    many = [split.stratified_split(df, "y", "key", 0.2, 0.15, 5), split.stratified_folds(df, "y", "key", 4, 5)]
+    for a, b in zip(few, many):
+        assert a.columns == b.columns and sorted(a.collect(), key=lambda r: r["key"]) == sorted(b.collect(), key=lambda r: r["key"])

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tierwise.functions.hashing import order_hash
-from tierwise.functions.ranking import hash_cuts
+from tierwise.functions.ranking import hash_cuts, hash_rank
 
 MAX_CLASSES = 1000
 PARTS = ("test", "valid", "train")
@@ -31,10 +31,9 @@ def stratified_split(
     total = F.col("_total")
     n_test = F.ceil(total * F.lit(test_size))
     n_valid = F.ceil((total - n_test) * F.lit(val_size / (1.0 - test_size)))
-    part = _part(df, target, key, seed, F.array(n_test, n_test + n_valid))
+    parted = _with_part(df, target, key, seed, F.array(n_test, n_test + n_valid))
     names = F.array(*[F.lit(p) for p in PARTS])
-    hashed = df.withColumn("_hash", order_hash(F.col(key), seed))
-    return hashed.withColumn("split", F.element_at(names, part + 1)).drop("_hash")
+    return parted.withColumn("split", F.element_at(names, F.col("_part") + 1)).drop("_part")
 
 
 def split_summary(split: DataFrame, target: str) -> DataFrame:
@@ -50,8 +49,8 @@ def stratified_folds(
     ranks = F.array(
         *[F.ceil(F.col("_total") * F.lit(i) / F.lit(float(n_splits))) for i in range(1, n_splits)]
     )
-    hashed = df.withColumn("_hash", order_hash(F.col(key), seed))
-    return hashed.withColumn(out, _part(df, target, key, seed, ranks).cast("int")).drop("_hash")
+    parted = _with_part(df, target, key, seed, ranks)
+    return parted.withColumn(out, F.col("_part").cast("int")).drop("_part")
 
 
 def train_and_valid(split: DataFrame) -> DataFrame:
@@ -63,10 +62,17 @@ def drop_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.drop(*columns)
 
 
-def _part(df: DataFrame, target: str, key: str, seed: int, ranks: Column) -> Column:
-    """Number of cuts that lie before each row (carrying ``_hash``) in the order of its class."""
+def _with_part(df: DataFrame, target: str, key: str, seed: int, ranks: Column) -> DataFrame:
+    """Add ``_part``: how many cuts lie before each row in the order of its class.
+
+    With few classes the cuts are constants of the plan; more are ranked with a shuffle.
+    """
     if df.select(target).distinct().limit(MAX_CLASSES + 1).count() > MAX_CLASSES:
-        raise ValueError(f"{target!r} has more than {MAX_CLASSES} classes")
+        totals = df.groupBy(F.col(target).alias("_class")).agg(F.count(F.lit(1)).alias("_total"))
+        ranked = hash_rank(df, key, seed, "_rank", by=[target])
+        joined = ranked.join(totals, F.col(target).eqNullSafe(F.col("_class")))
+        before = F.size(F.filter(ranks, lambda rank: rank < F.col("_rank")))
+        return joined.withColumn("_part", before).drop("_class", "_total", "_rank")
     classes: dict = {}
     for row in hash_cuts(df, [target], key, seed, ranks).collect():  # one row per class and cut
         classes.setdefault(row[0], {})[row["cut"]] = (row["cut_hash"], row["cut_key"])
@@ -78,4 +84,4 @@ def _part(df: DataFrame, target: str, key: str, seed: int, ranks: Column) -> Col
             after = (hashed > cut_hash) | ((hashed == cut_hash) & (F.col(key) > F.lit(cut_key)))
             passed = passed + after.cast("int")
         part = F.when(F.col(target).eqNullSafe(F.lit(value)), passed).otherwise(part)
-    return part
+    return df.withColumn("_hash", order_hash(F.col(key), seed)).withColumn("_part", part).drop("_hash")

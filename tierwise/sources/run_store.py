@@ -36,7 +36,9 @@ class RunStore:
     def _read(self, name: str) -> DataFrame | None:
         try:
             return self.spark.read.parquet(f"{self.root}/{name}")
-        except AnalysisException:
+        except AnalysisException as missing:
+            if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
             return None
 
     def save(
