@@ -3,6 +3,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from tierwise.functions import sizes
 from tierwise.operators import cleaning, imputation
 from tierwise.operators.preprocessing import build_preprocessor, feature_names
 
@@ -118,8 +119,22 @@ def test_codes_of_unseen_and_missing_categories(spark):
 
 def test_decode_rounds_half_to_even_and_stays_in_range(spark):
     df = spark.createDataFrame([(0.5,), (1.5,), (2.5,), (-4.0,), (9.0,)], "v double")
-    out = [r[0] for r in df.select(cleaning.decode(F.col("v"), ["p", "q", "r", "s"])).collect()]
-    assert out == ["p", "r", "r", "p", "s"]
+    known = cleaning.Dictionary.fit(spark.createDataFrame([(v,) for v in "srqp"], "s string"), ["s"])
+    out = {r["v"]: r["t"] for r in known.decode(df, {"t": (F.col("v"), "s")}).collect()}
+    assert out == {0.5: "p", 1.5: "r", 2.5: "r", -4.0: "p", 9.0: "s"}
+
+
+def test_dictionary_of_many_categories_is_joined_and_not_broadcast(spark, monkeypatch):
+    df = spark.range(20000).select(F.concat(F.lit("k"), "id").alias("s"), F.lit("x").alias("t"), F.lit(None).cast("string").alias("u"))
+    monkeypatch.setattr(sizes, "BROADCAST_BYTES", 0)
+    known = cleaning.Dictionary.fit(df, ["s", "t", "u"])
+    assert known.sizes == {"s": 20000, "t": 1, "u": 0} and not known.small
+    want = {v: float(i) for i, v in enumerate(sorted(f"k{i}" for i in range(20000)))}
+    coded = known.encode(df, {"a": "s", "b": "t", "c": "u"})
+    assert {r["s"]: r["a"] for r in coded.collect()} == want
+    assert coded.where("b <> 0 or c is not null").isEmpty()
+    back = known.decode(coded, {"z": (F.col("a"), "s"), "w": (F.col("a"), "u")})
+    assert back.count() == 20000 and back.where("z <> s or w is not null").isEmpty()
 
 
 def test_category_chain_uses_what_other_columns_say(spark, tmp_path, monkeypatch):
@@ -127,11 +142,15 @@ def test_category_chain_uses_what_other_columns_say(spark, tmp_path, monkeypatch
     df = spark.createDataFrame(rows, "key long, s string, t string")
     chain = imputation.ChainedCategoryImputer(inputCols=["s", "t"], maxIter=1, numTrees=3)
     model = chain.fit(df)
+    monkeypatch.setattr(imputation, "checkpointed", None)  # a transform is lazy
     out = model.transform(df)
     assert out.where("s is null").isEmpty() and out.count() == 300
     assert out.where("translate(t, 'uvw', 'xyz') <> s").isEmpty()
-    monkeypatch.setattr(imputation, "FEW_COMBINATIONS", 0)
-    assert model.transform(df).exceptAll(out).isEmpty()
+    # Rows by themselves give what the combinations seen in training give.
+    none = imputation.ChainedCategoryImputerModel(
+        ["s", "t"], model.learned, model.forests, model.dictionary, model.seen.limit(0)
+    )
+    assert none.transform(df).exceptAll(out).isEmpty() and none.transform(df).count() == 300
     # An unseen category is imputed like a missing one.
     new = spark.createDataFrame([(1, "other", "v"), (2, None, None)], "key long, s string, t string")
     got = {r["key"]: (r["s"], r["t"]) for r in model.transform(new).collect()}

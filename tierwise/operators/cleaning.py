@@ -7,15 +7,23 @@ from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.feature import StringIndexerModel
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame, functions as F, types as T
-
+from pyspark.ml.util import (
+    DefaultParamsReadable,
+    DefaultParamsReader,
+    DefaultParamsWritable,
+    DefaultParamsWriter,
+    MLReadable,
+    MLReader,
+    MLWritable,
+    MLWriter,
+)
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+
+from tierwise.functions.lineage import checkpointed
 from tierwise.functions.quantiles import as_double, exact_quantiles
-
-MAX_CATEGORIES = 100_000
+from tierwise.functions.sizes import is_small
 
 
 class _Columns(HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
@@ -106,55 +114,89 @@ def impute_mode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted present values of every column, found in one pass."""
-    if not columns:
-        return {}
-    cells = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns]
-    )
-    rows = (
-        df.select(F.explode(cells).alias("c"))
-        .where("c.value is not null")
-        .select("c.column", "c.value")
-        .distinct()
-        .limit(MAX_CATEGORIES + 1)
-        .collect()
-    )
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories; these are not categorical columns")
-    found: dict[str, list[str]] = {c: [] for c in columns}
-    for r in rows:
-        found[r["column"]].append(r["value"])
-    return {c: sorted(v) for c, v in found.items()}
-
-
-def codes(df: DataFrame, labels: dict[str, list[str]], unknown: float | None = -1.0) -> DataFrame:
-    """Replace each labelled column by its code; unseen gives ``unknown``, missing stays missing."""
-    known = {c: v for c, v in labels.items() if v}
-    temp = {c: f"_code_{i}" for i, c in enumerate(known)}
-    out = df.withColumns({c: F.col(f"`{c}`").cast("string") for c in labels})
-    if known:
-        indexer = StringIndexerModel.from_arrays_of_labels(
-            list(known.values()), list(known), [temp[c] for c in known], handleInvalid="keep"
-        )
-        out = indexer.transform(out)
-    columns = {}
-    for c in labels:
-        seen = F.lit(unknown).cast("double")
-        if c in known:
-            # The alias without metadata keeps the code an ordinary number for tree models.
-            raw = F.col(temp[c])
-            seen = F.when(raw < len(known[c]), raw).otherwise(F.lit(unknown).cast("double"))
-        columns[c] = F.when(F.col(f"`{c}`").isNotNull(), seen).alias(c, metadata={})
-    keep = [columns.get(c, F.col(f"`{c}`")) for c in df.columns]
-    return out.select(*keep)
+class Dictionary:
+    """Codes 0..n-1 of the sorted categories of each column: a table ``column, value, code``.
 
+    The table stays in Spark whatever its size; it is broadcast only when measured small.
+    """
 
-def decode(code: Column, labels: Sequence[str]) -> Column:
-    """Category of a fractional code: rounded half to even, then held inside the known range."""
-    at = F.least(F.greatest(F.rint(code), F.lit(0.0)), F.lit(float(len(labels) - 1)))
-    return F.element_at(F.array(*[F.lit(v) for v in labels]), at.cast("int") + 1)
+    def __init__(self, table: DataFrame, sizes: dict[str, int], small: bool):
+        self.table, self.sizes, self.small = table, sizes, small
+
+    @classmethod
+    def fit(cls, df: DataFrame, columns: Sequence[str]) -> "Dictionary":
+        """Present values of every column, found in one pass and ranked without one large sort."""
+        cells = F.array(
+            *[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns]
+        ).cast("array<struct<column:string,value:string>>")
+        found = df.select(F.explode(cells).alias("c")).where("c.value is not null").select("c.column", "c.value")
+        # Range partitions follow one another, so a rank is a place in one plus the counts before it.
+        parts = checkpointed(
+            found.distinct().repartitionByRange("column", "value").withColumn("_part", F.spark_partition_id())
+        )
+        counts = parts.groupBy("column", "_part").agg(F.count(F.lit(1)).alias("_n"))
+        before = Window.partitionBy("column").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = counts.select("column", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+        within = Window.partitionBy("_part", "column").orderBy("value")
+        # At most one row per column and partition is broadcast.
+        table = checkpointed(
+            parts.join(F.broadcast(offsets), ["column", "_part"]).select(
+                "column", "value", (F.row_number().over(within) - 1 + F.col("_before")).cast("double").alias("code")
+            )
+        )
+        sizes = {r["column"]: r["n"] for r in table.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+        return cls(table, {c: sizes.get(c, 0) for c in columns}, is_small(table))
+
+    def _of(self, column: str, i: int) -> DataFrame:
+        part = self.table.where(F.col("column") == F.lit(column))
+        part = part.select(F.col("value").alias(f"_label_{i}"), F.col("code").alias(f"_place_{i}"))
+        return F.broadcast(part) if self.small else part
+
+    def encode(self, df: DataFrame, columns: dict[str, str], unknown: float | None = -1.0) -> DataFrame:
+        """Set column ``out`` to the code of column ``c`` for every ``out: c``.
+
+        An unseen value gives ``unknown``; a missing one stays missing.
+        """
+        made = {}
+        for i, (out, c) in enumerate(columns.items()):
+            text = F.col(f"`{c}`").cast("string")
+            if self.sizes[c]:
+                df = df.join(self._of(c, i), text == F.col(f"_label_{i}"), "left")
+                code = F.coalesce(F.col(f"_place_{i}"), F.lit(unknown).cast("double"))
+            else:
+                code = F.lit(unknown).cast("double")
+            made[out] = F.when(text.isNotNull(), code)
+        return df.withColumns(made).drop(*[f"_{n}_{i}" for n in ("label", "place") for i in range(len(columns))])
+
+    def decode(self, df: DataFrame, columns: dict[str, tuple[Column, str]]) -> DataFrame:
+        """Set column ``out`` to the category of ``c`` at a fractional code for every ``out: (code, c)``.
+
+        Codes are rounded half to even and held inside the known range; a column without
+        categories gives nulls.
+        """
+        made = {}
+        for i, (out, (code, c)) in enumerate(columns.items()):
+            made[out] = F.lit(None).cast("string")
+            if self.sizes[c]:
+                at = F.least(F.greatest(F.rint(code), F.lit(0.0)), F.lit(float(self.sizes[c] - 1)))
+                df = df.join(self._of(c, i), at == F.col(f"_place_{i}"), "left")
+                made[out] = F.col(f"_label_{i}")
+        return df.withColumns(made).drop(*[f"_{n}_{i}" for n in ("label", "place") for i in range(len(columns))])
+
+    def places(self, values: dict[str, str | None]) -> dict[str, float]:
+        """Codes of one value per column, 0 where it is missing."""
+        asked = self.table.sparkSession.createDataFrame(list(values.items()), "column string, value string")
+        found = self.table.join(F.broadcast(asked), ["column", "value"]).collect()  # one row per column
+        return {c: 0.0 for c in values} | {r["column"]: r["code"] for r in found}
+
+    def save(self, path: str) -> dict:
+        """Write the table; the returned facts and the path are all that ``load`` needs."""
+        self.table.write.parquet(path)
+        return {"sizes": self.sizes, "small": self.small}
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, facts: dict) -> "Dictionary":
+        return cls(spark.read.schema("column string, value string, code double").parquet(path), **facts)
 
 
 class OrdinalEncoder(Estimator, _Columns):
@@ -167,9 +209,44 @@ class OrdinalEncoder(Estimator, _Columns):
 
     def _fit(self, df: DataFrame) -> "OrdinalEncoderModel":
         columns = self.getInputCols()
-        return OrdinalEncoderModel(columns, categories(df, columns))
+        return OrdinalEncoderModel(columns, Dictionary.fit(df, columns))
 
 
-class OrdinalEncoderModel(_Fitted):
+class OrdinalEncoderModel(Model, _Columns, MLReadable, MLWritable):
+    def __init__(self, inputCols=None, dictionary: Dictionary | None = None):
+        super().__init__()
+        self.dictionary = dictionary
+        if inputCols is not None:
+            self._set(inputCols=list(inputCols))
+
     def _transform(self, df: DataFrame) -> DataFrame:
-        return codes(df, self.values)
+        return self.dictionary.encode(df, {c: c for c in self.getInputCols()}).select(*[f"`{c}`" for c in df.columns])
+
+    def write(self) -> MLWriter:
+        return _EncoderWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _EncoderReader(cls)
+
+
+class _EncoderWriter(MLWriter):
+    def __init__(self, instance):
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path: str) -> None:
+        facts = self.instance.dictionary.save(f"{path}/dictionary")
+        DefaultParamsWriter.saveMetadata(self.instance, path, self.sc, {"dictionary": facts})
+
+
+class _EncoderReader(MLReader):
+    def __init__(self, cls):
+        super().__init__()
+        self.cls = cls
+
+    def load(self, path: str) -> OrdinalEncoderModel:
+        meta = DefaultParamsReader.loadMetadata(path, self.sc)
+        model = self.cls(None, Dictionary.load(self.sparkSession, f"{path}/dictionary", meta["dictionary"]))
+        DefaultParamsReader.getAndSetParams(model, meta)
+        return model

@@ -27,17 +27,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tierwise.functions.lineage import checkpointed
 from tierwise.functions.quantiles import as_double, exact_quantiles
+from tierwise.functions.sizes import is_small
 from tierwise.operators.cleaning import (
+    Dictionary,
     _Columns,
     _Fitted,
-    categories,
-    codes,
-    decode,
     modes,
     require_numeric,
 )
 
-FEW_COMBINATIONS = 100_000  # imputed code combinations that may be broadcast
 DRIVER_CELLS = 20_000_000  # pattern moments held on the driver: 160 MB at most
 
 
@@ -318,40 +316,43 @@ class ChainedCategoryImputer(Estimator, _Columns):
 
     The ensembles see codes of the other columns.  Missing and unseen categories are both
     imputed; results are rounded, held in range and turned back into category texts.
+    Columns with more categories than ``maxBins`` are split between bins, not single codes.
     """
 
     maxIter = Param(Params._dummy(), "maxIter", "rounds", TypeConverters.toInt)
     numTrees = Param(Params._dummy(), "numTrees", "trees per ensemble", TypeConverters.toInt)
     maxDepth = Param(Params._dummy(), "maxDepth", "depth of the trees", TypeConverters.toInt)
+    maxBins = Param(Params._dummy(), "maxBins", "bins of the codes of a column", TypeConverters.toInt)
     tol = Param(Params._dummy(), "tol", "relative change that ends the rounds", TypeConverters.toFloat)
     seed = Param(Params._dummy(), "seed", "seed of the ensembles", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, *, inputCols=None, maxIter=10, numTrees=50, maxDepth=10, tol=1e-3, seed=42):
+    def __init__(self, *, inputCols=None, maxIter=10, numTrees=50, maxDepth=30, maxBins=256, tol=1e-3, seed=42):
         super().__init__()
-        self._setDefault(maxIter=10, numTrees=50, maxDepth=10, tol=1e-3, seed=42)
+        self._setDefault(maxIter=10, numTrees=50, maxDepth=30, maxBins=256, tol=1e-3, seed=42)
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> "ChainedCategoryImputerModel":
         columns = self.getInputCols()
-        labels = categories(df, columns)
+        dictionary = Dictionary.fit(df, columns)
         names = [f"_v{i}" for i in range(len(columns))]
-        coded = codes(df.select(*columns), labels, unknown=None).toDF(*names)
+        coded = dictionary.encode(df.select(*[F.col(f"`{c}`") for c in columns]), {c: c for c in columns}, None).toDF(*names)
         combos = checkpointed(coded.groupBy(*names).agg(F.count(F.lit(1)).cast("double").alias("n")))
-        frequent = modes(df, columns)
-        start = [float(labels[c].index(frequent[c])) if labels[c] else 0.0 for c in columns]
+        places = dictionary.places(modes(df, columns)) if columns else {}
+        start = [places[c] for c in columns]
         gaps = combos.agg(
-            *[F.coalesce(F.sum(F.when(F.col(v).isNull(), F.col("n"))), F.lit(0.0)) for v in names]
-        ).first()
+            F.count(F.lit(1)),
+            *[F.coalesce(F.sum(F.when(F.col(v).isNull(), F.col("n"))), F.lit(0.0)) for v in names],
+        ).first()[1:]
         order = np.argsort(np.array(gaps, dtype=float), kind="stable").tolist() if columns else []
         forests: list[tuple[int, RandomForestRegressionModel]] = []
-        top = max([len(v) - 1 for v in labels.values()], default=0)
+        top = max([n - 1 for n in dictionary.sizes.values()], default=0)
+        state = _with_start(combos, names, start)
         if len(columns) > 1:
-            state = _with_start(combos, names, start)
             for _ in range(self.getOrDefault(self.maxIter)):
                 before = state
                 for c in order:
-                    model = self._forest(state, names, c, max(len(v) for v in labels.values()))
+                    model = self._forest(state, names, c)
                     if model is None:
                         continue
                     forests.append((c, model))
@@ -359,10 +360,12 @@ class ChainedCategoryImputer(Estimator, _Columns):
                         state = checkpointed(_predict(state, names, c, model))
                 if not any(gaps) or _largest_change(before, state, names) < self.getOrDefault(self.tol) * top:
                     break
-        learned = {"labels": labels, "start": start, "order": [c for c, _ in forests]}
-        return ChainedCategoryImputerModel(columns, learned, [m for _, m in forests])
+        # The last state is what the steps give for every incomplete combination seen here.
+        seen = checkpointed(_decoded(state.where(_any_gap(names)), names, columns, dictionary))
+        learned = {"start": start, "order": [c for c, _ in forests], "small": is_small(seen)}
+        return ChainedCategoryImputerModel(columns, learned, [m for _, m in forests], dictionary, seen)
 
-    def _forest(self, state, names, c, widest) -> RandomForestRegressionModel | None:
+    def _forest(self, state, names, c) -> RandomForestRegressionModel | None:
         known = state.where(~F.col(f"_g{c}"))
         if known.isEmpty():
             return None
@@ -375,7 +378,7 @@ class ChainedCategoryImputer(Estimator, _Columns):
             weightCol="n",
             numTrees=self.getOrDefault(self.numTrees),
             maxDepth=self.getOrDefault(self.maxDepth),
-            maxBins=max(32, widest),
+            maxBins=self.getOrDefault(self.maxBins),
             bootstrap=False,
             featureSubsetStrategy="onethird",
             seed=self.getOrDefault(self.seed),
@@ -391,6 +394,19 @@ def _with_start(df: DataFrame, names: Sequence[str], start: Sequence[float]) ->
     return df.withColumns({**flags, **originals}).withColumns(filled)
 
 
+def _any_gap(names: Sequence[str]) -> Column:
+    gap = F.lit(False)
+    for i in range(len(names)):
+        gap = gap | F.col(f"_g{i}")
+    return gap
+
+
+def _decoded(state: DataFrame, names: Sequence[str], columns: Sequence[str], dictionary: Dictionary) -> DataFrame:
+    """The original codes ``_o`` of each combination with the texts ``_t`` of its final codes."""
+    texts = dictionary.decode(state, {f"_t{i}": (F.col(v), c) for i, (v, c) in enumerate(zip(names, columns))})
+    return texts.select(*[f"_o{i}" for i in range(len(names))], *[f"_t{i}" for i in range(len(names))])
+
+
 def _predict(state: DataFrame, names: Sequence[str], c: int, model) -> DataFrame:
     others = [v for i, v in enumerate(names) if i != c]
     ready = VectorAssembler(inputCols=others, outputCol="_f").transform(state)
@@ -409,9 +425,11 @@ def _largest_change(before: DataFrame, after: DataFrame, names: Sequence[str]) -
 
 
 class ChainedCategoryImputerModel(Model, _Columns, MLReadable, MLWritable):
-    def __init__(self, inputCols=None, learned=None, forests=()):
+    """Fills rows by a join with the combinations seen in training; others replay the trees."""
+
+    def __init__(self, inputCols=None, learned=None, forests=(), dictionary=None, seen=None):
         super().__init__()
-        self.learned, self.forests = learned, list(forests)
+        self.learned, self.forests, self.dictionary, self.seen = learned, list(forests), dictionary, seen
         if inputCols is not None:
             self._set(inputCols=list(inputCols))
 
@@ -419,36 +437,36 @@ class ChainedCategoryImputerModel(Model, _Columns, MLReadable, MLWritable):
         columns = self.getInputCols()
         if not columns:
             return df
-        labels = self.learned["labels"]
         names = [f"_v{i}" for i in range(len(columns))]
-        temp = [f"_code_of_{i}" for i in range(len(columns))]
-        copied = df.withColumns({t: F.col(f"`{c}`") for t, c in zip(temp, columns)})
-        coded = codes(copied, {t: labels[c] for t, c in zip(temp, columns)}, unknown=None)
+        coded = self.dictionary.encode(df, dict(zip(names, columns)), None)
+        if df.isStreaming:  # one pass over the source
+            return self._texts(self._by_row(coded, names), df.columns)
         gap = F.lit(False)
-        for t in temp:
-            gap = gap | F.col(t).isNull()
-        imputed = None if df.isStreaming else self._by_combination(coded, temp, names, gap)
-        if imputed is None:  # every row by itself
-            filled = self._replay(coded.withColumnsRenamed(dict(zip(temp, names))), names)
-            value = {c: F.col(v) for c, v in zip(columns, names)}
-        else:
-            same = [F.col(t).eqNullSafe(F.col(f"_o{i}")) for i, t in enumerate(temp)]
-            filled = coded.join(F.broadcast(imputed), same, "left")
-            value = {c: F.coalesce(F.col(v), F.col(t)) for c, v, t in zip(columns, names, temp)}
-        return filled.select(
-            *[
-                self._text(c, F.col(f"`{c}`"), value[c]).alias(c) if c in columns else F.col(f"`{c}`")
-                for c in df.columns
-            ]
-        )
-
-    def _by_combination(self, coded, temp, names, gap: Column) -> DataFrame | None:
-        """Each incomplete code combination imputed once, if there are few enough to broadcast."""
-        combos = coded.where(gap).select(*[F.col(t).alias(v) for t, v in zip(temp, names)]).distinct()
-        combos = checkpointed(combos)
-        if combos.count() > FEW_COMBINATIONS:
-            return None
-        return checkpointed(self._replay(combos, names))
+        for v in names:
+            gap = gap | F.col(v).isNull()
+        seen = self.seen.withColumn("_seen", F.lit(True))
+        same = [F.col(v).eqNullSafe(F.col(f"_o{i}")) for i, v in enumerate(names)]
+        joined = coded.join(F.broadcast(seen) if self.learned["small"] else seen, same, "left")
+        new = gap & F.col("_seen").isNull()
+        found = joined.where(~new).withColumns({f"_o{i}": F.col(v) for i, v in enumerate(names)})
+        late = self._by_row(joined.where(new).select(*[f"`{c}`" for c in coded.columns]), names)
+        return self._texts(found, df.columns).unionByName(self._texts(late, df.columns))
+
+    def _texts(self, filled: DataFrame, wanted: Sequence[str]) -> DataFrame:
+        """Known categories as they are, the others as imputed."""
+        columns = self.getInputCols()
+        out = {}
+        for i, c in enumerate(columns):
+            own = F.col(f"`{c}`").cast("string")
+            known = F.col(f"_o{i}").isNotNull() if self.dictionary.sizes[c] else F.lit(True)
+            out[c] = F.when(known, own).otherwise(F.col(f"_t{i}")).alias(c)
+        return filled.select(*[out.get(c, F.col(f"`{c}`")) for c in wanted])
+
+    def _by_row(self, coded: DataFrame, names: Sequence[str]) -> DataFrame:
+        """Every row imputed by itself: ``_o`` and ``_t`` beside its columns."""
+        state = self._replay(coded, names)
+        wanted = {f"_t{i}": (F.col(v), c) for i, (v, c) in enumerate(zip(names, self.getInputCols()))}
+        return self.dictionary.decode(state, wanted)
 
     def _replay(self, coded: DataFrame, names: Sequence[str]) -> DataFrame:
         state = _with_start(coded, names, self.learned["start"])
@@ -456,10 +474,6 @@ class ChainedCategoryImputerModel(Model, _Columns, MLReadable, MLWritable):
             state = _predict(state, names, c, model)
         return state
 
-    def _text(self, column: str, original: Column, code: Column) -> Column:
-        labels = self.learned["labels"][column]
-        return decode(code, labels) if labels else original.cast("string")
-
     def write(self) -> MLWriter:
         return _CategoryWriter(self)
 
@@ -474,8 +488,10 @@ class _CategoryWriter(MLWriter):
         self.instance = instance
 
     def saveImpl(self, path: str) -> None:
-        extra = {"learned": json.dumps(self.instance.learned), "forests": len(self.instance.forests)}
+        facts = self.instance.dictionary.save(f"{path}/dictionary")
+        extra = {"learned": self.instance.learned, "forests": len(self.instance.forests), "dictionary": facts}
         DefaultParamsWriter.saveMetadata(self.instance, path, self.sc, extra)
+        self.instance.seen.write.parquet(f"{path}/seen")
         for i, forest in enumerate(self.instance.forests):
             forest.save(f"{path}/forests/{i}")
 
@@ -488,6 +504,8 @@ class _CategoryReader(MLReader):
     def load(self, path: str) -> ChainedCategoryImputerModel:
         meta = DefaultParamsReader.loadMetadata(path, self.sc)
         forests = [RandomForestRegressionModel.load(f"{path}/forests/{i}") for i in range(meta["forests"])]
-        model = self.cls(None, json.loads(meta["learned"]), forests)
+        dictionary = Dictionary.load(self.sparkSession, f"{path}/dictionary", meta["dictionary"])
+        seen = self.sparkSession.read.parquet(f"{path}/seen")
+        model = self.cls(None, meta["learned"], forests, dictionary, seen)
         DefaultParamsReader.getAndSetParams(model, meta)
         return model

@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tierwise.functions.hashing import draw_int, draw_unit
 from tierwise.functions.lineage import checkpointed
 from tierwise.functions.ranking import hash_rank
+from tierwise.functions.sizes import BROADCAST_BYTES
 from tierwise.operators.neighbors import BLOCK_ROWS, nearest_neighbors
 
-BROADCAST_BYTES = 64 << 20
 RULES = ("majority_disagree", "any_disagree", "all_disagree")
 
 # Strategy names and their aliases.

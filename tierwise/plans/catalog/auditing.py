@@ -191,7 +191,7 @@ def _mice_sql() -> str:
 
 def mice_categorical(spark, sf):
     df = categorical(spark, sf).select("key", "cat", "grp")
-    chain = imputation.ChainedCategoryImputer(inputCols=["cat", "grp"], maxIter=1, numTrees=3, maxDepth=6)
+    chain = imputation.ChainedCategoryImputer(inputCols=["cat", "grp"])
     return chain.fit(df).transform(df)
 
 
@@ -204,9 +204,17 @@ select c.key, coalesce(c.cat, (select cat from k where k.code = m.code)) as cat,
 
 
 def round_clip_decode(spark, sf):
-    labels = ["click", "purchase", "signup", "view"]
-    code = F.col("value") / 25.0 - 1.0
-    return categorical(spark, sf).select("key", cleaning.decode(code, labels).alias("decoded"))
+    df = categorical(spark, sf)
+    known = cleaning.Dictionary.fit(df, ["cat"])
+    return known.decode(df, {"decoded": (F.col("value") / 25.0 - 1.0, "cat")}).select("key", "decoded")
+
+
+def encode_decode_keys(spark, sf):
+    """A column with a category per customer there and back again."""
+    df = table(spark, sf, "customer").select("c_custkey", "c_name")
+    known = cleaning.Dictionary.fit(df, ["c_name"])
+    coded = known.encode(df, {"code": "c_name"})
+    return known.decode(coded, {"decoded": (F.col("code"), "c_name")})
 
 
 DECODE = f"""with {CATEGORICAL} select key, list_extract(['click', 'purchase', 'signup', 'view'],
@@ -291,5 +299,10 @@ QUERIES = {
     "mice_categorical": (mice_categorical, MICE_CATEGORICAL),
     "round_clip_decode": (round_clip_decode, DECODE),
     "ordinal_encode": (ordinal_encode, ORDINAL),
+    "encode_decode_keys": (
+        encode_decode_keys,
+        """select c_custkey, c_name, cast(dense_rank() over (order by c_name) - 1 as double) as code,
+          c_name as decoded from customer""",
+    ),
     "preprocess_features": (preprocess_features, None),
 }
