@@ -187,3 +187,12 @@ def test_best_trial_is_the_first_of_equals_and_never_a_pruned_one(spark):
     df = spark.createDataFrame([(0, 0.9, "pruned"), (1, 0.5, "complete"), (2, 0.5, "complete")], "trial long, value double, state string")
     row = search.best_trial(df).first()
     assert (row["best_trial"], row["best_value"], row["n_trials"]) == (1, 0.5, 3)
+
+
+def test_trials_of_one_block_do_not_see_each_other(spark):
+    rows = [(t, s, 0.9 - 0.01 * t) for t in range(12) for s in range(1, 5)]
+    df = spark.createDataFrame(rows, "trial long, step int, running_mean double")
+    cut = {r["trial"] for r in search.median_prune(df, block=5).where("prune").collect()}
+    assert cut == {5, 6, 7, 8, 9, 10, 11}
+    seen = {r["trial"]: r["median_before"] for r in search.median_prune(df, block=5).where("step = 4").collect()}
+    assert seen[3] is None and seen[5] == seen[9] == pytest.approx(0.88) and seen[10] == pytest.approx(0.855)

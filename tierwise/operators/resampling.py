@@ -118,8 +118,13 @@ def borderline_smote(
         mixed = F.transform(mixed, lambda v, i: F.when(F.array_contains(places, i), F.rint(v)).otherwise(v))
     key_type = rows.schema["key"].dataType
     if isinstance(key_type, T.NumericType):
+        top = {T.ByteType: 2**7, T.ShortType: 2**15, T.IntegerType: 2**31, T.LongType: 2**63}.get(type(key_type))
+        if top is not None and counts["top"] + needed >= top:
+            raise ValueError("no room for new keys above the largest key; widen the key's type")
         new_key = (F.lit(counts["top"]) + 1 + number).cast(key_type)
     else:
+        if not base.where(F.col("key").startswith("synthetic-")).isEmpty():
+            raise ValueError("keys that begin with 'synthetic-' are taken; rename them first")
         new_key = F.concat(F.lit("synthetic-"), number.cast("string"))
     made = draws.join(pool, "rank").select(
         new_key.alias("key"),

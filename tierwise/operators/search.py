@@ -80,10 +80,17 @@ def sampler_space(strategy: str) -> list[tuple]:
     return {"borderline_smote_allknn": ALLKNN_SEARCH_SPACE, "borderline_smote_ncr": NCR_SEARCH_SPACE}.get(name, [])
 
 
-def search_trials(trials: DataFrame, strategy: str, seed: int = 42, trial: str = "trial") -> DataFrame:
-    """Draw the settings of every trial; model and sampler settings stay apart."""
+def search_trials(
+    trials: DataFrame, strategy: str, seed: int = 42, trial: str = "trial", limits: dict | None = None
+) -> DataFrame:
+    """Draw the settings of every trial; model and sampler settings stay apart.
+
+    ``limits`` replaces drawn model settings.
+    """
     at = F.col(trial)
-    model = F.struct(*[_draw(at, seed, n, kind, lo, hi).alias(n) for n, kind, lo, hi in TREE_SEARCH_SPACE])
+    drawn = {n: _draw(at, seed, n, kind, lo, hi) for n, kind, lo, hi in TREE_SEARCH_SPACE}
+    drawn |= {n: F.lit(v) for n, v in (limits or {}).items()}
+    model = F.struct(*[v.alias(n) for n, v in drawn.items()])
     space = sampler_space(strategy)
     out = trials.select(at.alias("trial"), model.alias("model"))
     if space:
@@ -92,13 +99,15 @@ def search_trials(trials: DataFrame, strategy: str, seed: int = 42, trial: str =
     return out
 
 
-def median_prune(scores: DataFrame, warmup: int = 2, startup: int = 5) -> DataFrame:
+def median_prune(scores: DataFrame, warmup: int = 2, startup: int = 5, block: int = 1) -> DataFrame:
     """Pruning decision for every recorded ``(trial, step, running_mean)``.
 
-    A trial is stopped after the warm-up when it lies below the median of at least
-    ``startup`` earlier trials at the same step.
+    A trial is stopped after the warm-up when its running mean lies below the median of at
+    least ``startup`` trials of earlier blocks that reached the same step.  Blocks are
+    ``block`` consecutive trials; those of one block do not see each other.
     """
-    earlier = Window.partitionBy("step").orderBy("trial").rowsBetween(Window.unboundedPreceding, -1)
+    number = F.floor(F.col("trial") / F.lit(block))
+    earlier = Window.partitionBy("step").orderBy(number).rangeBetween(Window.unboundedPreceding, -1)
     seen = F.count("running_mean").over(earlier)
     median = F.percentile("running_mean", 0.5).over(earlier)
     cut = (F.col("step") > warmup) & (seen >= startup) & (F.col("running_mean") < median)
@@ -137,6 +146,7 @@ class _Fold:
     grown: DataFrame
     valid: DataFrame
     cleaned: dict = field(default_factory=dict)
+    guards: dict = field(default_factory=dict)
 
 
 def random_search(
@@ -153,20 +163,22 @@ def random_search(
     warmup: int = 2,
     startup: int = 5,
     limits: dict | None = None,
+    block: int = 5,
 ) -> SearchResult:
     """Random search over trees and cleaner, with median pruning between folds.
 
     No searched setting touches preprocessing or oversampling, so both are done once per
     fold and kept; a trial only cleans, fits and scores.  ``limits`` overrides drawn
-    settings, e.g. to bound the number of trees.
+    settings, e.g. to bound the number of trees.  Trials run in blocks of ``block``, up to
+    ``parallelism`` at a time, and are pruned by the rule of ``median_prune`` against earlier
+    blocks: the result does not depend on which trial of a block ends first.
     """
     spark = train.sparkSession
     drawn = [r.asDict(recursive=True) for r in search_trials(
-        spark.range(n_trials).withColumnRenamed("id", "trial"), spec.strategy, spec.seed
+        spark.range(n_trials).withColumnRenamed("id", "trial"), spec.strategy, spec.seed, limits=limits
     ).orderBy("trial").collect()]  # n_trials rows
     folds = _prepare_folds(train, spec, n_splits, parallelism)
     history: dict[int, list[float]] = {}
-    complete: set[int] = set()
     states: dict[int, str] = {}
     lock, begun = Lock(), time.monotonic()
 
@@ -175,35 +187,35 @@ def random_search(
         if timeout_seconds is not None and time.monotonic() - begun > timeout_seconds:
             return
         sampler = row.get("sampler") or {}
-        params = {**row["model"], **(limits or {})}
+        others = {t: m for t, m in list(history.items()) if t // block < trial // block}
         scores: list[float] = []
         for step, fold in enumerate(folds, start=1):
             rows = _cleaned(fold, spec.strategy, sampler, lock)
-            model = fit_boosted(rows, params, spec.seed)
+            model = fit_boosted(rows, row["model"], spec.seed)
             ready = fold.valid.withColumn("features", array_to_vector("vector"))
             scored = model.transform(ready).select(
                 "key", F.col("label").alias("y"), positive_probability().alias("p")
-            )
+            ).persist()  # an objective reads the scores more than once
             value = objective_score(scored, objective, threshold, top_pct, pr_auc_weight).first()["score"]
+            scored.unpersist()
             scores.append(float(value if value is not None else 0.0))
             with lock:
                 history.setdefault(trial, []).append(statistics.fmean(scores))
-                others = [history[t][step - 1] for t in complete if len(history[t]) >= step]
-            if step > warmup and len(others) >= startup and history[trial][-1] < statistics.median(others):
+            before = [m[step - 1] for m in others.values() if len(m) >= step]
+            if step > warmup and len(before) >= startup and history[trial][-1] < statistics.median(before):
                 states[trial] = "pruned"
                 return
-        with lock:
-            complete.add(trial)
-            states[trial] = "complete"
+        states[trial] = "complete"
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        list(pool.map(run, drawn))
+        for at in range(0, n_trials, block):
+            list(pool.map(run, drawn[at : at + block]))
 
     done = [r for r in drawn if r["trial"] in states]
     values = [(r["trial"], history[r["trial"]][-1], states[r["trial"]]) for r in done]
     steps = [(t, s, v) for t, means in history.items() for s, v in enumerate(means, start=1)]
     table = spark.createDataFrame(values, "trial long, value double, state string")
-    settings = search_trials(table.select("trial"), spec.strategy, spec.seed)
+    settings = search_trials(table.select("trial"), spec.strategy, spec.seed, limits=limits)
     result = SearchResult(
         settings.join(table, "trial"),
         spark.createDataFrame(steps, "trial long, step int, running_mean double"),
@@ -213,7 +225,7 @@ def random_search(
         best = max(finished, key=lambda v: (v[1], -v[0]))
         row = next(r for r in drawn if r["trial"] == best[0])
         result.best_value = best[1]
-        result.best_params = {**row["model"], **(limits or {})}
+        result.best_params = dict(row["model"])
         result.best_sampler = dict(row.get("sampler") or {})
     return result
 
@@ -243,9 +255,8 @@ def _cleaned(fold: _Fold, strategy: str, sampler: dict, lock: Lock) -> DataFrame
     """Cleaned rows of a fold, shared by trials that clean alike."""
     name = tuple(sorted(sampler.items()))
     with lock:
-        known = fold.cleaned.get(name)
-    if known is None:
-        known = checkpointed(clean_resampled(fold.grown, strategy, **sampler))
-        with lock:
-            fold.cleaned[name] = known
-    return known
+        guard = fold.guards.setdefault(name, Lock())
+    with guard:  # whoever comes second waits for the first
+        if name not in fold.cleaned:
+            fold.cleaned[name] = checkpointed(clean_resampled(fold.grown, strategy, **sampler))
+        return fold.cleaned[name]

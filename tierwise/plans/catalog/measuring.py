@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tierwise.functions.fixed_values import TIER_TABLE
+from tierwise.functions.fixed_values import ALLKNN_SEARCH_SPACE, NCR_SEARCH_SPACE, TIER_TABLE, TREE_SEARCH_SPACE
 from tierwise.operators import metrics as M, run_reports as R, search, split, thresholds, tiers
 from tierwise.operators.boosting import calibrate_isotonic, calibrate_sigmoid
 from tierwise.plans.catalog.bindings import (
@@ -307,10 +307,15 @@ def search_trials(spark, sf):
     return rounded(trials.select("trial", "model.*", "sampler.*"))
 
 
-def _trials_sql() -> str:
-    from tierwise.functions.fixed_values import ALLKNN_SEARCH_SPACE, TREE_SEARCH_SPACE
+def search_trials_ncr(spark, sf):
+    """The other cleaner's settings, with the number of trees held at 200."""
+    users = scored_by_user(spark, sf).select(F.col("user_id").alias("trial")).distinct()
+    trials = search.search_trials(users, "borderline_smote_ncr", 42, limits={"n_estimators": 200})
+    return rounded(trials.select("trial", "model.*", "sampler.*"))
 
-    draws = ", ".join(_draw(*row) for row in [*TREE_SEARCH_SPACE, *ALLKNN_SEARCH_SPACE])
+
+def _trials_sql(sampler: list[tuple]) -> str:
+    draws = ", ".join(_draw(*row) for row in [*TREE_SEARCH_SPACE, *sampler])
     return f"with x as (select distinct user_id as trial from events) select trial, {draws} from x"
 
 
@@ -458,7 +463,11 @@ QUERIES = {
         _sigmoid_sql(),
     ),
     "cv_summary": (cv_summary, _cv_sql()),
-    "search_trials": (search_trials, _trials_sql()),
+    "search_trials": (search_trials, _trials_sql(ALLKNN_SEARCH_SPACE)),
+    "search_trials_ncr": (
+        search_trials_ncr,
+        f"select * replace (cast(200 as int) as n_estimators) from ({_trials_sql(NCR_SEARCH_SPACE)})",
+    ),
     "median_prune": (median_prune, f"{STEPS} select * from pr"),
     "best_trial": (best_trial, BEST),
     "run_collect": (

@@ -9,13 +9,20 @@ from pyspark.sql import functions as F
 
 from tierwise.functions.lineage import checkpointed
 from tierwise.operators import boosting, explain, search, tiers
-from tierwise.operators.split import stratified_split
+from tierwise.operators.preprocessing import build_preprocessor
+from tierwise.operators.split import stratified_split, train_and_valid
+from tierwise.operators.thresholds import select_threshold
 from tierwise.plans.catalog.bindings import documents, rounded, table
 from tierwise.plans.scoring import score_records
 
 NUMERIC = ["n_chars", "n_words", "n_unique", "n_lines"]
 CATEGORICAL = ["lang", "source"]
+# Parameters of the queries below: few trees, rounds, folds and trials, over whole tables.
 SMALL_TREES = {"n_estimators": 5, "max_depth": 3, "scale_pos_weight": 7.0, "learning_rate": 0.2}
+STUMP = {
+    "n_estimators": 1, "max_depth": 1, "scale_pos_weight": 7.0, "min_child_weight": 1.0,
+    "subsample": 1.0, "colsample_bytree": 1.0,
+}
 
 
 def _spec(target: str = "toxic", strategy: str = "none", **kw) -> boosting.TrainSpec:
@@ -36,13 +43,83 @@ def gbt_fit_score(spark, sf):
     return rounded(out)
 
 
+def _stump(spark, sf):
+    """One split of a column of 24 whole numbers, so that SQL can try every cut."""
+    rows = table(spark, sf, "events").select(
+        F.col("event_id").alias("key"),
+        (F.col("value") > (F.col("event_id") % 24) * 4).cast("int").alias("label"),
+        F.array((F.col("event_id") % 24).cast("double")).alias("vector"),
+    )
+    return rows, boosting.fit_boosted(rows, STUMP)
+
+
+STUMP_SQL = """with e as (select event_id as key, event_id % 24 as h, cast(value > (event_id % 24) * 4 as int) as y from events),
+ g as (select h, sum(case when y = 1 then 7.0::double else 1 end) as w,
+   sum(case when y = 1 then 7.0::double else -1 end) as s from e group by h),
+ c as (select a.h as cut, sum(b.w) filter (b.h <= a.h) as wl, sum(b.s) filter (b.h <= a.h) as sl,
+   sum(b.w) filter (b.h > a.h) as wr, sum(b.s) filter (b.h > a.h) as sr from g a, g b group by a.h),
+ t as (select * from c where wr is not null order by sl * sl / wl + sr * sr / wr desc, cut limit 1)"""
+
+
+def gbt_stump_score(spark, sf):
+    rows, model = _stump(spark, sf)
+    ready = rows.withColumn("features", boosting.array_to_vector("vector"))
+    out = model.transform(ready).select("key", F.col("label").alias("y"), boosting.positive_probability().alias("p"))
+    return rounded(out)
+
+
+def leaf_table_stump(spark, sf):
+    _, model = _stump(spark, sf)
+    leaves = explain.leaf_table(spark, model).withColumn("part", F.get("path", F.lit(0)))
+    return rounded(
+        leaves.select("tree", "leaf", "value", "cover", F.col("part.ratio").alias("ratio"), "part.low", "part.high")
+        .withColumn("cut", F.when(F.col("leaf") == 1, F.col("high")).otherwise(F.col("low")))
+        .drop("low", "high")
+    )
+
+
+def shap_stump_base(spark, sf):
+    """Base values of a fitted model: mean margin of the background, and of the training rows."""
+    rows, model = _stump(spark, sf)
+    leaves = explain.read_leaves(explain.leaf_table(spark, model))
+    background = explain.background_matrix(rows, "key", "vector")
+    values = [(explain.interventional_base(leaves, background), explain.path_base(leaves))]
+    return rounded(spark.createDataFrame(values, "background double, path double"))
+
+
+def preprocess_complete(spark, sf):
+    """Without gaps the chains change nothing: clipped numbers, then codes, as one vector."""
+    df = checkpointed(table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus"))
+    fitted = build_preprocessor(df.columns[:2], df.columns[2:]).fit(df)
+    x = vector_to_array("features")
+    return rounded(fitted.transform(df).select(*[F.get(x, F.lit(i)).alias(f"x{i}") for i in range(4)]))
+
+
+def _complete_sql() -> str:
+    clipped = ", ".join(
+        f"round(least(greatest({c}, (select quantile_cont({c}, 0.01) from lineitem)),"
+        f" (select quantile_cont({c}, 0.99) from lineitem)), 9) as x{i}"
+        for i, c in enumerate(["l_quantity", "l_extendedprice"])
+    )
+    coded = ", ".join(
+        f"cast((select count(distinct b.{c}) from lineitem b where b.{c} < k.{c}) as double) as x{i}"
+        for i, c in ((2, "l_returnflag"), (3, "l_linestatus"))
+    )
+    return f"""with k as (select distinct l_returnflag, l_linestatus from lineitem), d as (select *, {coded} from k)
+      select {clipped}, x2, x3 from lineitem join d using (l_returnflag, l_linestatus)"""
+
+
 def train_score(spark, sf):
-    """Fit on train, refit on train and valid, score the test rows."""
+    """Fit on train, choose the threshold on valid, refit on both, score the test rows."""
     rows = checkpointed(documents(spark, sf, gaps=True).drop("poor"))
-    split = stratified_split(rows, "toxic", "key", 0.2, 0.15, 42)
-    known = split.where("split <> 'test'").drop("split")
-    model = boosting.RiskEstimator(_spec(strategy="borderline_smote")).fit(known)
-    return rounded(boosting.score(model, split.where("split = 'test'").drop("split"), "key", "toxic"))
+    split = checkpointed(stratified_split(rows, "toxic", "key", 0.2, 0.15, 42))
+    train, valid, test = (split.where(F.col("split") == p).drop("split") for p in ("train", "valid", "test"))
+    estimator = boosting.RiskEstimator(_spec(strategy="borderline_smote"))
+    held = boosting.score(estimator.fit(train), valid, "key", "toxic")
+    cut = float(select_threshold(checkpointed(held), "maximize_f2").first()["threshold"])
+    model = estimator.fit(train_and_valid(split).drop("split"))
+    scored = boosting.score(model, test, "key", "toxic").withColumn("threshold", F.lit(cut))
+    return rounded(scored.withColumn("label", (F.col("p") >= F.lit(cut)).cast("int")))
 
 
 def baseline_cv(spark, sf):
@@ -57,6 +134,25 @@ def random_search(spark, sf):
     return rounded(found.trials.select("trial", "value", "state", "sampler.*"))
 
 
+def baseline_cv_cells(spark, sf):
+    """Rows and positives that each fold was measured on."""
+    rows = checkpointed(documents(spark, sf).drop("toxic"))
+    folds = search.baseline_cv(rows, _spec("poor"), 5, 0.2, parallelism=2)
+    return folds.select(
+        "fold",
+        (F.col("tp") + F.col("fn")).cast("long").alias("positives"),
+        (F.col("tn") + F.col("fp")).cast("long").alias("negatives"),
+    )
+
+
+BASELINE_CELLS = """with s as (select doc_id as key, 1 - quality as y from documents join labels using (doc_id)),
+ r as (select *, row_number() over (partition by y order by md5(concat(cast(key as varchar), '|42')), key) as rn,
+   count(*) over (partition by y) as n from s),
+ f as (select y, cast(1 + (rn > ceil(n * 1 / 5.0::double))::int + (rn > ceil(n * 2 / 5.0::double))::int
+   + (rn > ceil(n * 3 / 5.0::double))::int + (rn > ceil(n * 4 / 5.0::double))::int as int) as fold from r)
+select fold, count(*) filter (y = 1) as positives, count(*) filter (y = 0) as negatives from f group by fold"""
+
+
 def _fitted(spark, sf):
     rows = documents(spark, sf).drop("poor")
     model = boosting.RiskEstimator(_spec()).fit(checkpointed(rows))
@@ -86,6 +182,26 @@ def shap_model(spark, sf):
     return rounded(explained.select("key", "margin", (total + F.lit(base)).alias("explained")))
 
 
+def shap_model_gap(spark, sf):
+    """How far contributions and base value are from the margin, per row."""
+    return shap_model(spark, sf).select("key", F.round(F.abs(F.col("margin") - F.col("explained")), 6).alias("gap"))
+
+
+def score_checks(spark, sf):
+    """Label and tier of every scored record, held against its probability."""
+    p = F.col("predicted_probability")
+    fixed = tiers.fixed_probability_tiers(0.06)
+    tier = F.lit(None).cast("string")
+    for t in sorted(fixed, key=lambda t: t["min_prob"]):
+        tier = F.when(p >= t["min_prob"], t["name"]).otherwise(tier)
+    return score(spark, sf).select(
+        "key",
+        F.col("predicted_label").eqNullSafe((p >= 0.3).cast("int")).alias("label_right"),
+        F.col("risk_tier").eqNullSafe(tier).alias("tier_right"),
+        F.size("explanation").alias("reasons"),
+    )
+
+
 def score(spark, sf):
     rows, model = _fitted(spark, sf)
     leaves = explain.read_leaves(explain.leaf_table(spark, model.stages[1]))
@@ -223,6 +339,34 @@ QUERIES = {
     "leaf_table": (leaf_table, None),
     "shap_model": (shap_model, None),
     "score_records": (score, None),
+    "gbt_stump_score": (
+        gbt_stump_score,
+        f"""{STUMP_SQL} select key, y, round(1 / (1 + exp(-2 * (case when h <= cut then sl / wl else sr / wr end))), 9) as p
+          from e, t""",
+    ),
+    "leaf_table_stump": (
+        leaf_table_stump,
+        f"""{STUMP_SQL} select cast(0 as int) as tree, cast(1 as int) as leaf, round(sl / wl, 9) as value, wl as cover,
+          round(wl / (wl + wr), 9) as ratio, cut + 0.5::double as cut from t
+          union all select 0, 2, round(sr / wr, 9), wr, round(wr / (wl + wr), 9), cut + 0.5::double from t""",
+    ),
+    "shap_stump_base": (
+        shap_stump_base,
+        f"""{STUMP_SQL}, bg as (select * from e order by md5(concat(cast(key as varchar), '|42')), key limit 300)
+          select round(avg(case when h <= cut then sl / wl else sr / wr end), 9) as background,
+          round(any_value((sl + sr) / (wl + wr)), 9) as path from bg, t""",
+    ),
+    "preprocess_complete": (preprocess_complete, _complete_sql()),
+    "baseline_cv_cells": (baseline_cv_cells, BASELINE_CELLS),
+    "shap_model_gap": (
+        shap_model_gap,
+        "select doc_id as key, 0.0::double as gap from documents join labels using (doc_id)",
+    ),
+    "score_checks": (
+        score_checks,
+        """select doc_id as key, true as label_right, true as tier_right, cast(5 as int) as reasons
+          from documents join labels using (doc_id)""",
+    ),
     "shap_interventional": (
         lambda spark, sf: rounded(_long(spark, sf)),
         f"{INTERVENTIONAL} select key, feature, {ROUND} from lg",
