@@ -41,6 +41,22 @@ def test_neighbors_equal_brute_force(crowded, block_rows):
     assert got == brute(x, 4, range(900))
 
 
+@pytest.mark.parametrize("groups", [2, 6])
+def test_groups_of_blocks_equal_brute_force(spark, monkeypatch, groups):
+    """In many dimensions, where no block can be ruled out."""
+    monkeypatch.setattr(N, "MIN_GROUPS", groups)
+    x = np.random.default_rng(5).normal(size=(500, 24))
+    x[50:60] = x[40]
+    got = answer(N.nearest_neighbors(frame(spark, x, np.zeros(500)), "key", "vector", 4, block_rows=20))
+    assert got == brute(x, 4, range(500))
+
+
+def test_vectors_must_be_whole(spark):
+    for rows in ([(1, [1.0]), (2, [1.0, 2.0])], [(1, [1.0]), (2, None)], [(1, [1.0]), (2, [None])]):
+        with pytest.raises(ValueError, match="one length"):
+            N.nearest_neighbors(spark.createDataFrame(rows, "key long, vector array<double>"), "key", "vector", 1)
+
+
 @pytest.mark.parametrize("block_rows", [4096, 60])
 def test_neighbors_of_some_rows_only(crowded, block_rows):
     x, y, df = crowded

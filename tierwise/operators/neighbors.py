@@ -4,15 +4,18 @@ Up to two blocks of points are answered by one task.  Beyond that:
 
 1. Of equal vectors only the k+1 smallest keys can ever be neighbours, so the rest are set
    aside and share the answer of their vector at the end.
-2. Every point goes to its nearest pivot, and points are cut into blocks of bounded size
-   along (pivot, distance to pivot), so that a crowded cell becomes many blocks.
+2. Every point goes to its nearest pivot, and points are cut by counted ranks into blocks
+   of bounded size along (pivot, distance to pivot): a crowded cell becomes many blocks.
 3. Each block answers its own points; the distance to the last neighbour found bounds what
    is still missing.  Triangle and half-space bounds (Lu et al. 2012) name the other
    blocks that can hold anything closer, and points visit those alone.
-4. Visitors of a popular block are spread over slices, each meeting a copy of that block.
+4. Neighbouring blocks form groups of bounded size.  A point travels once to each group that
+   holds a block it must visit, with the numbers of those blocks, and its bound shrinks from
+   block to block.  Visitors of a group are spread over slices, each with a copy of the group.
 
-No task sees more than a block and an equal share of visitors, and only the best k+1 of a
-block leave it, never pairs.
+No task sees more than a group and an equal share of visitors, and only the best k+1 of a
+group leave it, never pairs.  Where the bounds rule out nothing, each vector is shuffled
+about twice per group, not per block.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ from tierwise.functions.lineage import checkpointed
 BLOCK_ROWS = 2048
 MAX_BLOCKS = 1_000_000  # bounds the block table every task reads; blocks grow beyond it
 MAX_PIVOTS = 1024
+GROUP_BYTES = 32 << 20  # vectors of a group of blocks
+MIN_GROUPS = 32  # where there are as many blocks, so that small inputs still use many tasks
 CHUNK_CELLS = 4_000_000  # query x candidate distances held at a time
 
 
@@ -58,13 +63,21 @@ def nearest_neighbors(
         is_query.alias("is_query"),
     )
     shape = _Shape(rows.schema, list(carry), with_vectors)
-    size = rows.count()
+    lengths = rows.agg(
+        F.count(F.lit(1)),
+        F.count_if(F.col("vector").isNull() | F.exists("vector", lambda v: v.isNull())),
+        F.min(F.size("vector")),
+        F.max(F.size("vector")),
+    ).first()
+    size, bad, shortest, width = lengths
+    if bad or shortest != width:
+        raise ValueError("every vector must be present, of one length and without nulls")
     if size <= 2 * block_rows:
         block = rows.withColumn("block", F.lit(0)).groupBy("block")
         found = block.applyInArrow(_within(shape, k + 1), shape.answer)
         found = found.select("key", "vector", *carry, "neighbors")
     else:
-        found = _by_blocks(rows, shape, k + 1, size, block_rows)
+        found = _by_blocks(rows, shape, k + 1, size, block_rows, width)
     others = F.filter("neighbors", lambda n: n["key"] != F.col("key"))
     return found.withColumn("neighbors", F.slice(others, 1, k)).withColumnsRenamed(
         {"key": key, "vector": vector}
@@ -90,13 +103,16 @@ class _Shape:
         self.neighbors = T.StructField("neighbors", T.ArrayType(item))
         base = [schema["key"], schema["vector"], *[schema[c] for c in carry]]
         self.answer = T.StructType([*base, self.neighbors])
+        visit = T.StructType(
+            [T.StructField("group", T.IntegerType()), T.StructField("blocks", T.ArrayType(T.IntegerType()))]
+        )
         self.local = T.StructType(
             [
                 schema["key"],
                 schema["vector"],
                 self.neighbors,
                 T.StructField("bound", T.DoubleType()),
-                T.StructField("visit", T.ArrayType(T.IntegerType())),
+                T.StructField("visit", T.ArrayType(visit)),
             ]
         )
         self.partial = T.StructType([schema["key"], self.neighbors])
@@ -108,10 +124,12 @@ def _plain(table: pa.Table) -> pa.Table:
     return table.set_column(at, "vector", table.column("vector").cast(pa.list_(pa.float64())))
 
 
+def _whole(column: pa.ChunkedArray) -> pa.Array:
+    return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+
+
 def _matrix(table: pa.Table, name: str = "vector") -> np.ndarray:
-    column = table.column(name).combine_chunks()
-    if isinstance(column, pa.ChunkedArray):
-        column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.list_(pa.float64()))
+    column = _whole(table.column(name))
     if len(column) == 0:
         return np.zeros((0, 0))
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
@@ -170,13 +188,8 @@ def _lists(shape: _Shape, candidates: pa.Table, qi, ci, d2, n_queries: int) -> p
     """Neighbour lists, one per query, as an Arrow list of structs."""
     offsets = np.searchsorted(qi, np.arange(n_queries + 1)).astype(np.int32)
     kept = ["key", *shape.carry, *(["vector"] if shape.with_vectors else [])]
-    picked = candidates.select(kept).take(pa.array(ci)).combine_chunks()
-    arrays = [pa.array(d2)]
-    for name in kept:
-        column = picked.column(name)
-        if isinstance(column, pa.ChunkedArray):
-            column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
-        arrays.append(column)
+    picked = candidates.select(kept).take(pa.array(ci))
+    arrays = [pa.array(d2), *[_whole(picked.column(name)) for name in kept]]
     items = pa.StructArray.from_arrays(arrays, names=["d2", *kept])
     return pa.ListArray.from_arrays(pa.array(offsets), items)
 
@@ -195,9 +208,10 @@ def _within(shape: _Shape, k: int):
 # ---------------------------------------------------------------- many blocks
 
 
-def _by_blocks(rows: DataFrame, shape: _Shape, k: int, size: int, block_rows: int) -> DataFrame:
+def _by_blocks(rows: DataFrame, shape: _Shape, k: int, size: int, block_rows: int, width: int) -> DataFrame:
     block_rows = max(block_rows, math.ceil(size / MAX_BLOCKS))
     n_blocks = math.ceil(size / block_rows)
+    in_group = max(1, min(GROUP_BYTES // (8 * max(1, width) * block_rows), n_blocks // MIN_GROUPS))
     copies = Window.partitionBy("vector").orderBy("key")
     points = rows.withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= k)
     # A vector is asked for if any of its rows is, whichever of them stayed.
@@ -218,35 +232,46 @@ def _by_blocks(rows: DataFrame, shape: _Shape, k: int, size: int, block_rows: in
             ]
         ),
     )
-    ranged = placed.repartitionByRange(n_blocks, "cell", "reach", "key")
-    # Written once: block numbers must not change when a task is run again.
-    blocks = checkpointed(ranged.withColumn("block", F.spark_partition_id()))
+    ranged = placed.repartitionByRange(math.ceil(n_blocks / in_group), "cell", "reach", "key")
+    # Written once: numbers must not change when a task is run again.
+    parts = checkpointed(ranged.withColumn("_part", F.spark_partition_id()))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    first = parts.groupBy("_part").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(block_rows))).alias("_n"))
+    first = first.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))  # a row per part
+    within = Window.partitionBy("_part").orderBy("cell", "reach", "key")
+    number = F.col("_first") + F.floor((F.row_number().over(within) - 1) / F.lit(float(block_rows)))
+    blocks = checkpointed(
+        parts.join(F.broadcast(first), "_part")
+        .withColumn("block", number.cast("int"))
+        .withColumn("group", F.floor(F.col("block") / F.lit(float(in_group))).cast("int"))
+        .drop("_part", "_first")
+    )
 
     spans = blocks.groupBy("block", "cell").agg(F.min("reach").alias("low"), F.max("reach").alias("high"))
     # At most one row per block and per pivot.
     spans = spans.orderBy("cell", "block").toPandas().to_numpy(dtype=float)
 
     local = checkpointed(
-        blocks.groupBy("block").applyInArrow(_local(shape, k, pivots, spans), shape.local)
+        blocks.groupBy("block").applyInArrow(_local(shape, k, pivots, spans, in_group), shape.local)
     )
-    visits = local.select("key", "vector", "bound", F.explode("visit").alias("block"))
-    slices = visits.groupBy("block").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(float(block_rows))).cast("int").alias("slices")
+    visits = local.select("key", "vector", "bound", F.explode("visit").alias("_v")).select(
+        "key", "vector", "bound", "_v.group", "_v.blocks"
     )
-    slices = F.broadcast(slices)  # one row per block, MAX_BLOCKS at most
-    visitors = visits.join(slices, "block").select(
-        "key", "vector", "bound", "block", F.pmod(F.xxhash64("key"), F.col("slices")).cast("int").alias("slice")
+    slices = visits.groupBy("group").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(float(block_rows * in_group))).cast("int").alias("slices")
     )
-    copies_of = slices.select(F.col("block").alias("_host"), F.col("slices").alias("_copies"))
+    slices = F.broadcast(slices)  # one row per group, MAX_BLOCKS at most
+    visitors = visits.join(slices, "group").withColumn("slice", F.pmod(F.xxhash64("key"), F.col("slices")).cast("int"))
     hosts = (
-        blocks.join(copies_of, F.col("block") == F.col("_host"))
-        .repartition(F.col("key"))  # spreads the copying of popular blocks
-        .withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
-        .drop("_host", "_copies")
+        blocks.select("key", "vector", *shape.carry, "block", "group")
+        .join(slices, "group")
+        .repartition(F.col("key"))  # spreads the copying of popular groups
+        .withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
     )
     abroad = (
-        visitors.groupBy("block", "slice")
-        .cogroup(hosts.groupBy("block", "slice"))
+        visitors.drop("slices")
+        .groupBy("group", "slice")
+        .cogroup(hosts.drop("slices").groupBy("group", "slice"))
         .applyInArrow(_visit(shape, k), shape.partial)
     )
     near = local.select("key", "neighbors").unionByName(abroad)
@@ -306,7 +331,7 @@ def _place(pivots: np.ndarray):
     return place
 
 
-def _local(shape: _Shape, k: int, pivots: np.ndarray, spans: np.ndarray):
+def _local(shape: _Shape, k: int, pivots: np.ndarray, spans: np.ndarray, in_group: int):
     """Answer a block's own points and name the other blocks they must visit."""
     span_block, span_cell, low, high = (spans[:, i] for i in range(4))
     starts = np.searchsorted(span_cell, np.arange(len(pivots) + 1))
@@ -324,19 +349,20 @@ def _local(shape: _Shape, k: int, pivots: np.ndarray, spans: np.ndarray):
         last = np.cumsum(counts) - 1
         full = counts >= k
         bound[full] = d2[last[full]]
-        visit = _visits(_matrix(asked), bound, home) if n else [[]]
+        pairs = _visits(_matrix(asked), bound, home) if n else np.zeros((0, 2), dtype=np.int64)
         return pa.table(
             [
                 asked.column("key"),
                 asked.column("vector"),
                 lists,
                 pa.array(bound),
-                pa.array(visit if n else [], pa.list_(pa.int32())),
+                _by_group(pairs, n, in_group),
             ],
             names=["key", "vector", "neighbors", "bound", "visit"],
         )
 
-    def _visits(q: np.ndarray, bound: np.ndarray, home: int) -> list[np.ndarray]:
+    def _visits(q: np.ndarray, bound: np.ndarray, home: int) -> np.ndarray:
+        """Pairs of query and block, in order."""
         gaps = _to_pivots(q, pivots)
         own = gaps.argmin(axis=1)
         mine = gaps[np.arange(len(q)), own]
@@ -363,20 +389,58 @@ def _local(shape: _Shape, k: int, pivots: np.ndarray, spans: np.ndarray):
             at.append(idx[i])
             where.append(span_block[s:e][j])
         if not at:
-            return [np.zeros(0, dtype=np.int32)] * len(q)
-        pairs = np.unique(np.column_stack([np.concatenate(at), np.concatenate(where)]), axis=0)
-        cuts = np.searchsorted(pairs[:, 0], np.arange(1, len(q)))
-        return np.split(pairs[:, 1].astype(np.int32), cuts)
+            return np.zeros((0, 2), dtype=np.int64)
+        return np.unique(np.column_stack([np.concatenate(at), np.concatenate(where)]).astype(np.int64), axis=0)
 
     return answer
 
 
+def _by_group(pairs: np.ndarray, n: int, in_group: int) -> pa.Array:
+    """The blocks of every query, listed by group."""
+    group = pairs[:, 1] // in_group
+    new = np.ones(len(pairs), dtype=bool)
+    new[1:] = (pairs[1:, 0] != pairs[:-1, 0]) | (group[1:] != group[:-1])
+    starts = np.flatnonzero(new)
+    inner = np.append(starts, len(pairs)).astype(np.int32)
+    outer = np.searchsorted(pairs[starts, 0], np.arange(n + 1)).astype(np.int32)
+    blocks = pa.ListArray.from_arrays(pa.array(inner), pa.array(pairs[:, 1].astype(np.int32)))
+    items = pa.StructArray.from_arrays([pa.array(group[starts].astype(np.int32)), blocks], names=["group", "blocks"])
+    return pa.ListArray.from_arrays(pa.array(outer), items)
+
+
 def _visit(shape: _Shape, k: int):
+    """Answer visitors from a group, block by block under a shrinking bound."""
+
     def answer(visitors: pa.Table, hosts: pa.Table) -> pa.Table:
         visitors, hosts = _plain(visitors), _plain(hosts)
-        bound = visitors.column("bound").to_numpy()
-        qi, ci, d2 = _nearest(_matrix(visitors), _matrix(hosts), _key_rank(hosts), k, bound)
-        lists = _lists(shape, hosts, qi, ci, d2, len(visitors))
-        return pa.table([visitors.column("key"), lists], names=["key", "neighbors"])
+        n = len(visitors)
+        q, c, rank = _matrix(visitors), _matrix(hosts), _key_rank(hosts)
+        bound = visitors.column("bound").to_numpy().copy()
+        lists = _whole(visitors.column("blocks"))
+        owner = np.repeat(np.arange(n), lists.value_lengths().to_numpy())
+        owner, wanted = _sorted_by(lists.flatten().to_numpy(), owner)
+        place, block = _sorted_by(hosts.column("block").to_numpy(), np.arange(len(hosts)))
+        best_d, best_c = np.full((n, k), np.inf), np.zeros((n, k), dtype=np.int64)
+        for b in np.unique(wanted):
+            who = owner[np.searchsorted(wanted, b) : np.searchsorted(wanted, b, side="right")]
+            at = place[np.searchsorted(block, b) : np.searchsorted(block, b, side="right")]
+            qi, ci, d2 = _nearest(q[who], c[at], rank[at], k, bound[who])
+            slot = np.arange(len(qi)) - np.searchsorted(qi, qi)
+            new_d, new_c = np.full((len(who), k), np.inf), np.zeros((len(who), k), dtype=np.int64)
+            new_d[qi, slot], new_c[qi, slot] = d2, at[ci]
+            d, j = np.hstack([best_d[who], new_d]), np.hstack([best_c[who], new_c])
+            order = np.lexsort((rank[j], d), axis=1)[:, :k]
+            best_d[who], best_c[who] = np.take_along_axis(d, order, 1), np.take_along_axis(j, order, 1)
+            bound[who] = np.minimum(bound[who], best_d[who, k - 1])
+        held = np.isfinite(best_d)
+        qi = np.repeat(np.arange(n), held.sum(axis=1))
+        found = _lists(shape, hosts, qi, best_c[held], best_d[held], n)
+        return pa.table([visitors.column("key"), found], names=["key", "neighbors"])
 
     return answer
+
+
+def _sorted_by(values: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``other`` in the order of ``values``, and ``values`` sorted."""
+    order = np.argsort(values, kind="stable")
+    return other[order], values[order]
