@@ -24,7 +24,9 @@ HEADLINE = [
     "mice_numeric",
     "ordinal_encode",
     "knn_join",
+    "knn_join_blocks",
     "borderline_smote",
+    "borderline_smote_blocks",
     "resample_allknn",
     "resample_ncr",
     "resample_tomek",

@@ -92,8 +92,8 @@ TOMEK = """nn as materialized (select i, j, il, jl from (select *, row_number()
 KEPT = "select key, label, synthetic"
 
 
-def _resampled(strategy: str):
-    return lambda spark, sf: R.resample(vectors(spark, sf), strategy).select("key", "label", "synthetic")
+def _resampled(strategy: str, **settings):
+    return lambda spark, sf: R.resample(vectors(spark, sf), strategy, **settings).select("key", "label", "synthetic")
 
 
 PLAIN = f"{VECTORS}, {_pairs('v', 'pw')}"
@@ -170,3 +170,19 @@ QUERIES = {
           (select case when i_label = 0 then i else j end from tl)""",
     ),
 }
+
+# The way taken by large tables, with the same answers: many blocks at every scale.
+MANY = {"block_rows": 64}
+QUERIES |= {
+    "borderline_smote_blocks": (
+        lambda spark, sf: _shown(R.borderline_smote(vectors(spark, sf), **MANY)),
+        QUERIES["borderline_smote"][1],
+    ),
+    "enn_clean_blocks": (
+        lambda spark, sf: R.enn_clean(vectors(spark, sf), 3, **MANY).select("key", "label"),
+        QUERIES["enn_clean"][1],
+    ),
+    "resample_allknn_blocks": (_resampled("borderline_smote_allknn", **MANY), QUERIES["resample_allknn"][1]),
+    "resample_ncr_blocks": (_resampled("borderline_smote_ncr", **MANY), QUERIES["resample_ncr"][1]),
+    "resample_tomek_blocks": (_resampled("borderline_smote_tomek", **MANY), QUERIES["resample_tomek"][1]),
+}
