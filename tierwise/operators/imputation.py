@@ -11,7 +11,6 @@ on the distinct code combinations with their counts as weights.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator, Sequence
 
 import numpy as np
