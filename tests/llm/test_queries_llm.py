@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tierwise.llm import (
+    blocks,
     catalog,
     chat,
     components,
@@ -199,6 +200,34 @@ def test_near_duplicates_equal_brute_force(spark, sf):
                 assert distance(texts[a], texts[b]) <= 0.3 * max(len(texts[a]), len(texts[b]))
 
 
+def test_near_duplicates_of_members_that_are_no_centers(spark):
+    def replaced(w, at, n, seed):
+        return [*w[:at], *prose(seed, n).split(), *w[at + n :]]
+
+    base = prose(40, 200).split()
+    family = [replaced(base, i % 140, 4, 100 + i) for i in range(150)]
+    bridge = replaced(family[23], 160, 38, 41)  # 0.81 like family[23], less like the others
+    other = replaced(bridge, 110, 38, 42)  # 0.81 like the bridge
+    texts = [*map(" ".join, [*family, bridge, other]), prose(43, 200)]
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicate_classes(frame(spark, [*enumerate(texts)])).collect()}
+    assert got == {**dict.fromkeys(range(152), 0), 152: 152}
+
+
+def test_all_members_meet_in_blocks(spark):
+    rows = [(b, n, n % 5 < c) for b, size, c in [(1, 1, 0), (2, 9, 0), (3, 40, 4), (4, 6, 5), (5, 30, 1)] for n in range(size)]
+
+    def meet(table, meetings):
+        bucket, node = table.column("bucket").to_pylist(), table.column("node").to_pylist()
+        pairs = [(bucket[i], *sorted((node[i], node[k]))) for i, others in meetings for k in others.tolist()]
+        columns = list(zip(*pairs)) or [(), (), ()]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["bucket", "a", "b"])
+
+    members = spark.createDataFrame(rows, "bucket long, node long, joined boolean")
+    found = blocks.meet_in_blocks(members, "bucket long, a long, b long", meet, F.col("joined"), block=4)
+    want = [(b, m, n) for b, m, x in rows for c, n, y in rows if b == c and m < n and not (x and y)]
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(50, 40), (40, 45), (None, 3), (9, 9)], "a long, b long")
     got = {r["node"]: r["label"] for r in components.components(links).collect()}

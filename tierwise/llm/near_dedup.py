@@ -6,7 +6,9 @@ takes the two labelled shingles of least hash and keeps them in text order, so i
 where the same shingles come in the same order.  Two entries make a band.  In each band bucket
 every text is compared with the bucket's least member, which is one comparison a member and not
 all pairs; members that differ from it go on to the next round with longer keys, until no bucket
-has two members left.  Texts that agree in enough entries are aligned: shingles that both have
+has two members left.  Then, in each bucket whose texts are not one class yet, texts of different
+classes meet in blocks of bounded size, so that all pairs with a common bucket are met or joined by
+a chain of links.  Texts that agree in enough entries are aligned: shingles that both have
 within a diagonal band are chained in order and the words between them aligned one by one, which
 gives an edit distance.  Exact copies are one text throughout.
 """
@@ -21,6 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tierwise.llm.blocks import meet_in_blocks
 from tierwise.llm.components import components
 from tierwise.llm.frames import checkpointed
 from tierwise.llm.words import MARKS, Words, mix, slices, words_of
@@ -156,6 +159,11 @@ def aligned_similarity(
     most = int((1 - least) * longer + 1e-9)
     if not len(a) or not len(b) or abs(len(words_a) - len(words_b)) > most:
         return 0.0
+    # Every word of the longer text without an equal one in the other is an edit.
+    (own, n), (others, m) = (np.unique(w, return_counts=True) for w in (words_a, words_b))
+    _, i, j = np.intersect1d(own, others, assume_unique=True, return_indices=True)
+    if longer - int(np.minimum(n[i], m[j]).sum()) > most:
+        return 0.0
     order = np.argsort(b)
     at = np.searchsorted(b[order], a)
     at[at == len(b)] = 0
@@ -244,10 +252,11 @@ def _further(bucket: str, sketch: str, turn: int) -> Column:
     return F.array(*[F.xxhash64(bucket, F.lit(b), *own) for b, own in zip(begins, entries)])
 
 
-def _candidates(members: DataFrame, sketch: DataFrame, turn: int) -> tuple[DataFrame, int]:
+def _candidates(members: DataFrame, sketch: DataFrame, turn: int) -> tuple[DataFrame, int, DataFrame]:
     """``bucket, center, member`` of ``members(node, bucket)`` whose sketches agree with their
-    bucket's least node.  Those that disagree meet again under longer keys until none is left."""
-    found = None
+    bucket's least node.  Those that disagree meet again under longer keys until none is left.
+    The last result has ``bucket, center, member`` of all buckets given, agreeing or not."""
+    found = first = None
     while True:
         least = members.groupBy("bucket").agg(F.min("node").alias("center"), F.max("node").alias("_last"))
         least = least.where("center <> _last").drop("_last")
@@ -264,17 +273,71 @@ def _candidates(members: DataFrame, sketch: DataFrame, turn: int) -> tuple[DataF
                 "bucket", "center", "member", "near", F.when(~F.col("near"), _further("bucket", "_m", turn)).alias("on")
             )
         )
+        first = met.select("bucket", "center", "member") if first is None else first
         near = met.where("near").select("bucket", "center", "member")
         found = near if found is None else found.unionByName(near)
         turn += 1
         apart = met.where("not near")
         if not apart.limit(1).count():
-            return found, turn
+            return found, turn, first
         members = apart.select(F.col("member").alias("node"), F.explode("on").alias("bucket")).distinct()
 
 
-def near_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """``nodes(node, id)``, one row a document with text, and ``links(a, b, similarity)``.
+def _strangers(table: pa.Table, meetings: Iterator[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+    """Links between members of different labels; labels joined on the way do not meet again."""
+    node = table.column("node").to_pylist()
+    label = pc.dictionary_encode(table.column("label").combine_chunks()).indices.to_numpy().copy()
+    sketch = table.column("sketch").combine_chunks().flatten().to_numpy().reshape(-1, ENTRIES)
+    words = _normal_words(table.column("text").combine_chunks())
+    counts, first = words.counts, words.first
+    shingles, offsets = _labelled(words)
+    band = sketch.reshape(len(sketch), -1, BAND)
+    common = (band == band[0]).all(axis=(0, 2))  # the bucket's own band, rarely others too
+    found = []
+    for i, others in meetings:
+        longer = np.maximum(counts[others], counts[i])
+        # The difference in words is the least number of edits.
+        fits = np.abs(counts[others] - counts[i]) <= (1 - SIMILARITY) * longer + 1e-9
+        others = others[fits & (label[others] != label[i])]
+        if not len(others):
+            continue
+        same = sketch[others] == sketch[i]
+        # Two texts meet in the bucket of their first common band only.
+        here = common[same.reshape(len(others), -1, BAND).all(axis=2).argmax(axis=1)]
+        agree = same.sum(axis=1)
+        near = np.flatnonzero(here & (agree >= AGREE))
+        for k in others[near[np.argsort(-agree[near], kind="stable")]].tolist():
+            if label[k] == label[i]:
+                continue
+            a, b = (slice(first[x], first[x + 1]) for x in (i, k))
+            c, d = (slice(offsets[x], offsets[x + 1]) for x in (i, k))
+            similarity = aligned_similarity(words.hashes[a], shingles[c], words.hashes[b], shingles[d])
+            if similarity > 0:
+                found.append((node[i], node[k], similarity))
+                label[label == label[k]] = label[i]
+    columns = list(zip(*found)) or [(), (), ()]
+    kinds = (pa.binary(), pa.binary(), pa.float64())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["a", "b", "similarity"])
+
+
+def _mixed(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """``bucket, node, label, most`` of the buckets of ``met`` with more than one label.
+
+    ``most`` is the label that most members of the bucket have.
+    """
+    centers = met.select("bucket", F.col("center").alias("node")).distinct()
+    members = met.select("bucket", F.col("member").alias("node")).unionByName(centers)
+    members = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    sizes = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label"))["label"].alias("most"), F.count(F.lit(1)).alias("n"))
+    return members.join(sizes.where("n > 1").select("bucket", "most"), "bucket")
+
+
+def near_links(
+    docs: DataFrame, key: str = "doc_id", text: str = "text"
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``nodes(node, id)``, one row a document with text, ``links(a, b, similarity)`` and
+    ``labels(node, label)`` of the texts with links.
 
     ``node`` is the digest of a text, so copies share it; links are between different texts.
     """
@@ -289,14 +352,17 @@ def near_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tupl
     spots = range(0, ENTRIES, BAND)
     bands = F.array(*[F.xxhash64(F.lit(e), *[F.col("sketch")[e + k] for k in range(BAND)]) for e in spots])
     members = sketch.where(F.exists("sketch", lambda x: x != 0)).select("node", F.explode(bands).alias("bucket"))
-    found, turn = _candidates(members, sketch, 0)
-    # Later rounds only meet texts of the first, so their texts are brought here once.
-    needed = found.select(F.explode(F.array("center", "member")).alias("_node")).distinct()
-    needed = nodes.select(F.col("node").alias("_node"), F.col("id").alias("_id")).join(needed, "_node")
-    # Identical rows of one id may all stay; they only repeat a comparison.
-    texts = checkpointed(
-        own.join(needed, (own["node"] == needed["_node"]) & own["id"].eqNullSafe(needed["_id"])).select("node", "text")
-    )
+    found, turn, met = _candidates(members, sketch, 0)
+
+    def texts_of(which: DataFrame) -> DataFrame:
+        needed = which.select(F.col("node").alias("_node")).distinct()
+        needed = nodes.select(F.col("node").alias("_node"), F.col("id").alias("_id")).join(needed, "_node")
+        # Identical rows of one id may all stay; they only repeat a comparison.
+        same = (own["node"] == needed["_node"]) & own["id"].eqNullSafe(needed["_id"])
+        return checkpointed(own.join(needed, same).select("node", "text"))
+
+    # Later rounds with longer keys only meet texts of the first, so their texts are brought here once.
+    texts = texts_of(found.select(F.explode(F.array("center", "member")).alias("node")))
     links = failed = None
     while True:
         pairs = found.select("center", "member").distinct()
@@ -309,10 +375,24 @@ def near_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tupl
         failed = apart if failed is None else failed.unionByName(apart)
         apart = found.join(failed, ["center", "member"])
         if not apart.limit(1).count():
-            return sketched.select("node", "id"), links
+            break
         again = apart.select("bucket", F.col("member").alias("node")).distinct().join(sketch, "node")
         members = again.select("node", F.explode(_further("bucket", "sketch", turn)).alias("bucket")).distinct()
-        found, turn = _candidates(members, sketch, turn + 1)
+        found, turn, _ = _candidates(members, sketch, turn + 1)
+    # So far a text met the centers of its buckets; now it meets all members of other classes.
+    links = checkpointed(links)
+    labels = components(links)
+    mixed = checkpointed(_mixed(met, labels))
+    if mixed.limit(1).count():
+        # Identical rows of one id are one here.
+        texts = texts_of(mixed.select("node")).dropDuplicates(["node"])
+        members = mixed.join(sketch, "node").join(texts, "node")
+        own_class = F.col("label") == F.col("most")
+        more = checkpointed(meet_in_blocks(members, "a binary, b binary, similarity double", _strangers, own_class))
+        if more.limit(1).count():
+            links = links.unionByName(more)
+            labels = components(links)
+    return sketched.select("node", "id"), links, labels
 
 
 def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -325,9 +405,7 @@ def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "te
     a null text is a class of its own, and a row with a null key gets the class of its text, or
     null if no row of it has a key.  Repeated rows stay, one result row each.
     """
-    rows, links = near_links(docs, key, text)
-    links = checkpointed(links)
-    labels = components(links)
+    rows, links, labels = near_links(docs, key, text)
     both = links.select("a", "b").union(links.select("b", "a")).distinct()
     degree = both.groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("n_links"))
     ids = rows.groupBy("node").agg(F.min("id").alias("_least"))
