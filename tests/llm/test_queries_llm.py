@@ -266,6 +266,20 @@ def test_training_helps(spark, sf):
     assert all((empty[k] == v).all() for k, v in masked_lm.initial().items())
 
 
+def test_default_rounds_train_every_word(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    seen, rest = docs.where("doc_id % 4 > 0"), docs.where("doc_id % 4 = 0")
+    mean = lambda w: masked_lm.score(rest, w).agg(F.sum("log_prob") / F.sum("n_tokens")).first()[0]
+    assert mean(masked_lm.fit(seen)) > mean(masked_lm.initial()) + 0.02
+    table = pa.table({"text": [prose(i, 50 + i) for i in range(20)]})
+    for rounds in (1, masked_lm.ROUNDS, 3, 8):
+        flat, targets = masked_lm._flat(masked_lm.initial()), 0.0
+        for turn in range(rounds):
+            run = masked_lm._train("text", flat, turn, rounds, 0)
+            targets += sum(b.column("words")[0].as_py() for b in run(iter(table.to_batches())))
+        assert targets == sum(50 + i for i in range(20))
+
+
 def test_remove_repeated_edges(spark):
     long = prose(12, 30)
     rows = [*EDGE, (7, "x " + long), (8, long + " y"), (8, long), (None, long), (9, prose(13, 12) + " " + long[:5])]

@@ -6,7 +6,8 @@ probability of the word in between: first the upper half of its output bucket, t
 half given the upper, so probabilities add up to 1 over all buckets.  The log-probabilities of all
 words of a text, each from both sides, add up to the score of the text.
 
-Training masks one of eight places of every text in each round.  Every partition trains on its
+Training deals the places of every text to eight masks, and the masks to the rounds in turn, so
+that every word is a training target in one round (of more than eight rounds, again).  Every partition trains on its
 own words from the weights of the round before, and their weights are averaged by words, in
 groups of bounded size until one is left, so what is gathered grows with the corpus.
 """
@@ -132,16 +133,18 @@ def _step(weights: Weights, around: np.ndarray, upper: np.ndarray, lower: np.nda
         weights["place"][i] -= rate * (back * seen).sum(axis=0)
 
 
-def _train(text: str, flat: np.ndarray, turn: int):
+def _train(text: str, flat: np.ndarray, turn: int, rounds: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, seen = _unflat(flat), 0
         for batch in batches:
             for low, high in slices(batch, text):
                 words = words_of(batch.column(text).slice(low, high - low))
                 inputs, upper, lower = _buckets(words)
-                place = np.arange(len(inputs))
-                masked = np.flatnonzero(mix(words.hashes + place.astype(np.uint64), turn) % np.uint64(MASKED) == 0)
-                masked = masked[np.argsort(mix(masked.astype(np.uint64), turn + 1))]
+                # By the place inside its text, so that each word falls to one mask in all rounds.
+                place = np.arange(len(inputs)) - np.repeat(words.first[:-1], words.counts)
+                mask = (mix(words.hashes + place.astype(np.uint64), seed) % np.uint64(MASKED)).astype(np.int64)
+                masked = np.flatnonzero((mask - turn) % min(rounds, MASKED) == 0)
+                masked = masked[np.argsort(mix(masked.astype(np.uint64), seed + turn + 1))]
                 for i in range(0, len(masked), BATCH):
                     at = masked[i : i + BATCH]
                     # A last small batch moves the weights less.
@@ -183,14 +186,14 @@ def _averaged(trained: DataFrame, parts: int) -> np.ndarray | None:
 
 
 def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, seed: int = 0) -> Weights:
-    """Weights trained on all texts; the driver holds one set of weights at a time.
+    """Weights trained on all words of all texts; the driver holds one set of weights at a time.
 
     Null and empty texts teach nothing; without any word the weights stay as drawn.
     """
     weights, own = initial(seed), docs.select(F.col(text))
     parts = own.rdd.getNumPartitions()
     for turn in range(rounds):
-        trained = own.mapInArrow(_train(text, _flat(weights), seed + turn), "part long, words double, weights binary")
+        trained = own.mapInArrow(_train(text, _flat(weights), turn, rounds, seed), "part long, words double, weights binary")
         flat = _averaged(trained, max(1, parts))
         if flat is not None:
             weights = _unflat(flat)
