@@ -114,6 +114,28 @@ def test_alike_pairs(spark):
     assert [(r["a"], r["b"]) for r in pairs] == [(1, 2)]
 
 
+def test_alike_pairs_equal_brute_force(spark):
+    r = random.Random(8)
+    texts = ["".join(r.choice("ab") for _ in range(r.randint(1, 16))) for _ in range(400)]
+    texts += [prose(50 + i // 2, 60) + " zz" * (i % 2) for i in range(40)]
+    prints = fingerprints.fingerprint_texts(texts)
+    first = {p: i for i, p in reversed([*enumerate(prints)])}
+    bands = {p: set(fingerprints.band_keys(p, 21)) for p in first}
+    want = {
+        (i, k): fingerprints.likeness(p, q)
+        for p, i in first.items()
+        for q, k in first.items()
+        if i < k and bands[p] & bands[q] and fingerprints.likeness(p, q) >= 0.8
+    }
+    docs = fingerprints.fingerprints(frame(spark, [*enumerate(texts)]))
+    got = {(row["a"], row["b"]): row["likeness"] for row in fingerprints.alike_pairs(docs).collect()}
+    assert got == want
+    few = {i for i, p in enumerate(prints) if fingerprints._unpack(p)[0] < fingerprints.BAND_BITS}
+    assert any(i in few for i, _ in want) and any(i >= 400 for i, _ in want)
+    members = {row["doc_id"]: row["id"] for row in fingerprints.equal_fingerprints(docs).collect()}
+    assert members == {i: first[p] for i, p in enumerate(prints)} and len(set(members.values())) < len(texts)
+
+
 def test_mix_stays_within_a_block(spark):
     weights = {"a": 5, "b": 2, None: 3, "d": 1.0}
     rows = [(i, "abd"[i % 3] if i % 7 else None) for i in range(400)] + [(0, "b")]

@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tierwise.llm.frames import partitions
 
@@ -34,7 +34,7 @@ def _meetings(one: int, two: int, slot: np.ndarray) -> Iterator[tuple[int, np.nd
             yield i, others
 
 
-def meet_in_blocks(members: DataFrame, schema: str, meet: Meet, crowd: Column | None = None, block: int = BLOCK) -> DataFrame:
+def meet_in_blocks(members: DataFrame, schema: str | T.StructType, meet: Meet, crowd: Column | None = None, block: int = BLOCK) -> DataFrame:
     """What ``meet`` gives for ``members(bucket, node, ...)``, one row a member of a bucket.
 
     Any two members of a bucket meet in one group, unless both are of the ``crowd``.

@@ -16,10 +16,10 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tierwise.llm.blocks import meet_in_blocks
 from tierwise.llm.frames import partitions
 from tierwise.llm.words import mix, slices
 
@@ -195,10 +195,14 @@ def likeness(one: str, other: str) -> float:
     return min(1.0, max(0.0, alike / total)) if total else 0.0
 
 
-def band_keys(fingerprint: str) -> list[str]:
-    """Octave, place and value of each band of BAND_BITS sampled bits."""
-    keys = []
-    for k, bits in _unpack(fingerprint)[1].items():
+def band_keys(fingerprint: str, short: float = BAND_BITS) -> list[str]:
+    """Octave, place and value of each band of BAND_BITS sampled bits.
+
+    A walk of fewer than ``short`` steps also has the band that all such walks share.
+    """
+    steps, octaves = _unpack(fingerprint)
+    keys = ["short"] if 0 < steps < short else []
+    for k, bits in octaves.items():
         for i in range(0, len(bits) - BAND_BITS + 1, BAND_BITS):
             keys.append(f"{k}.{i}.{np.packbits(bits[i : i + BAND_BITS]).tobytes().hex()}")
     return keys
@@ -222,31 +226,65 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return own.mapInArrow(_batches(fingerprint_texts, [text], [key]), schema)
 
 
-@F.pandas_udf(T.DoubleType())
-def _likeness_column(a: pd.Series, b: pd.Series) -> pd.Series:
-    return a.combine(b, likeness).astype("float64")
-
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _band_column(a: pd.Series) -> pd.Series:
-    return a.map(band_keys)
+def _band_column(short: float):
+    return F.pandas_udf(lambda a: a.map(lambda x: band_keys(x, short)), T.ArrayType(T.StringType()))
+
+
+def _alike_in_block(least: float):
+    def meet(table: pa.Table, meetings: Iterator[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+        ids, prints = table.column("node"), table.column("fingerprint").to_pylist()
+        parts = [_unpack(p) for p in prints]
+        taken = np.array([steps for steps, _ in parts])
+        has, seen = {}, {}
+        for k in sorted({k for _, bits in parts for k in bits}):
+            has[k] = np.array([k in bits for _, bits in parts])
+            seen[k] = np.zeros((len(parts), len(_samples(k))), np.uint8)
+            for row in np.flatnonzero(has[k]):
+                seen[k][row] = parts[row][1][k]
+        one, two, found = [], [], []
+        for i, others in meetings:
+            short, long = np.minimum(taken[others], taken[i]), np.maximum(taken[others], taken[i])
+            alike, total = np.zeros(len(others)), np.zeros(len(others))
+            for k, where in ((k, _samples(k)) for k in has):
+                steps = np.minimum(long, 2 << k) - (1 << k if k else 0)
+                total += np.where(has[k][others] | has[k][i], steps, 0)
+                counted, both = np.searchsorted(where, long), np.searchsorted(where, short)
+                equal = (seen[k][others] == seen[k][i]) & (np.arange(len(where)) < both[:, None])
+                share = (2.0 * equal.sum(axis=1) - both) / np.maximum(counted, 1)
+                alike += np.where(has[k][others] & has[k][i] & (both > 0), steps * share, 0)
+            for k in others[alike >= (least - 1e-9) * total].tolist():
+                value = likeness(prints[i], prints[k])
+                if value >= least:
+                    one.append(i)
+                    two.append(k)
+                    found.append(value)
+        columns = [ids.take(pa.array(x, pa.int64())).combine_chunks() for x in (one, two)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.float64())], ["a", "b", "likeness"])
+
+    return meet
+
+
+def equal_fingerprints(prints: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``key, id`` for each row: the least key with the row's fingerprint, which stands for it in ``alike_pairs``."""
+    least = prints.groupBy("fingerprint").agg(F.min(key).alias("id"))
+    return prints.join(least, "fingerprint").select(key, "id")
 
 
 def alike_pairs(prints: DataFrame, key: str = "doc_id", least: float = 0.8) -> DataFrame:
-    """``a, b, likeness`` between different fingerprints that share a band and are alike enough.
+    """``a, b, likeness`` of all pairs of different fingerprints that share a band and are alike enough.
 
-    Rows with one fingerprint are copies: the least key stands for them, so copies make no pairs.
-    In each band bucket every member meets the least member, not all others.  Empty texts have no
-    bands and no partners; rows with a null key are left out.
+    Rows with one fingerprint are copies: the least key stands for them, so copies make no pairs;
+    ``equal_fingerprints`` has them.  All members of a band bucket meet, in blocks of bounded
+    size.  Walks too short for bands are met by all walks that can be alike (for ``least`` of a
+    half or more).  Empty texts have no bands and no partners; rows with a null key are left out.
     """
-    prints = prints.where(F.col(key).isNotNull()).groupBy("fingerprint").agg(F.min(key).alias("id"))
-    bands = prints.select("id", "fingerprint", F.explode(_band_column("fingerprint")).alias("band"))
-    center = bands.groupBy("band").agg(F.min(F.struct("id", "fingerprint")).alias("c"), F.count(F.lit(1)).alias("n"))
-    met = bands.join(center.where("n > 1").select("band", "c"), "band").where("id <> c.id")
-    pairs = met.select(
-        F.col("c.id").alias("a"), F.col("id").alias("b"), F.col("c.fingerprint").alias("_x"), F.col("fingerprint").alias("_y")
-    ).distinct()
-    return pairs.withColumn("likeness", _likeness_column("_x", "_y")).where(F.col("likeness") >= least).drop("_x", "_y")
+    prints = prints.where(F.col(key).isNotNull()).groupBy("fingerprint").agg(F.min(key).alias("node"))
+    # Likeness is at most the shorter walk's share of the longer one.
+    bands = prints.withColumn("bucket", F.explode(_band_column(BAND_BITS / max(least, 0.5) + 1)("fingerprint")))
+    kind = prints.schema["node"].dataType
+    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind), T.StructField("likeness", T.DoubleType())])
+    pairs = meet_in_blocks(bands.withColumn("bucket", F.xxhash64("bucket")), schema, _alike_in_block(least))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "likeness").distinct()
 
 
 def _edited(own: list[str], after: list[str]) -> list[str]:
