@@ -302,6 +302,24 @@ def test_default_rounds_train_every_word(spark, sf):
         assert targets == sum(50 + i for i in range(20))
 
 
+@pytest.mark.parametrize("few", [0, masked_lm.FEW_WORDS])
+def test_words_are_scored_inside_their_bucket(spark, few, monkeypatch):
+    monkeypatch.setattr(masked_lm, "FEW_WORDS", few)
+    weights, texts = masked_lm.initial(4), ["", "a", "a b a", prose(11, 9), prose(11, 9)]
+    counts = masked_lm.word_counts(frame(spark, [*enumerate(texts[:4]), (9, None)]))
+    docs = frame(spark, [*enumerate([*texts, "never seen"]), (9, None), (9, "a")])
+    rows = lambda df: sorted(map(tuple, df.select("doc_id", "n_tokens", "log_prob").collect()))
+    bucket = lambda w: tuple(int(x[0]) for x in masked_lm._buckets(words_of(pa.array([w])))[1:])
+    known = [w for t in texts[:4] for w in t.split()]
+    split = {i: t.split() for i, t in enumerate([*texts, "never seen"])}
+    got, plain = rows(masked_lm.score_words(docs, weights, counts)), rows(masked_lm.score(docs, weights))
+    assert len(got) == len(plain) == 8
+    for row, of_buckets in zip(got, plain):
+        own = split.get(row[0], ["a"] * row[1])
+        inside = sum(math.log(max(known.count(w), 1) / (sum(bucket(x) == bucket(w) for x in known) + 1)) for w in own)
+        assert row[:2] == of_buckets[:2] and row[2] == pytest.approx(of_buckets[2] + inside, abs=1e-5)
+
+
 def test_remove_repeated_edges(spark):
     long = prose(12, 30)
     rows = [*EDGE, (7, "x " + long), (8, long + " y"), (8, long), (None, long), (9, prose(13, 12) + " " + long[:5])]

@@ -3,7 +3,9 @@
 Words are hashed into input buckets and output buckets.  The network sees the two words before
 and after a place, each through its embedding and a weight of its position, and gives the
 probability of the word in between: first the upper half of its output bucket, then the lower
-half given the upper, so probabilities add up to 1 over all buckets.  The log-probabilities of all
+half given the upper, so probabilities add up to 1 over all buckets.  A table of all words of the
+corpus gives the probability of a word inside its bucket: its share of the bucket's count, with
+one more count for all words that were never seen.  The log-probabilities of all
 words of a text, each from both sides, add up to the score of the text.
 
 Training deals the places of every text to eight masks, and the masks to the rounds in turn, so
@@ -21,12 +23,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from tierwise.llm.frames import broadcast_if_small, checkpointed
 from tierwise.llm.words import Words, mix, slices, words_of
 
 OFFSETS = (-2, -1, 1, 2)
 BUCKETS, WIDTH, HALF = 8192, 16, 32
 ROUNDS, MASKED, BATCH, RATE = 2, 8, 1024, 0.5
 FAN_IN = 32
+#: A table of so many words is broadcast.
+FEW_WORDS = 1 << 20
 
 Weights = dict[str, np.ndarray]
 _SHAPES = {
@@ -200,10 +205,66 @@ def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, seed: int = 0
     return weights
 
 
-def score(docs: DataFrame, weights: Weights, key: str = "doc_id", text: str = "text") -> DataFrame:
+def _counted(text: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high in slices(batch, text):
+                hashes, n = np.unique(words_of(batch.column(text).slice(low, high - low)).hashes, return_counts=True)
+                _, upper, lower = _buckets(Words(hashes, np.array([0, len(hashes)])))
+                columns = [pa.array(hashes.view(np.int64)), pa.array(upper * HALF + lower, pa.int32()), pa.array(n, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["word", "bucket", "n"])
+
+    return run
+
+
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``word, bucket, n``: how often each word, by its hash, stands in all texts, and its output bucket."""
+    counted = docs.select(F.col(text)).mapInArrow(_counted(text), "word long, bucket int, n long")
+    return checkpointed(counted.groupBy("word", "bucket").agg(F.sum("n").alias("n")))
+
+
+def _inside(words: Words, unseen: np.ndarray) -> pa.Array:
+    """For each text its different words, how often each stands there, and its logarithm if never seen."""
+    text = words.text_of()
+    order = np.lexsort((words.hashes, text))
+    text, hashes = text[order], words.hashes[order]
+    new = np.ones(len(text), bool)
+    new[1:] = (text[1:] != text[:-1]) | (hashes[1:] != hashes[:-1])
+    at = np.flatnonzero(new)
+    _, upper, lower = _buckets(Words(hashes[at], np.array([0, len(at)])))
+    times = pa.array(np.diff(at, append=len(text)), pa.int64())
+    fields = [pa.array(hashes[at].view(np.int64)), times, pa.array(unseen[upper * HALF + lower])]
+    rows = pa.StructArray.from_arrays(fields, ["word", "times", "none"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(text[at], np.arange(len(words.first))), pa.int32()), rows)
+
+
+def score_words(docs: DataFrame, weights: Weights, counts: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, n_tokens, log_prob, mean_log_prob`` for each row, as ``score``, over words and not buckets.
+
+    ``counts`` is from ``word_counts``.  All words that it lacks share one count of their bucket.
+    """
+    totals = counts.groupBy("bucket").agg(F.sum("n").alias("n"))
+    held = np.zeros(HALF * HALF)
+    for row in totals.collect():
+        held[row["bucket"]] = row["n"]
+    shares = counts.join(F.broadcast(totals.withColumnRenamed("n", "_all")), "bucket")
+    shares = shares.select("word", (F.log("n") - F.log(F.col("_all") + 1)).alias("_share"))
+    shares = broadcast_if_small(shares, counts.count(), FEW_WORDS)
+    scored = score(docs, weights, key, text, -np.log(held + 1)).withColumn("_row", F.monotonically_increasing_id())
+    each = scored.select("*", F.inline_outer("_words")).drop("_words").join(shares, "word", "left")
+    inside = F.coalesce(F.sum(F.col("times") * F.coalesce("_share", "none")), F.lit(0.0))
+    total = each.groupBy("_row", key, "n_tokens", "log_prob").agg(inside.alias("_inside"))
+    total = total.select(key, "n_tokens", (F.col("log_prob") + F.col("_inside")).alias("log_prob"))
+    return total.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")))
+
+
+def score(
+    docs: DataFrame, weights: Weights, key: str = "doc_id", text: str = "text", unseen: np.ndarray | None = None
+) -> DataFrame:
     """``key, n_tokens, log_prob, mean_log_prob`` for each row, over its whole text; no shuffle.
 
-    ``log_prob`` sums the conditional log-probabilities of all words.  A null or empty text has
+    ``log_prob`` sums the conditional log-probabilities of the buckets of all words; with
+    ``unseen``, a logarithm for each bucket, ``_words`` has the different words of the text.  A null or empty text has
     no words: its sum is 0 and its mean null.  A text of one word is predicted from nothing.
     """
     own = docs.select(F.col(key), F.col(text))
@@ -219,10 +280,9 @@ def score(docs: DataFrame, weights: Weights, key: str = "doc_id", text: str = "t
                 if len(full):
                     total[full] = np.add.reduceat(logs, words.first[:-1][full])
                 mean = pa.array(np.where(counts > 0, total / np.maximum(counts, 1), 0.0), mask=counts == 0)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(key), pa.array(counts, pa.int64()), pa.array(total), mean],
-                    [key, "n_tokens", "log_prob", "mean_log_prob"],
-                )
+                columns = [part.column(key), pa.array(counts, pa.int64()), pa.array(total), mean]
+                columns += [] if unseen is None else [_inside(words, unseen)]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = T.StructType(
         [
@@ -232,4 +292,8 @@ def score(docs: DataFrame, weights: Weights, key: str = "doc_id", text: str = "t
             T.StructField("mean_log_prob", T.DoubleType()),
         ]
     )
+    if unseen is not None:
+        word = T.StructType().add("word", "long").add("times", "long").add("none", "double")
+        schema.add("_words", T.ArrayType(word))
+    names = schema.names
     return own.mapInArrow(run, schema)
