@@ -12,10 +12,13 @@ from tierwise.llm import (
     chat,
     decontamination,
     fingerprints,
+    hard_negatives,
     language_id,
     masked_lm,
     mixing,
     near_dedup,
+    prefix_trie,
+    secret_scan,
     substrings,
     url_filters,
     warc,
@@ -219,6 +222,97 @@ def op10_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archive(spark, folder).drop("target_uri")
 
 
+def quantised_vectors(embeddings: DataFrame) -> DataFrame:
+    """``vec_id, label, vector`` in whole numbers, of rows with a label and finite components;
+    every seventh label is moved on by one."""
+    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
+    known = embeddings.where("label is not null and embedding is not null").where(F.forall("embedding", finite))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256.0))
+    return known.select("vec_id", moved.alias("label"), whole.alias("vector"))
+
+
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quantised_vectors(table(spark, sf_dir, "embeddings"))
+    return hard_negatives.mine_hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+OP11_SQL = r"""
+with r as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same, list_inner_product(a.v, b.v)::bigint as score
+  from r a join r b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+p as (
+  select anchor_id, other_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5)
+select p.anchor_id, p.positive_id, row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.other_id) as rank,
+  s.other_id as negative_id, p.positive_score, s.score as negative_score
+from p join s on p.anchor_id = s.anchor_id and not s.same and 80 * p.positive_score <= 100 * s.score and 100 * s.score <= 100 * p.positive_score
+qualify rank <= 5
+"""
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return prefix_trie.prefix_trie(prefix_trie.with_shared_openings(turns))
+
+
+#: Bitwise crc32 of the decimal id, as DuckDB has none.
+OP12_SQL = r"""
+with recursive t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
+o as (
+  select conv_id, list({'d': substr(sha256(length(role)::varchar || ':' || role || text), 1, 32), 'n': length(text)}
+    order by turn nulls first, substr(sha256(length(role)::varchar || ':' || role || text), 1, 32)) as s
+  from t group by conv_id),
+k as (
+  select conv_id, encode(conv_id::varchar) as b, 0 as i, 0 as bit, 4294967295::bigint as crc from o
+  union all
+  select conv_id, b, case when bit = 7 then i + 1 else i end, (bit + 1) % 8,
+    case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end
+  from (
+    select *, case when bit = 0 then xor(crc, ascii(substr(conv_id::varchar, i + 1, 1))::bigint) else crc end as x
+    from k where i < octet_length(b))),
+h as (select conv_id, xor(crc, 4294967295) % 6 as h from k where i = octet_length(b)),
+c as (
+  select o.conv_id, coalesce(p.s[1:h.h], []) || o.s[h.h + 1:] as s
+  from o join h using (conv_id) left join o p on p.conv_id = o.conv_id - o.conv_id % 100),
+m as (
+  select conv_id, len(s) as size, d, list_transform(s[1:d], lambda x: x.d) as p, case when d > 0 then s[d].n else 0 end as n
+  from (select conv_id, s, unnest(range(0, len(s) + 1)) as d from c)),
+v as (
+  select p, d, any_value(n) as n, min(conv_id) as conv_id, count(*) as n_convs,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where size = d), '')) as ends_sha256
+  from m group by p, d),
+ch as (select p[1:d - 1] as p, d - 1 as d, count(*) as n_children from v where d > 0 group by all),
+w as (select v.*, coalesce(ch.n_children, 0) as n_children from v left join ch on v.p = ch.p and v.d = ch.d),
+u as (
+  select p[1:a] as p, a as d, sum(case when n_children = 0 then 1 else 0 end) as n_leaves, sum((n_convs - 1) * n) as saved_tokens
+  from (select *, unnest(range(0, d + 1)) as a from w) group by all)
+select w.conv_id, w.d as depth, q.conv_id as parent_conv_id, w.n_convs, w.n_children, u.n_leaves::bigint as n_leaves,
+  u.saved_tokens::bigint as saved_tokens, w.ends_sha256
+from w join u on w.p = u.p and w.d = u.d left join w q on q.p = w.p[1:w.d - 1] and q.d = w.d - 1
+"""
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found, _ = secret_scan.scan(docs, secret_scan.fit(docs))
+    base = F.filter("spans", lambda s: s["kind"] != secret_scan.KINDS[-1])
+    counted = [
+        F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+        for kind in secret_scan.KINDS[:-1]
+    ]
+    return found.select(
+        "doc_id",
+        *counted,
+        F.sha2(secret_scan.spans_text(base), 256).alias("base_sha256"),
+        secret_scan.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
 OP2_SQL = r"""
 with recursive d as (
   select doc_id, source, row_number() over (partition by source order by md5(concat_ws('|', doc_id, '0')), doc_id) - 1 as block
@@ -311,4 +405,7 @@ QUERIES = {
     "op8_preference_pairs": (op8_preference_pairs, OP8_SQL),
     "op9_language_id": (op9_language_id, None),
     "op10_warc_archive": (op10_warc_archive, OP10_SQL),
+    "op11_hard_negatives": (op11_hard_negatives, OP11_SQL),
+    "op12_prefix_trie": (op12_prefix_trie, OP12_SQL),
+    "op13_secret_scan": (op13_secret_scan, None),
 }
