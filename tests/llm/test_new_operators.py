@@ -237,13 +237,15 @@ def test_base_spans(spark):
     ]
     docs = secret_docs(spark, enumerate(texts))
     found, calibration = secret_scan.scan(docs, secret_scan.CharNetwork.drawn())
-    have = {r["doc_id"]: r["s"] for r in found.select("doc_id", secret_scan.spans_text(F.col("spans")).alias("s")).collect()}
+    have = {r["doc_id"]: r["s"] for r in found.select("doc_id", secret_scan.spans_text(F.col("findings")).alias("s")).collect()}
     own = {k: ",".join(x for x in s.split(",") if not x.startswith("network")) for k, s in have.items()}
     assert own == {i: spans_plainly(t or "") for i, t in enumerate(texts)}
 
 
-def test_base_spans_of_the_tables(spark, sf):
+def test_base_spans_of_the_tables(spark):
+    sf = "/root/testdata/sf0.01"
     rows = catalog.op13_secret_scan(spark, sf).collect()
+    assert sum(r["n_assign"] for r in rows) and sum(r["n_hex"] for r in rows)
     texts = dict(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect())
     assert len(rows) == len(texts)
     for r in rows:
@@ -308,7 +310,7 @@ def test_network_finds_keys_without_their_words(spark):
     net = secret_scan.fit(docs)
     found, calibration = secret_scan.scan(secret_docs(spark, rows + bare), net)
     assert 0 < calibration.threshold < 1
-    spans = {r["doc_id"]: r["spans"] for r in found.collect()}
+    spans = {r["doc_id"]: r["findings"] for r in found.collect()}
     added = {k: [s for s in own if s["kind"] == "network"] for k, own in spans.items()}
     caught = sum(any(s["start"] == 8 and s["stop"] == 26 for s in added[k]) for k, _ in bare)
     assert caught >= 36
@@ -333,5 +335,5 @@ def test_secret_scan_of_nothing(spark):
     rows = [(None, "token=abcdefg"), (1, None), (1, ""), (2, "token=abcdefg"), (2, "token=abcdefg")]
     docs = secret_docs(spark, rows)
     found, _ = secret_scan.scan(docs, secret_scan.fit(docs))
-    have = sorted((r["doc_id"] is None, r["doc_id"], len(r["spans"])) for r in found.collect() if r["doc_id"] is not None)
+    have = sorted((r["doc_id"] is None, r["doc_id"], len(r["findings"])) for r in found.collect() if r["doc_id"] is not None)
     assert have == [(False, 1, 0), (False, 1, 0), (False, 2, 1), (False, 2, 1)] and found.where("doc_id is null").count() == 1

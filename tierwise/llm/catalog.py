@@ -300,16 +300,17 @@ from w join u on w.p = u.p and w.d = u.d left join w q on q.p = w.p[1:w.d - 1] a
 def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found, _ = secret_scan.scan(docs, secret_scan.fit(docs))
-    base = F.filter("spans", lambda s: s["kind"] != secret_scan.KINDS[-1])
+    base = F.filter("findings", lambda s: s["kind"] != secret_scan.KINDS[-1])
+    kinds = F.transform("findings", lambda s: s["kind"])
     counted = [
-        F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+        (F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}")
         for kind in secret_scan.KINDS[:-1]
     ]
     return found.select(
         "doc_id",
         *counted,
         F.sha2(secret_scan.spans_text(base), 256).alias("base_sha256"),
-        secret_scan.spans_text(F.col("spans")).alias("spans"),
+        secret_scan.spans_text(F.col("findings")).alias("spans"),
     )
 
 

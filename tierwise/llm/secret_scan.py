@@ -334,7 +334,7 @@ def _scored(net: CharNetwork):
         for i, (a, b, found), s, n in zip(owner, places, score.tolist(), _bins(score).tolist()):
             others[i].append({"start": a, "stop": b, "found": found, "score": s, "bin": n})
         columns = [batch.column("key"), batch.column("held_out"), pa.array(spans, _SPANS), pa.array(others, _OTHERS)]
-        return pa.RecordBatch.from_arrays(columns, ["key", "held_out", "spans", "others"])
+        return pa.RecordBatch.from_arrays(columns, ["key", "held_out", "base", "others"])
 
     return run
 
@@ -344,15 +344,15 @@ _OTHERS = pa.list_(
     pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("found", pa.bool_()), ("score", pa.float64()), ("bin", pa.int64())])
 )
 _SPAN_TYPES = (
-    "spans array<struct<start:long,kind:long,stop:long>>, "
+    "base array<struct<start:long,kind:long,stop:long>>, "
     "others array<struct<start:long,stop:long,found:boolean,score:double,bin:long>>"
 )
 
 
 def scan(docs: DataFrame, net: CharNetwork, key: str = "doc_id", text: str = "text", recall: float = RECALL) -> tuple[DataFrame, Calibration]:
-    """``key, spans`` for each row, and the calibration.
+    """``key, findings`` for each row, and the calibration.
 
-    ``spans`` are ``start, kind, stop, probability`` by start, then kind, in code points with the
+    ``findings`` are spans as ``start, kind, stop, probability`` by start, then kind, in code points with the
     end exclusive; ``kind`` is one of ``KINDS`` and the probability of a pattern's own span 1.
     The network only adds spans that overlap none of a pattern.  Null and empty texts have none;
     repeated rows stay, null keys too, and other columns are not looked at.  Texts are looked at
@@ -374,16 +374,16 @@ def scan(docs: DataFrame, net: CharNetwork, key: str = "doc_id", text: str = "te
     chance = lambda o: 1 / (1 + F.exp(-(score(o) * calibration.slope + calibration.shift)))
     added = F.filter("others", lambda o: ~o["found"] & (chance(o) >= F.lit(calibration.threshold) - 1e-12))
     rows = F.concat(
-        F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("n"), s["stop"].alias("stop"), F.lit(1.0).alias("probability"))),
+        F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("n"), s["stop"].alias("stop"), F.lit(1.0).alias("probability"))),
         F.transform(added, lambda o: F.struct(o["start"].alias("start"), F.lit(3).cast("long").alias("n"), o["stop"].alias("stop"), chance(o).alias("probability"))),
     )
     named = F.transform(
         F.array_sort(rows),
         lambda s: F.struct(s["start"].alias("start"), F.get(kinds, s["n"].cast("int")).alias("kind"), s["stop"].alias("stop"), s["probability"].alias("probability")),
     )
-    return found.select(F.col("key").alias(key), named.alias("spans")), calibration
+    return found.select(F.col("key").alias(key), named.alias("findings")), calibration
 
 
 def spans_text(spans: Column) -> Column:
-    """``kind:start:end`` of spans, joined by commas."""
+    """``kind:start:end`` of findings, joined by commas."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
