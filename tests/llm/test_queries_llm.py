@@ -24,6 +24,7 @@ from tierwise.llm import (
     masked_lm,
     mixing,
     near_dedup,
+    skew,
     substrings,
     url_filters,
     warc,
@@ -393,6 +394,25 @@ def test_forward_sums_all_segmentations():
     assert got == pytest.approx([0.15 * 0.3 + 0.05 * 0.1 + 0.05 * 0.2 * 0.3, 0.05 * 0.01 * 0.3])
 
 
+def test_long_words_are_scaled_and_not_cut(monkeypatch):
+    r = np.random.default_rng(0)
+    pieces = ["a", "ab", "abc", "b", "ba", "c", "ca", "▁", "▁a"]
+    prob = r.random((len(pieces) + 1, 2))
+    model = language_id.LanguageModel(pieces, ["x", "y"], prob / prob.sum(axis=0))
+    words = ["▁" + "".join(r.choice(list("abc?"), n)) for n in (1, 5, 20, 31, 32)]
+    counts = r.random((len(words), 2)) * 5
+    whole, pieces_found = model.word_scores(words), model.word_scores(words, counts=counts)
+    monkeypatch.setattr(language_id, "SHORT_WORD", 0)
+    for stretch in (1, 7, 1 << 15):
+        monkeypatch.setattr(language_id, "STRETCH", stretch)
+        assert model.word_scores(words) == pytest.approx(whole)
+    assert model.word_scores(words, counts=counts) == pytest.approx(pieces_found)
+    # Far below the least double: the logarithm grows with the length.
+    n = 4000
+    one, two = model.word_scores(["▁" + "abc" * n, "▁" + "abc" * (2 * n)])
+    assert np.isfinite(two).all() and np.all(two < one) and one == pytest.approx(two / 2, rel=1e-3)
+
+
 def test_language_is_found_on_held_out_rows(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rows = {r["doc_id"]: r for r in catalog.op9_language_id(spark, sf).collect()}
@@ -403,6 +423,10 @@ def test_language_is_found_on_held_out_rows(spark, sf):
     odd = [(1, None), (2, ""), (3, "123 !?"), (4, "the " * 3000), (None, "der die das und nicht"), (5, "x" * 5000)]
     got = {r["doc_id"]: r["lang_pred"] for r in language_id.predict(frame(spark, odd), model).collect()}
     assert got[1] == got[2] == got[3] == "und" and got[4] == "en" and got[None] == "de" and got[5] in model.languages
+    assert language_id.predict(frame(spark, []), model).count() == language_id.keep_identified(frame(spark, []), model).count() == 0
+    clash = frame(spark, odd).withColumn("lang_pred", F.lit("x")).withColumn("score", F.lit("y"))
+    assert sorted(language_id.keep_identified(clash, model).columns) == sorted(clash.columns)
+    assert {r["doc_id"]: r["lang_pred"] for r in language_id.predict(clash, model).collect()} == got
     none = language_id.fit(docs.withColumn("lang", F.lit(None).cast("string")))
     assert {r["lang_pred"] for r in language_id.predict(docs, none).collect()} == {"und"}
 
@@ -444,3 +468,101 @@ def test_pipeline(spark, sf):
     assert sorted(r["doc_id"] for r in mixed) == ids and sorted(r["position"] for r in mixed) == list(range(len(ids)))
     bad = {r["doc_id"] for r in decontamination.contaminated(docs, spark.read.parquet(f"{sf}/benchmark.parquet")).collect()}
     assert not bad & set(ids)
+
+
+@pytest.fixture
+def few_together(monkeypatch):
+    monkeypatch.setattr(skew, "HEAVY", 5)
+
+
+def test_spread_join_equals_join(spark, few_together):
+    rows = spark.createDataFrame([(None if i % 7 == 0 else "hot" if i % 2 else f"k{i}", i) for i in range(60)], "k string, v int")
+    lookup = spark.createDataFrame([("hot", 1), ("k2", 2), ("gone", 3)], "k string, w int")
+    heavy = skew.heavy_keys(rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")), "k", "n")
+    assert {r["k"] for r in heavy.where("k is not null").collect()} == {"hot"}
+    for how in ("inner", "left"):
+        have = skew.spread_join(rows, lookup, "k", heavy, ["v"], how)
+        assert sorted(map(repr, have.select("k", "v", "w").collect())) == sorted(map(repr, rows.join(lookup, "k", how).collect()))
+
+
+def test_components_with_hubs(spark, few_together):
+    links = [(0, i) for i in range(1, 60)] + [(100 + i, 101 + i) for i in range(40)]
+    got = dict(components.components(spark.createDataFrame(links, "a long, b long")).collect())
+    assert got == {i: 0 for i in range(60)} | {100 + i: 100 for i in range(41)}
+
+
+def test_near_duplicates_with_hot_classes(spark, few_together):
+    # Half of the rows are one class: exact copies of some texts, and variants of one of them.
+    words = prose(50, 60).split()
+    variants = [" ".join([*words[:i], f"v{i}", *words[i + 1 :]]) for i in range(30)]
+    rows = [(i, variants[i % 30]) for i in range(90)] + [(1000 + i, prose(900 + i, 30)) for i in range(40)]
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicate_classes(frame(spark, rows)).collect()}
+    assert got == {k: 0 if k < 90 else k for k, _ in rows}
+    kept = [r["doc_id"] for r in near_dedup.drop_near_duplicates(frame(spark, rows)).collect()]
+    assert sorted(kept) == [0, *range(1000, 1040)]
+
+
+def test_one_key_on_different_texts(spark):
+    a, b, c = prose(1, 50), prose(2, 50), prose(3, 50)
+    rows = [(1, a), (1, b), (2, a), (2, c), (3, b + " x"), (4, c), (4, c), (None, a), (5, None), (5, None)]
+    kept = near_dedup.drop_near_duplicates(frame(spark, rows))
+    have = sorted((str(r["doc_id"]), str(r["text"])) for r in kept.collect())
+    assert have == sorted([("1", a), ("1", b), ("2", c), ("None", a), ("5", "None"), ("5", "None")])
+    assert kept.columns == frame(spark, rows).columns
+
+
+def edited(words, share, seed):
+    r = random.Random(seed)
+    out = list(words)
+    for i in r.sample(range(len(out)), int(share * len(out))):
+        out[i] = f"e{seed}x{i}"
+    return out
+
+
+def test_recall_by_edits(spark):
+    """The measured shares that the docstring names, and all links at a shingle similarity of 0.8."""
+    rows, pairs = [], {}
+    for n, share in enumerate(near_dedup.RECALL_BY_EDITS):
+        for k in range(120):
+            words = prose(10_000 * n + k, 200).split()
+            left, right = 2 * (1000 * n + k), 2 * (1000 * n + k) + 1
+            rows += [(left, " ".join(words)), (right, " ".join(edited(words, share, n * 1000 + k)))]
+            pairs[left, right] = share
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicate_classes(frame(spark, rows)).collect()}
+    found = {s: np.mean([got[a] == got[b] for (a, b), x in pairs.items() if x == s]) for s in near_dedup.RECALL_BY_EDITS}
+    for share, expected in near_dedup.RECALL_BY_EDITS.items():
+        assert abs(found[share] - expected) <= 0.15, found
+    shingles = {k: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for k, t in rows for w in [t.split()]}
+    alike = [(a, b) for a, b in pairs if len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b])]
+    assert len(alike) >= 100 and all(got[a] == got[b] for a, b in alike)
+
+
+def test_archive_of_one_hot_payload(spark, tmp_path, few_together):
+    pages = spark.createDataFrame([(i, f"http://h/{i}", None if i % 2 else f"<p>{i}") for i in range(80)], "page_id long, url string, html string")
+    warc.write_archive(pages, str(tmp_path / "a"))
+    got = {r["page_id"]: r for r in warc.read_archive(spark, str(tmp_path / "a")).collect()}
+    assert len(got) == 80 and all(got[i]["refers_to"] == (79 if i % 2 and i != 79 else None) for i in got)
+
+
+def test_url_filters_with_clashes_and_hot_domains(spark, few_together, monkeypatch):
+    hosts = [None if i % 5 == 0 else f"http://h{i % 9}.example.com/{i}" for i in range(200)]
+    captures = spark.createDataFrame([(i, u, 86_400 * (i % 50), "x", "y") for i, u in enumerate(hosts)], "page_id long, url string, s long, _host string, _at string")
+    captures = captures.withColumn("fetched_at", F.timestamp_seconds("s")).drop("s")
+    entries = spark.createDataFrame(
+        [("com", "domain", "a", "add", 86_400 * 10), ("com", "domain", "a", "remove", 86_400 * 30), ("h3.example.com", "host", "b", "add", 0)],
+        "pattern string, kind string, category string, action string, s long",
+    ).withColumn("dated", F.timestamp_seconds("s"))
+    want = {}
+    for i, u in enumerate(hosts):
+        day, names = i % 50, set()
+        if u and 10 <= day < 30:
+            names.add("a")
+        if u and i % 9 == 3:
+            names.add("b")
+        want[i] = ",".join(sorted(names))
+    for most in (100_000, 0):
+        monkeypatch.setattr(url_filters, "BROADCAST_ROWS", most)
+        found = url_filters.filter_urls(captures, entries)
+        assert set(captures.columns) <= set(found.columns)
+        got = {r["page_id"]: r for r in found.collect()}
+        assert {i: r["categories"] for i, r in got.items()} == want and all(r["_host"] == "x" and r["_at"] == "y" for r in got.values())

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tierwise.llm.frames import partitions
+from tierwise.llm.skew import heavy_keys, spread_join
 
 #: Members in a block, on average.
 BLOCK = 256
@@ -45,8 +46,9 @@ def meet_in_blocks(members: DataFrame, schema: str | T.StructType, meet: Meet, c
         F.col("bucket"),
         F.ceil(F.col("_n") / block).cast("int").alias("_blocks"),
         F.ceil(F.col("_c") / block).cast("int").alias("_crowds"),
+        (F.col("_n") + F.col("_c")).alias("_members"),
     )
-    known = known.join(sizes, "bucket")
+    known = spread_join(known, sizes.drop("_members"), "bucket", heavy_keys(sizes, "bucket", "_members"), ["node"])
     own = F.pmod(F.xxhash64("node"), F.when(F.col("_crowd"), F.col("_crowds")).otherwise(F.col("_blocks"))).cast("int")
     known = known.withColumn("_slot", own + F.when(F.col("_crowd"), F.col("_blocks")).otherwise(0))
     last = F.when(F.col("_crowd"), F.col("_blocks")).otherwise(F.col("_blocks") + F.col("_crowds")) - 1

@@ -5,28 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tierwise.llm.frames import checkpointed
+from tierwise.llm.skew import heavy_keys, spread_join
 
 
 def components(links: DataFrame) -> DataFrame:
     """``node, label`` for every node of ``links(a, b)``; the label is the least node reached.
 
-    Each round takes the least label among neighbours (summed up before the shuffle, so a node
-    with very many links is no large group), then jumps to the label of the label, and ends when
-    nothing changed.  Nodes without links are not listed; a null on either side is no link.
+    Each round takes the least label among neighbours (summed up before the shuffle), then jumps
+    to the label of the label, and ends when nothing changed.  Rows of a node with very many links,
+    and of a label that very many nodes have, are dealt to slices in the joins.  Nodes without
+    links are not listed; a null on either side is no link.
     """
     links = links.where("a is not null and b is not null and a <> b").select("a", "b")
     both = checkpointed(links.union(links.select("b", "a")).distinct())
     labels = checkpointed(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")))
+    degrees = both.groupBy("b").agg(F.count(F.lit(1)).alias("_n"))
+    hubs = checkpointed(heavy_keys(degrees, "b", "_n"))
     while True:
         heard = (
-            both.join(labels, both["b"] == labels["node"])
+            spread_join(both, labels.withColumnRenamed("node", "b"), "b", hubs, ["a"])
             .groupBy(F.col("a").alias("node"))
             .agg(F.min("label").alias("near"))
         )
         nearer = labels.join(heard, "node").select("node", F.least("label", "near").alias("label"), F.col("label").alias("was"))
-        jump = nearer.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        nearer = checkpointed(nearer)
+        # Only labels of labels are looked up, and each once.
+        sizes = nearer.groupBy("label").agg(F.count(F.lit(1)).alias("_n"))
+        jump = nearer.select(F.col("node").alias("_node"), F.col("label").alias("further"))
+        jump = sizes.join(jump, sizes["label"] == jump["_node"]).select("label", "further")
         labels = checkpointed(
-            nearer.join(jump, "label", "left").select("node", F.coalesce("further", "label").alias("label"), "was")
+            spread_join(nearer, jump, "label", heavy_keys(sizes, "label", "_n"), ["node"], "left").select(
+                "node", F.coalesce("further", "label").alias("label"), "was"
+            )
         )
         if not labels.where("label <> was").limit(1).count():
             return labels.select("node", "label")

@@ -3,18 +3,20 @@
 Pieces are those of a fixed public vocabulary; each language has its own piece probabilities,
 fitted by expectation maximisation on a bounded sample of labelled rows.  The probability of a
 word is the sum over all ways to cut it into pieces, found by the forward algorithm, and that of
-a text is the product over its words.  Words are scored once per batch, whole texts always.
+a text is the product over its words.  Words are scored once per batch, whole texts always.  Short
+words are worked out side by side; a long one, such as a text without spaces, place by place with
+sums that are scaled on the way, so that its length is not limited.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tierwise.llm.frames import word_array
 from tierwise.llm.words import buffers, mix, slices, words_of
@@ -24,11 +26,15 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLE_ROWS = 400
 ROUNDS = 3
 SMOOTHING = 0.1
-#: A longer run between spaces is scored in stretches of so many characters.
-LONGEST_WORD = 32
+#: Characters of a piece, at most.
+LONGEST_PIECE = 32
+#: Words up to here, with their mark, have probabilities that a double holds; longer ones are scaled.
+SHORT_WORD = 33
+#: Places of a long word whose pieces are looked up together.
+STRETCH = 1 << 15
 UNDETERMINED = "und"
-#: Words a task remembers before it starts anew.
-REMEMBERED = 1_000_000
+#: Words a task remembers before it starts anew, and words that are scored together.
+REMEMBERED, TOGETHER = 1 << 19, 1 << 14
 _OPEN = "▁"  # marks the beginning of a word in the vocabulary
 
 
@@ -39,7 +45,7 @@ def read_pieces(path: str = VOCABULARY) -> list[str]:
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     ids = range(model.get_piece_size())
     plain = [model.id_to_piece(i) for i in ids if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
-    return sorted({p.lower() for p in plain if 0 < len(p.lower()) <= LONGEST_WORD})
+    return sorted({p.lower() for p in plain if 0 < len(p.lower()) <= LONGEST_PIECE})
 
 
 def _points(words: Sequence[str], size: int) -> np.ndarray:
@@ -98,36 +104,104 @@ class LanguageModel:
         many = prob.shape[1]
         table = np.vstack([prob, np.zeros((1, many))])  # row -1: no piece
         out, expected = np.zeros((len(words), many)), np.zeros_like(prob)
-        for size, at in _by_size(words):
-            points = _points([words[i] for i in at], size)
-            forward = [np.zeros((len(at), many)) for _ in range(size + 1)]
-            forward[0][:] = 1.0
-            seen = []
-            for begin in range(size):
-                for end, row in self._piece_rows(points, begin):
-                    use = np.flatnonzero(row >= 0)
-                    if len(use):
-                        forward[end][use] += forward[begin][use] * table[row[use]]
-                        seen.append((begin, end, use, row[use]))
-            out[at] = np.log(forward[size])
-            if counts is None:
+        for size, all_at in _by_size(words):
+            if size > SHORT_WORD:
+                for i in all_at.tolist():
+                    points = _points([words[i]], size)[0]
+                    if counts is None:
+                        out[i] = self._long_score(points, table)
+                    else:
+                        self._long_counts(points, table, counts[i], expected)
                 continue
-            backward = [np.zeros((len(at), many)) for _ in range(size + 1)]
-            backward[size][:] = 1.0
-            share = counts[at] / forward[size]
-            for begin, end, use, row in reversed(seen):
-                part = table[row] * backward[end][use]
-                backward[begin][use] += part
-                part = part * forward[begin][use] * share[use]
-                for lang in range(many):
-                    expected[:, lang] += np.bincount(row, part[:, lang], len(prob))
+            for at in np.array_split(all_at, -(-len(all_at) // TOGETHER)):
+                points = _points([words[i] for i in at], size)
+                forward = [np.zeros((len(at), many)) for _ in range(size + 1)]
+                forward[0][:] = 1.0
+                seen = []
+                for begin in range(size):
+                    for end, row in self._piece_rows(points, begin):
+                        use = np.flatnonzero(row >= 0)
+                        if len(use):
+                            forward[end][use] += forward[begin][use] * table[row[use]]
+                            if counts is not None:
+                                seen.append((begin, end, use, row[use]))
+                if counts is None:
+                    out[at] = np.log(forward[size])
+                    continue
+                backward = [np.zeros((len(at), many)) for _ in range(size + 1)]
+                backward[size][:] = 1.0
+                share = counts[at] / forward[size]
+                for begin, end, use, row in reversed(seen):
+                    part = table[row] * backward[end][use]
+                    backward[begin][use] += part
+                    part = part * forward[begin][use] * share[use]
+                    for lang in range(many):
+                        expected[:, lang] += np.bincount(row, part[:, lang], len(prob))
         return out if counts is None else expected
 
+    def _pieces_at(self, points: np.ndarray) -> np.ndarray:
+        """Row of the piece of each length (column) from each place; -1 where there is none."""
+        n, width = len(points), min(self._longest, len(points))
+        out = np.full((n, width), -1)
+        h = np.zeros(n, np.uint64)
+        for k in range(width):
+            h = _roll(h[: n - k], points[k:])
+            at = np.searchsorted(self._hashes, h)
+            at[at == len(self._hashes)] = 0
+            out[: n - k, k] = np.where(self._hashes[at] == h, self._rows[at], -1)
+        out[out[:, 0] < 0, 0] = len(self.pieces)
+        return out
 
-def _marked(word: str) -> list[str]:
-    """A word as the model reads it: opened by the mark, in stretches of bounded length."""
-    whole = _OPEN + word
-    return [whole[i : i + LONGEST_WORD] for i in range(0, len(whole), LONGEST_WORD)]
+    @staticmethod
+    def _long_forward(table: np.ndarray, rows: np.ndarray, state: np.ndarray, scale: np.ndarray, logs: list | None = None):
+        """Goes on from ``state``, the scaled sums of the places not done yet, over the pieces of ``rows``."""
+        for begin in range(len(rows)):
+            # The first of the open places is done: all pieces that end there were added.
+            done = state[0].copy()
+            scale = scale + np.log(done)
+            if logs is not None:
+                logs.append(scale)
+            state /= done
+            ends = rows[begin]
+            state[1 : len(ends) + 1] += table[ends]
+            state[:-1] = state[1:]
+            state[-1] = 0.0
+        return state, scale
+
+    def _long_score(self, points: np.ndarray, table: np.ndarray) -> np.ndarray:
+        """The sum over all segmentations of one word, a stretch of places at a time."""
+        width = min(self._longest, len(points))
+        state, scale = np.zeros((width + 1, table.shape[1])), np.zeros(table.shape[1])
+        state[0] = 1.0
+        for begin in range(0, len(points), STRETCH):
+            rows = self._pieces_at(points[begin : begin + STRETCH + width])[:STRETCH]
+            state, scale = self._long_forward(table, rows, state, scale)
+        return scale + np.log(state[0])
+
+    def _long_counts(self, points: np.ndarray, table: np.ndarray, count: np.ndarray, expected: np.ndarray) -> None:
+        """Adds the expected pieces of one word, as often as it occurs, to ``expected``."""
+        rows, many = self._pieces_at(points), table.shape[1]
+        n, width = rows.shape
+        start, logs = np.zeros((width + 1, many)), []
+        start[0] = 1.0
+        state, scale = self._long_forward(table, rows, start, np.zeros(many), logs)
+        before, total = np.array(logs), scale + np.log(state[0])
+        # From the end: the same sums over pieces that begin at a place.
+        state, scale, after = np.zeros((width, many)), np.zeros(many), np.zeros((n + 1, many))
+        state[0] = 1.0
+        for begin in range(n - 1, -1, -1):
+            own = (table[rows[begin]] * state).sum(axis=0)
+            scale = scale + np.log(own)
+            after[begin] = scale
+            state[1:] = state[:-1] / own
+            state[0] = 1.0
+        begin, length = np.nonzero(rows >= 0)
+        found = rows[begin, length]
+        with np.errstate(divide="ignore"):
+            part = np.log(table[found]) + before[begin] + after[begin + length + 1] - total
+        part = np.exp(part) * count
+        for lang in range(many):
+            expected[:, lang] += np.bincount(found, part[:, lang], len(expected))
 
 
 def held_out(key: Column) -> Column:
@@ -165,8 +239,7 @@ def fit(
     column = {name: i for i, name in enumerate(languages)}
     counted: dict[str, np.ndarray] = {}
     for word, name, n in words.collect():
-        for part in _marked(word):
-            counted.setdefault(part, np.zeros(len(languages)))[column[name]] += n
+        counted.setdefault(_OPEN + word, np.zeros(len(languages)))[column[name]] += n
     parts = sorted(counted)
     counts = np.array([counted[p] for p in parts]) if parts else np.zeros((0, len(languages)))
     shape = (len(pieces) + 1, len(languages))
@@ -218,10 +291,7 @@ class _Scorer:
         return out
 
     def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        parts = [_marked(w) for w in words]
-        scores = self.model.word_scores([p for own in parts for p in own])
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        scores = np.add.reduceat(scores, np.cumsum(sizes) - sizes, axis=0)
+        scores = self.model.word_scores([_OPEN + w for w in words])
         if len(self.known) > REMEMBERED:
             # Words of the batch at hand that were known are learned again when they are missed.
             self.known, self.scores = self.known[:0], self.scores[:0]
@@ -235,32 +305,36 @@ class _Forgot(Exception):
     pass
 
 
-def _predicted(model: LanguageModel, text: str, keep: list[str]):
+def _predictor(model: LanguageModel) -> Callable[[Column], Column]:
     names = np.array([*model.languages, UNDETERMINED], dtype=object)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = _Scorer(model)
         for batch in batches:
-            for low, high in slices(batch, text):
-                part = batch.slice(low, high - low)
-                column = part.column(text)
-                lettered = pc.fill_null(pc.match_substring_regex(column, r"\p{L}"), False).to_numpy(zero_copy_only=False)
-                best, score = np.full(len(part), len(names) - 1), np.zeros(len(part))
-                if model.languages:
-                    try:
-                        logs = scorer.texts(column)
-                    except _Forgot:
-                        logs = scorer.texts(column)
-                    chance = np.exp(logs - logs.max(axis=1, keepdims=True))
-                    chance /= chance.sum(axis=1, keepdims=True)
-                    best = np.where(lettered, logs.argmax(axis=1), best)
-                    score = np.where(lettered, chance.max(axis=1), 0.0)
-                yield pa.RecordBatch.from_arrays(
-                    [*[part.column(c) for c in keep], pa.array(names[best], pa.string()), pa.array(score)],
-                    [*keep, "lang_pred", "score"],
-                )
-
-    return run
+            parts = [predicted(scorer, batch.slice(low, high - low)) for low, high in slices(batch)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], _PREDICTED)
+        pa.default_memory_pool().release_unused()
+
+    def predicted(scorer: _Scorer, column: pa.Array) -> pa.Array:
+        lettered = pc.fill_null(pc.match_substring_regex(column, r"\p{L}"), False).to_numpy(zero_copy_only=False)
+        best, score = np.full(len(column), len(names) - 1), np.zeros(len(column))
+        if model.languages:
+            try:
+                logs = scorer.texts(column)
+            except _Forgot:
+                logs = scorer.texts(column)
+            chance = np.exp(logs - logs.max(axis=1, keepdims=True))
+            chance /= chance.sum(axis=1, keepdims=True)
+            best = np.where(lettered, logs.argmax(axis=1), best)
+            score = np.where(lettered, chance.max(axis=1), 0.0)
+        return pa.StructArray.from_arrays([pa.array(names[best], pa.string()), pa.array(score)], fields=list(_PREDICTED))
+
+    return F.arrow_udf(run, "lang_pred string, score double")
+
+
+_PREDICTED = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
+#: The prediction on its way; no input column is called this.
+_GUESS = "__tierwise_language"
 
 
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
@@ -268,16 +342,16 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep: Seq
 
     The language of greatest probability, with its share among all languages; equal shares go to
     the first in order.  A text that is null, empty or without a letter is ``und`` with score 0,
-    as is every text of a model without languages.  Only the text is looked at.
+    as is every text of a model without languages.  Only the text is looked at, and only it goes
+    through Python.  Input columns called ``lang_pred`` or ``score`` are replaced.
     """
-    docs = docs.drop("lang_pred", "score")
-    keep = list(docs.columns if keep is None else keep)
-    schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    used = docs.select(*dict.fromkeys([*keep, text]))
-    return used.mapInArrow(_predicted(model, text, keep), schema)
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
+    guessed = docs.withColumn(_GUESS, _predictor(model)(F.col(text)))
+    return guessed.select(*keep, f"{_GUESS}.lang_pred", f"{_GUESS}.score")
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, text: str = "text", least: float = 0.5) -> DataFrame:
     """``docs`` without those whose language is undetermined or less likely than ``least``."""
-    found = predict(docs, model, text)
-    return found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).select(*docs.columns)
+    guessed = docs.withColumn(_GUESS, _predictor(model)(F.col(text)))
+    known = (F.col(f"{_GUESS}.lang_pred") != UNDETERMINED) & (F.col(f"{_GUESS}.score") >= least)
+    return guessed.where(known).drop(_GUESS)

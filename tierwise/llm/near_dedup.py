@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tierwise.llm.blocks import meet_in_blocks
 from tierwise.llm.components import components
 from tierwise.llm.frames import checkpointed
+from tierwise.llm.skew import heavy_keys, spread_join
 from tierwise.llm.words import MARKS, Words, mix, slices, words_of
 
 SHINGLE_WORDS = 5
@@ -36,6 +37,9 @@ ENTRIES, BAND = 48, 2
 #: Entries in which a pair must agree before it is aligned.  Of 48 about 30 agree at 0.8, 17 at 0.6
 #: (deviation 3.3), so this loses fewer pairs than the bands do.
 AGREE = 6
+#: Share of pairs of 200 words that a given share of scattered word replacements leaves linked, as
+#: measured; each replacement changes five shingles.
+RECALL_BY_EDITS = {0.02: 1.0, 0.05: 0.98, 0.08: 0.73, 0.1: 0.5, 0.15: 0.1, 0.19: 0.01}
 #: A text that differed from its bucket's least member goes on under so many longer keys, each
 #: with two entries more.  Texts that share 0.6 of their shingles meet again in 0.4 of them, so
 #: crowded buckets thin out; texts that share 0.8 meet again in four of five, in each of their
@@ -258,10 +262,10 @@ def _candidates(members: DataFrame, sketch: DataFrame, turn: int) -> tuple[DataF
     The last result has ``bucket, center, member`` of all buckets given, agreeing or not."""
     found = first = None
     while True:
-        least = members.groupBy("bucket").agg(F.min("node").alias("center"), F.max("node").alias("_last"))
-        least = least.where("center <> _last").drop("_last")
+        sizes = members.groupBy("bucket").agg(F.min("node").alias("center"), F.max("node").alias("_last"), F.count(F.lit(1)).alias("_n"))
+        least = sizes.where("center <> _last")
         met = (
-            members.join(least, "bucket")
+            spread_join(members, least.select("bucket", "center"), "bucket", heavy_keys(least, "bucket", "_n"), ["node"])
             .where("node <> center")
             .select("bucket", "center", F.col("node").alias("member"))
             .join(sketch.withColumnsRenamed({"node": "center", "sketch": "_c"}), "center")
@@ -329,8 +333,11 @@ def _mixed(met: DataFrame, labels: DataFrame) -> DataFrame:
     members = met.select("bucket", F.col("member").alias("node")).unionByName(centers)
     members = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     sizes = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    sizes = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label"))["label"].alias("most"), F.count(F.lit(1)).alias("n"))
-    return members.join(sizes.where("n > 1").select("bucket", "most"), "bucket")
+    sizes = sizes.groupBy("bucket").agg(
+        F.max(F.struct("n", "label"))["label"].alias("most"), F.count(F.lit(1)).alias("n"), F.sum("n").alias("members")
+    )
+    sizes = sizes.where("n > 1")
+    return spread_join(members, sizes.select("bucket", "most"), "bucket", heavy_keys(sizes, "bucket", "members"), ["node"])
 
 
 def near_links(
@@ -359,7 +366,8 @@ def near_links(
         needed = nodes.select(F.col("node").alias("_node"), F.col("id").alias("_id")).join(needed, "_node")
         # Identical rows of one id may all stay; they only repeat a comparison.
         same = (own["node"] == needed["_node"]) & own["id"].eqNullSafe(needed["_id"])
-        return checkpointed(own.join(needed, same).select("node", "text"))
+        # The table is made of the few wanted digests, so no text is sorted.
+        return checkpointed(own.join(needed.hint("shuffle_hash"), same).select("node", "text"))
 
     # Later rounds with longer keys only meet texts of the first, so their texts are brought here once.
     texts = texts_of(found.select(F.explode(F.array("center", "member")).alias("node")))
@@ -395,41 +403,64 @@ def near_links(
     return sketched.select("node", "id"), links, labels
 
 
+def _classed(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """``node, id, label, n_links`` of each row with a text, and the counts of rows by digest."""
+    rows, links, labels = near_links(docs, key, text)
+    both = links.select("a", "b").union(links.select("b", "a")).distinct()
+    degree = both.groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("n_links"))
+    copies = rows.groupBy("node").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    known = copies.join(labels, "node", "left").join(degree, "node", "left")
+    known = known.select("node", "least", "copies", F.coalesce("label", "node").alias("label"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return rows, checkpointed(known)
+
+
 def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, class_id, n_links`` for each row; ``class_id`` is the least key of the class.
 
-    A class is all documents reached over exact copies and over links: pairs of texts whose words
-    align with edits of at most 0.2 of the longer text.  ``n_links`` counts
-    links of the row's text to different texts that were compared and held.  Equal texts, the
-    empty text too, share a class; texts of under five words only match exact copies.  A row with
-    a null text is a class of its own, and a row with a null key gets the class of its text, or
-    null if no row of it has a key.  Repeated rows stay, one result row each.
+    A class is all documents reached over exact copies and over links.  Two texts are linked if
+    their words align with edits of at most 0.2 of the longer text and their sketches propose the
+    pair.  Texts whose five-word shingles resemble each other by 0.8 or more (shared over all) are
+    proposed but for 3 in a million; of pairs with scattered edits that change more shingles,
+    RECALL_BY_EDITS gives the share that is found.  ``n_links`` counts links of the row's text to
+    different texts that were compared and held.  Equal texts, the empty text too, share a class;
+    texts of under five words only match exact copies.  A row with a null text is a class of its
+    own, and a row with a null key gets the class of its text, or null if no row of it has a key.
+    Repeated rows stay, one result row each.
     """
-    rows, links, labels = near_links(docs, key, text)
-    both = links.select("a", "b").union(links.select("b", "a")).distinct()
-    degree = both.groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("n_links"))
-    ids = rows.groupBy("node").agg(F.min("id").alias("_least"))
-    ids = ids.join(labels, "node", "left").join(degree, "node", "left")
-    ids = ids.withColumn("label", F.coalesce("label", "node"))
-    least = ids.groupBy("label").agg(F.min("_least").alias("class_id"))
-    ids = ids.join(least, "label").select("node", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    known = rows.join(ids, "node").select(F.col("id").alias(key), "class_id", "n_links")
+    rows, known = _classed(docs, key, text)
+    sizes = known.groupBy("label").agg(F.min("least").alias("class_id"), F.count(F.lit(1)).alias("_n"))
+    ids = spread_join(known, sizes.select("label", "class_id"), "label", heavy_keys(sizes, "label", "_n"), ["node"])
+    heavy = heavy_keys(known, "node", "copies")
+    found = spread_join(rows, ids.select("node", "class_id", "n_links"), "node", heavy, ["id"])
     silent = docs.where(F.col(text).isNull()).select(
         F.col(key), F.col(key).alias("class_id"), F.lit(0).cast("long").alias("n_links")
     )
-    return known.unionByName(silent)
+    return found.select(F.col("id").alias(key), "class_id", "n_links").unionByName(silent)
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each class: that of the least key; all columns pass through.
 
-    Rows with a null key or a null text stay.  Of repeated rows with one key one stays.
+    Of texts of one class under the least key the one of least digest stays, so different texts
+    under one key that are no near duplicates both stay.  Rows with a null key or a null text stay.
+    Of rows repeated with key and text one stays.
     """
-    classes = near_duplicate_classes(docs, key, text)
-    go = checkpointed(classes.where(F.col(key) != F.col("class_id")).select(key).distinct())
-    kept = docs.join(go, key, "left_anti")
-    twice = classes.where(f"`{key}` = class_id").groupBy(key).count().where("count > 1")
+    rows, known = _classed(docs, key, text)
+    own = F.struct(F.col("least").alias("id"), F.col("node"))
+    sizes = known.where("least is not null").groupBy("label").agg(F.min(own).alias("stays"), F.count(F.lit(1)).alias("_n"))
+    heirs = spread_join(known, sizes.select("label", "stays"), "label", heavy_keys(sizes, "label", "_n"), ["node"])
+    heirs = heirs.select("node", F.col("stays.id").alias("_id"), F.col("stays.node").alias("_node"))
+    placed = spread_join(rows.where("id is not null"), heirs, "node", heavy_keys(known, "node", "copies"), ["id"])
+    stays = (F.col("id") == F.col("_id")) & (F.col("node") == F.col("_node"))
+    placed = checkpointed(placed.select("id", "node", stays.alias("stays")))
+    go = placed.where("not stays").select("id", "node").distinct()
+    digest = "__tierwise_node"
+    kept = docs.withColumn(digest, _node(F.col(text)))
+    # The table is made of keys and digests; texts are only passed by it.
+    go = go.select(F.col("id").alias("_id"), F.col("node").alias("_node")).hint("shuffle_hash")
+    kept = kept.join(go, (kept[key] == go["_id"]) & (kept[digest] == go["_node"]), "left_anti")
+    twice = placed.where("stays").groupBy("id", "node").count().where("count > 1")
     if twice.limit(1).count():
-        null = kept.where(F.col(key).isNull() | F.col(text).isNull())
-        kept = kept.where(F.col(key).isNotNull() & F.col(text).isNotNull()).dropDuplicates([key]).unionByName(null)
-    return kept
+        apart = F.col(key).isNull() | F.col(text).isNull()
+        kept = kept.where(~apart).dropDuplicates([key, digest]).unionByName(kept.where(apart))
+    return kept.drop(digest)

@@ -9,14 +9,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tierwise.llm.frames import broadcast_if_small
+from tierwise.llm.frames import checkpointed
+from tierwise.llm.skew import heavy_keys, spread_join
 
 HOST, DOMAIN = "host", "domain"
 #: Intervals are dealt into periods of so many days, so a pattern with a long history meets a
 #: capture only with what was active around its fetch time.
 PERIOD_DAYS = 30
-BROADCAST_ENTRIES = 100_000
+#: Rows (entry and period) that are broadcast; beyond, captures and entries are shuffled.
+BROADCAST_ROWS = 100_000
 _DAY = 86_400
+_FOUND_HOST, _FOUND_AT = "__tierwise_host", "__tierwise_at"
 
 
 def host_of(url: Column) -> Column:
@@ -57,7 +60,6 @@ def active_entries(captures: DataFrame, entries: DataFrame, url: str = "url", at
         "_host is not null and _at is not null"
     ).distinct()
     intervals = validity_intervals(entries)
-    n = entries.count()
     latest = F.broadcast(moments.agg(F.max("_at").alias("_latest")))  # one row
     spread = intervals.join(latest, F.col("valid_from") <= F.col("_latest")).withColumn(
         "_period", F.explode(F.sequence(_period(F.col("valid_from")), _period(F.least("_latest", F.coalesce("valid_to", "_latest")))))
@@ -69,9 +71,16 @@ def active_entries(captures: DataFrame, entries: DataFrame, url: str = "url", at
     )
     own = F.array(F.struct(F.lit(HOST).alias("kind"), F.col("_host").alias("pattern")))
     keyed = moments.select("_host", "_at", _period(F.col("_at")).alias("_period"), F.inline(F.concat(own, above)))
-    # Bounded by the list: entries times the periods they were active in.
-    periods = broadcast_if_small(spread.drop("_latest"), n, BROADCAST_ENTRIES)
-    met = keyed.join(periods, ["kind", "pattern", "_period"])
+    periods = checkpointed(spread.drop("_latest"))
+    # What is sent is counted: one row for each entry and period that it was active in.
+    if periods.count() <= BROADCAST_ROWS:
+        met = keyed.join(F.broadcast(periods), ["kind", "pattern", "_period"])
+    else:
+        # A domain such as "com" is above a large share of all captures.
+        key = F.concat_ws(" ", "kind", F.col("_period").cast("string"), "pattern").alias("_key")
+        keyed, periods = keyed.select("_host", "_at", key), periods.select("*", key)
+        heavy = heavy_keys(keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")), "_key", "_n")
+        met = spread_join(keyed, periods, "_key", heavy, ["_host", "_at"])
     return met.where("valid_from <= _at and (valid_to is null or _at < valid_to)").select(
         "_host", "_at", "pattern", "kind", "category"
     )
@@ -88,8 +97,15 @@ def filter_urls(captures: DataFrame, entries: DataFrame, url: str = "url", at: s
     found = active_entries(captures, entries, url, at).groupBy("_host", "_at").agg(
         F.count(F.lit(1)).alias("n_active"), F.array_join(F.array_sort(F.collect_set("category")), ",").alias("categories")
     )
+    # Columns of the input keep their names beside these.
+    found = found.withColumnsRenamed({"_host": _FOUND_HOST, "_at": _FOUND_AT})
     rows = captures.drop("host", "n_active", "categories", "blocked").withColumn("host", host_of(F.col(url)))
-    joined = rows.join(found, (rows["host"] == found["_host"]) & (rows[at] == found["_at"]), "left").drop("_host", "_at")
+    known = F.col("host").isNotNull() & F.col(at).isNotNull()
+    looked = rows.where(known)
+    looked = looked.join(found, (looked["host"] == found[_FOUND_HOST]) & (looked[at] == found[_FOUND_AT]), "left")
+    # Rows that cannot match are not sent to one task by their null.
+    rest = rows.where(~known).withColumns({"n_active": F.lit(None).cast("long"), "categories": F.lit(None).cast("string")})
+    joined = looked.drop(_FOUND_HOST, _FOUND_AT).unionByName(rest)
     return joined.withColumns(
         {
             "n_active": F.coalesce("n_active", F.lit(0)).cast("long"),

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tierwise.llm.skew import heavy_keys, spread_join
+
 #: Digits of base 32 as ``conv`` writes them, and in the RFC 4648 alphabet.
 _PLAIN32, _RFC32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -79,8 +81,10 @@ def write_archive(pages: DataFrame, folder: str, smallest: int = 0, date: str =
         "compression", "zstd"
     ).parquet(f"{folder}/payloads")
     small = records.drop("payload")
-    holders = small.groupBy(*content).agg(F.max("page_id").alias("_holder"))
-    joined = small.join(holders, content)
+    holders = small.groupBy("payload_sha256").agg(F.max("page_id").alias("_holder"), F.count(F.lit(1)).alias("_n"))
+    # Records of a common payload, such as the empty one, are dealt out.
+    heavy = heavy_keys(holders, "payload_sha256", "_n")
+    joined = spread_join(small, holders.drop("_n"), "payload_sha256", heavy, ["page_id", "url"])
     held = F.col("page_id").isNull() | (F.col("payload_bytes") < smallest) | (F.col("page_id") == F.col("_holder"))
     typed = joined.withColumn("record_type", F.when(held, "response").otherwise("revisit")).withColumn(
         "refers_to", F.when(~held, F.col("_holder"))
@@ -102,13 +106,15 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     the header, is an error.
     """
     stored = spark.read.parquet(f"{folder}/payloads").select(
-        F.col("payload_sha256").alias("_sha"),
+        "payload_sha256",
         F.octet_length("payload").cast("long").alias("_bytes"),
         base32_sha1(F.col("payload")).alias("_digest"),
         (F.sha2("payload", 256) == F.col("payload_sha256")).alias("_whole"),
     )
     headers = spark.read.parquet(f"{folder}/headers")
-    joined = headers.join(stored, F.col("payload_sha256") == F.col("_sha"), "left")
+    counts = headers.groupBy("payload_sha256").agg(F.count(F.lit(1)).alias("_n"))
+    heavy = heavy_keys(counts, "payload_sha256", "_n")
+    joined = spread_join(headers, stored, "payload_sha256", heavy, ["page_id", "header"], "left")
     declared = F.regexp_replace(_parsed("WARC-Payload-Digest"), "^sha1:", "")
     sound = F.coalesce(F.col("_whole") & (F.col("_digest") == declared) & (F.col("_bytes") == F.col("payload_bytes")), F.lit(False))
     checked = F.when(sound, F.col("_digest")).otherwise(F.raise_error(F.lit("a stored payload does not match its digest")))

@@ -128,9 +128,9 @@ def words_of(column: pa.Array, family: int = 0, gaps: np.ndarray = SPACES) -> Wo
     return Words(mix(np.add.reduceat(value, starts) * down[starts]), first)
 
 
-def slices(batch: pa.RecordBatch | pa.Table, column: str, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges with about ``limit`` bytes of text each."""
-    _, offsets = buffers(batch.column(column))
+def slices(batch: pa.RecordBatch | pa.Table | pa.Array, column: str = "", limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Row ranges with about ``limit`` bytes of text each, of a column or of an array of texts."""
+    _, offsets = buffers(batch.column(column) if column else batch)
     low, n = 0, len(offsets) - 1
     while low < n:
         high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + limit, "right")) - 1)
