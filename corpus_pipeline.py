@@ -15,6 +15,10 @@ from tierwise.llm.near_dedup import drop_near_duplicates
 from tierwise.llm.substrings import remove_repeated
 
 
+#: Target weights: 1 keeps the shares of the sources, 0 makes them equal; between, small ones gain.
+FLATTEN = 0.7
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is undetermined or in doubt go."""
     return keep_identified(docs, fit(docs))
@@ -28,12 +32,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages go that start in an earlier document too; a text that loses none stays as it is,
     and a document that loses all its words goes."""
-    cut = remove_repeated(docs).where("n_removed < n_words or n_words = 0")
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    cut = cut.withColumn("text", text).withColumn(
-        "n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    )
-    return cut.select(*docs.columns)
+    # Columns of the documents stay, whatever they are called.
+    passed = {c: f"__passed_{c}" for c in docs.columns if c in ("n_words", "n_removed", "kept_text")}
+    cut = remove_repeated(docs.withColumnsRenamed(passed)).where("n_removed < n_words or n_words = 0")
+    changed = F.col("n_removed") > 0
+    cut = cut.withColumn("text", F.when(changed, F.col("kept_text")).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        counted = F.length("text").cast(docs.schema["n_chars"].dataType)
+        cut = cut.withColumn("n_chars", F.when(changed, counted).otherwise(F.col("n_chars")))
+    return cut.drop("n_words", "n_removed", "kept_text").withColumnsRenamed({v: k for k, v in passed.items()}).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,9 +49,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every source gets the same weight; rows are ``doc_id, source, block, slot, position``."""
-    sources = [r[0] for r in docs.select("source").distinct().collect()]
-    return mix_sources(docs, {s: 1 for s in sources})
+    """Sources get shares by their size to the power FLATTEN; rows are ``doc_id, source, block, slot, position``."""
+    sizes = {r["source"]: r["count"] for r in docs.groupBy("source").count().collect()}  # one row a source
+    return mix_sources(docs, {source: n**FLATTEN for source, n in sizes.items()})
 
 
 STAGES = [
