@@ -161,6 +161,17 @@ def test_mix_of_nothing(spark):
     assert sum(mixing.quotas({"a": 0.5, "b": 0.25, "c": 0.2501}).values()) == mixing.RESOLUTION
 
 
+def test_mix_of_any_weights(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "STRETCH", 3)  # stretches are put aside
+    test_mix_stays_within_a_block(spark)
+    assert mixing.quotas({"a": 12_000, "b": 6}) == {"a": 2000, "b": 1}
+    assert mixing.quotas({"a": 1_000_000, "b": 1}) == {"a": 999, "b": 1}
+    rows = [(None if i % 4 == 0 else i, "ab"[i % 2], "x", "y", 7) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, block string, slot string, _rank int")
+    got = mixing.mix_sources(docs, {"a": 1_000_000, "b": 1}).collect()
+    assert sorted(r["position"] for r in got) == list(range(40)) and sum(r["doc_id"] is None for r in got) == 10
+
+
 def words(text):
     return re.sub(r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]", " ", (text or "").lower()).split()
 
@@ -470,6 +481,26 @@ def test_pipeline(spark, sf):
     assert not bad & set(ids)
 
 
+def test_pipeline_stages_with_odd_tables(spark, sf, monkeypatch):
+    schema = "doc_id long, text string, lang string, source string, n_words string, n_removed int, kept_text string, lang_pred string, id int, node string"
+    long = prose(77, 30_000)
+    rows = [(None, "the and of the house"), (1, None), (2, ""), (3, long), (3, long), (4, long + " end"), (5, prose(5, 60)), (6, prose(6, 60)), (6, prose(7, 60))]
+    rest = ("en", "s", "words", 1, "kept", "guess", 2, "node")
+    odd = spark.createDataFrame([(k, t, *rest) for k, t in rows], schema)
+    empty = spark.createDataFrame([], schema)
+    # The guess of this text does not matter here, only which rows pass.
+    monkeypatch.setattr(corpus_pipeline, "fit", lambda docs: language_id.LanguageModel(["a", "▁"], ["en"], np.array([[0.5], [0.3], [0.2]])))
+    kept = {"language_id": 7, "near_dedup": 7, "substring_dedup": 9, "decontamination": 9}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, odd, sf)
+        assert out.columns == odd.columns and stage(spark, empty, sf).count() == 0, name
+        assert out.where("n_words = 'words' and kept_text = 'kept' and node = 'node' and lang_pred = 'guess'").count() == out.count()
+        texts = sorted(str(r["text"])[:40] for r in out.collect())
+        assert len(texts) == kept[name], (name, texts)
+    mixed = corpus_pipeline.STAGES[-1][1]
+    assert mixed(spark, odd, sf).count() == len(rows) and mixed(spark, empty, sf).count() == 0
+
+
 @pytest.fixture
 def few_together(monkeypatch):
     monkeypatch.setattr(skew, "HEAVY", 5)

@@ -20,21 +20,25 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tierwise.functions.ranking import hash_rank
 from tierwise.llm.frames import settled
 
-#: Weights that are no whole numbers are rounded to so many slots a cycle.
-RESOLUTION = 1000
+#: Weights that are no whole numbers, or add up to more than MOST_SLOTS, are rounded to so many
+#: slots a cycle: a cycle is scheduled by one fold.
+RESOLUTION, MOST_SLOTS = 1000, 1 << 14
+#: Slots of a schedule that are gathered before they are put aside.
+STRETCH = 256
 #: The schedule table has one row for each block of each kind of cycle and is broadcast up to here.
 BROADCAST_ROWS = 1_000_000
 
 
 def quotas(weights: Mapping[str | None, float], resolution: int = RESOLUTION) -> dict[str | None, int]:
-    """Blocks of each source in a full cycle: whole weights without their common factor, others
-    rounded by largest remainder, with one block at least."""
+    """Blocks of each source in a full cycle: whole weights without their common factor, up to
+    MOST_SLOTS in all; others rounded by largest remainder, with one block at least."""
     if any(w <= 0 for w in weights.values()):
         raise ValueError("weights must be positive")
     if all(float(w).is_integer() for w in weights.values()):
         whole = {s: int(w) for s, w in weights.items()}
         common = math.gcd(*whole.values()) if whole else 1
-        return {s: w // common for s, w in whole.items()}
+        if sum(whole.values()) // common <= MOST_SLOTS:
+            return {s: w // common for s, w in whole.items()}
     total = sum(map(Fraction, weights.values()))
     exact = {s: Fraction(w) / total * resolution for s, w in weights.items()}
     out = {s: max(1, math.floor(x)) for s, x in exact.items()}
@@ -59,34 +63,43 @@ def _kinds(sizes: list[int], quota: list[int]) -> list[tuple[int, int, list[int]
 
 def _earliest_due(blocks: Column, length: Column) -> Column:
     """The slots of a cycle in order, as (source number, block number) from 0."""
+    item = "struct<source:int,k:int>"
     start = F.struct(
         F.transform(blocks, lambda n: F.lit(0)).alias("taken"),
-        F.array().cast("array<struct<source:int,k:int>>").alias("slots"),
+        F.array().cast(f"array<{item}>").alias("slots"),
+        F.array().cast(f"array<array<{item}>>").alias("full"),
     )
 
+    def written(state: Column, slot: Column) -> list[Column]:
+        """The slots so far with one more; a full stretch is put aside, so that no step copies all."""
+        slots = F.concat(state["slots"], F.array(slot))
+        is_full = F.size(slots) >= STRETCH
+        put_aside = F.when(is_full, F.concat(state["full"], F.array(slots))).otherwise(state["full"])
+        return [F.when(is_full, F.slice(slots, 1, 0)).otherwise(slots).alias("slots"), put_aside.alias("full")]
+
     def take(state: Column, slot: Column) -> Column:
         def due(taken: Column, i: Column) -> Column:
             n = F.get(blocks, i)
-            released = (taken < n) & (F.floor(taken * length / n) <= slot)
-            return F.when(released, F.struct(F.ceil((taken + 1) * length / n).alias("due"), i.alias("source")))
+            released = (taken < n) & (F.floor(taken.cast("long") * length / n) <= slot)
+            return F.when(released, F.struct(F.ceil((taken + 1).cast("long") * length / n).alias("due"), i.alias("source")))
 
-        # The choice stands in an array of one, so that it is made once and not at each use.
+        # The choice stands in an array of one, so that it is made once and not at each use; the
+        # slots so far stay outside, as elements of arrays are copied.
         chosen = F.array(F.array_min(F.filter(F.transform(state["taken"], due), lambda x: x.isNotNull()))["source"])
-        return F.element_at(
+        following = F.element_at(
             F.transform(
                 chosen,
                 lambda first: F.struct(
                     F.transform(state["taken"], lambda t, i: t + F.when(i == first, 1).otherwise(0)).alias("taken"),
-                    F.concat(
-                        state["slots"],
-                        F.array(F.struct(first.alias("source"), F.get(state["taken"], first).alias("k"))),
-                    ).alias("slots"),
+                    F.struct(first.alias("source"), F.get(state["taken"], first).alias("k")).alias("slot"),
                 ),
             ),
             1,
         )
+        return F.struct(following["taken"].alias("taken"), *written(state, following["slot"]))
 
-    return F.aggregate(F.sequence(F.lit(0), length - 1), start, take, lambda state: state["slots"])
+    whole = lambda state: F.flatten(F.concat(state["full"], F.array(state["slots"])))
+    return F.aggregate(F.sequence(F.lit(0), length - 1), start, take, whole)
 
 
 def mix_sources(
