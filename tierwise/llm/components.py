@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tierwise.llm import skew
 from tierwise.llm.frames import checkpointed
 from tierwise.llm.skew import heavy_keys, spread_join
 
@@ -19,8 +20,11 @@ def components(links: DataFrame) -> DataFrame:
     links = links.where("a is not null and b is not null and a <> b").select("a", "b")
     both = checkpointed(links.union(links.select("b", "a")).distinct())
     labels = checkpointed(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")))
-    degrees = both.groupBy("b").agg(F.count(F.lit(1)).alias("_n"))
-    hubs = checkpointed(heavy_keys(degrees, "b", "_n"))
+    # Only among more rows than stay together can one key have that many.
+    many = labels.count() > skew.HEAVY
+    hubs = None
+    if many:
+        hubs = heavy_keys(both.groupBy("b").agg(F.count(F.lit(1)).alias("_n")), "b", "_n")
     while True:
         heard = (
             spread_join(both, labels.withColumnRenamed("node", "b"), "b", hubs, ["a"])
@@ -28,13 +32,13 @@ def components(links: DataFrame) -> DataFrame:
             .agg(F.min("label").alias("near"))
         )
         nearer = labels.join(heard, "node").select("node", F.least("label", "near").alias("label"), F.col("label").alias("was"))
-        nearer = checkpointed(nearer)
-        # Only labels of labels are looked up, and each once.
-        sizes = nearer.groupBy("label").agg(F.count(F.lit(1)).alias("_n"))
-        jump = nearer.select(F.col("node").alias("_node"), F.col("label").alias("further"))
-        jump = sizes.join(jump, sizes["label"] == jump["_node"]).select("label", "further")
+        common = None
+        if many:
+            nearer = checkpointed(nearer)
+            common = heavy_keys(nearer.groupBy("label").agg(F.count(F.lit(1)).alias("_n")), "label", "_n")
+        jump = nearer.select(F.col("node").alias("label"), F.col("label").alias("further"))
         labels = checkpointed(
-            spread_join(nearer, jump, "label", heavy_keys(sizes, "label", "_n"), ["node"], "left").select(
+            spread_join(nearer, jump, "label", common, ["node"], "left").select(
                 "node", F.coalesce("further", "label").alias("label"), "was"
             )
         )

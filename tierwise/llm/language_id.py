@@ -34,7 +34,7 @@ SHORT_WORD = 33
 STRETCH = 1 << 15
 UNDETERMINED = "und"
 #: Words a task remembers before it starts anew, and words that are scored together.
-REMEMBERED, TOGETHER = 1 << 19, 1 << 14
+REMEMBERED, TOGETHER = 1 << 19, 1 << 12
 _OPEN = "▁"  # marks the beginning of a word in the vocabulary
 
 
@@ -236,12 +236,13 @@ def fit(
     order = Window.partitionBy("_l").orderBy("_h", "_k")
     sample = rows.where(F.col("_h") < cut[F.col("_l")]).withColumn("_n", F.row_number().over(order)).where(f"_n <= {sample_rows}")
     words = sample.select("_l", F.explode(word_array(F.lower("_t"))).alias("word")).groupBy("word", "_l").count()
-    column = {name: i for i, name in enumerate(languages)}
-    counted: dict[str, np.ndarray] = {}
-    for word, name, n in words.collect():
-        counted.setdefault(_OPEN + word, np.zeros(len(languages)))[column[name]] += n
-    parts = sorted(counted)
-    counts = np.array([counted[p] for p in parts]) if parts else np.zeros((0, len(languages)))
+    # Columns of Arrow and one matrix, not a row object for each word.
+    found = words.toArrow()
+    spelled = pc.dictionary_encode(found.column("word").combine_chunks())
+    counts = np.zeros((len(spelled.dictionary), len(languages)))
+    which = pc.index_in(found.column("_l"), pa.array(languages)).to_numpy()
+    np.add.at(counts, (spelled.indices.to_numpy(), which), found.column("count").to_numpy())
+    parts = [_OPEN + w for w in spelled.dictionary.to_pylist()]
     shape = (len(pieces) + 1, len(languages))
     model = LanguageModel(pieces, languages, np.full(shape, 1.0 / shape[0]))
     for _ in range(ROUNDS):
@@ -311,7 +312,7 @@ def _predictor(model: LanguageModel) -> Callable[[Column], Column]:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = _Scorer(model)
         for batch in batches:
-            parts = [predicted(scorer, batch.slice(low, high - low)) for low, high in slices(batch)]
+            parts = [predicted(scorer, batch.slice(low, high - low)) for low, high in slices(batch, limit=1 << 20)]
             yield pa.concat_arrays(parts) if parts else pa.array([], _PREDICTED)
         pa.default_memory_pool().release_unused()
 

@@ -5,10 +5,9 @@ before; words are lower-case runs between spaces and ASCII punctuation.  An entr
 takes the two labelled shingles of least hash and keeps them in text order, so it agrees only
 where the same shingles come in the same order.  Two entries make a band.  In each band bucket
 every text is compared with the bucket's least member, which is one comparison a member and not
-all pairs; members that differ from it go on to the next round with longer keys, until no bucket
-has two members left.  Then, in each bucket whose texts are not one class yet, texts of different
-classes meet in blocks of bounded size, so that all pairs with a common bucket are met or joined by
-a chain of links.  Texts that agree in enough entries are aligned: shingles that both have
+all pairs.  Then, in each bucket whose texts are not one class yet, texts of different classes
+meet in blocks of bounded size, so that all pairs with a common bucket are met or joined by a chain
+of links.  Texts that agree in enough entries are aligned: shingles that both have
 within a diagonal band are chained in order and the words between them aligned one by one, which
 gives an edit distance.  Exact copies are one text throughout.
 """
@@ -40,11 +39,6 @@ AGREE = 6
 #: Share of pairs of 200 words that a given share of scattered word replacements leaves linked, as
 #: measured; each replacement changes five shingles.
 RECALL_BY_EDITS = {0.02: 1.0, 0.05: 0.98, 0.08: 0.73, 0.1: 0.5, 0.15: 0.1, 0.19: 0.01}
-#: A text that differed from its bucket's least member goes on under so many longer keys, each
-#: with two entries more.  Texts that share 0.6 of their shingles meet again in 0.4 of them, so
-#: crowded buckets thin out; texts that share 0.8 meet again in four of five, in each of their
-#: ten common buckets.  From the third meeting on it goes on under one key of four entries.
-FURTHER, MEETINGS = 3, 2
 
 
 def _labelled(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -248,43 +242,20 @@ def _compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def _further(bucket: str, sketch: str, turn: int) -> Column:
-    """Keys of a bucket's member for the next round: its bucket and more entries each."""
-    keys, size = (FURTHER, BAND) if turn < MEETINGS else (1, 2 * BAND)
-    begins = [turn * FURTHER * BAND + k * size for k in range(keys)]
-    entries = [[F.col(sketch)[i * 7 % ENTRIES] for i in range(b, b + size)] for b in begins]
-    return F.array(*[F.xxhash64(bucket, F.lit(b), *own) for b, own in zip(begins, entries)])
-
-
-def _candidates(members: DataFrame, sketch: DataFrame, turn: int) -> tuple[DataFrame, int, DataFrame]:
-    """``bucket, center, member`` of ``members(node, bucket)`` whose sketches agree with their
-    bucket's least node.  Those that disagree meet again under longer keys until none is left.
-    The last result has ``bucket, center, member`` of all buckets given, agreeing or not."""
-    found = first = None
-    while True:
-        sizes = members.groupBy("bucket").agg(F.min("node").alias("center"), F.max("node").alias("_last"), F.count(F.lit(1)).alias("_n"))
-        least = sizes.where("center <> _last")
-        met = (
-            spread_join(members, least.select("bucket", "center"), "bucket", heavy_keys(least, "bucket", "_n"), ["node"])
-            .where("node <> center")
-            .select("bucket", "center", F.col("node").alias("member"))
-            .join(sketch.withColumnsRenamed({"node": "center", "sketch": "_c"}), "center")
-            .join(sketch.withColumnsRenamed({"node": "member", "sketch": "_m"}), "member")
-            .withColumn("near", _agreeing("_c", "_m") >= AGREE)
-        )
-        met = checkpointed(
-            met.select(
-                "bucket", "center", "member", "near", F.when(~F.col("near"), _further("bucket", "_m", turn)).alias("on")
-            )
-        )
-        first = met.select("bucket", "center", "member") if first is None else first
-        near = met.where("near").select("bucket", "center", "member")
-        found = near if found is None else found.unionByName(near)
-        turn += 1
-        apart = met.where("not near")
-        if not apart.limit(1).count():
-            return found, turn, first
-        members = apart.select(F.col("member").alias("node"), F.explode("on").alias("bucket")).distinct()
+def _met(members: DataFrame, sketch: DataFrame) -> DataFrame:
+    """``bucket, center, member, near``: each member of a bucket with the bucket's least node, and
+    whether their sketches agree."""
+    sizes = members.groupBy("bucket").agg(F.min("node").alias("center"), F.max("node").alias("_last"), F.count(F.lit(1)).alias("_n"))
+    least = checkpointed(sizes.where("center <> _last").drop("_last"))
+    heavy = heavy_keys(least, "bucket", "_n")
+    met = (
+        spread_join(members, least.select("bucket", "center"), "bucket", heavy, ["node"])
+        .where("node <> center")
+        .select("bucket", "center", F.col("node").alias("member"))
+        .join(sketch.withColumnsRenamed({"node": "center", "sketch": "_c"}), "center")
+        .join(sketch.withColumnsRenamed({"node": "member", "sketch": "_m"}), "member")
+    )
+    return checkpointed(met.select("bucket", "center", "member", (_agreeing("_c", "_m") >= AGREE).alias("near")))
 
 
 def _strangers(table: pa.Table, meetings: Iterator[tuple[int, np.ndarray]]) -> pa.RecordBatch:
@@ -336,7 +307,7 @@ def _mixed(met: DataFrame, labels: DataFrame) -> DataFrame:
     sizes = sizes.groupBy("bucket").agg(
         F.max(F.struct("n", "label"))["label"].alias("most"), F.count(F.lit(1)).alias("n"), F.sum("n").alias("members")
     )
-    sizes = sizes.where("n > 1")
+    sizes = checkpointed(sizes.where("n > 1"))
     return spread_join(members, sizes.select("bucket", "most"), "bucket", heavy_keys(sizes, "bucket", "members"), ["node"])
 
 
@@ -359,42 +330,22 @@ def near_links(
     spots = range(0, ENTRIES, BAND)
     bands = F.array(*[F.xxhash64(F.lit(e), *[F.col("sketch")[e + k] for k in range(BAND)]) for e in spots])
     members = sketch.where(F.exists("sketch", lambda x: x != 0)).select("node", F.explode(bands).alias("bucket"))
-    found, turn, met = _candidates(members, sketch, 0)
-
-    def texts_of(which: DataFrame) -> DataFrame:
-        needed = which.select(F.col("node").alias("_node")).distinct()
-        needed = nodes.select(F.col("node").alias("_node"), F.col("id").alias("_id")).join(needed, "_node")
-        # Identical rows of one id may all stay; they only repeat a comparison.
-        same = (own["node"] == needed["_node"]) & own["id"].eqNullSafe(needed["_id"])
-        # The table is made of the few wanted digests, so no text is sorted.
-        return checkpointed(own.join(needed.hint("shuffle_hash"), same).select("node", "text"))
-
-    # Later rounds with longer keys only meet texts of the first, so their texts are brought here once.
-    texts = texts_of(found.select(F.explode(F.array("center", "member")).alias("node")))
-    links = failed = None
-    while True:
-        pairs = found.select("center", "member").distinct()
-        if failed is not None:
-            pairs = pairs.join(failed, ["center", "member"], "left_anti")
-        compared = checkpointed(_compare(pairs, texts))
-        good = compared.where("similarity > 0").select(F.col("center").alias("a"), F.col("member").alias("b"), "similarity")
-        links = good if links is None else links.unionByName(good)
-        apart = compared.where("similarity = 0").select("center", "member")
-        failed = apart if failed is None else failed.unionByName(apart)
-        apart = found.join(failed, ["center", "member"])
-        if not apart.limit(1).count():
-            break
-        again = apart.select("bucket", F.col("member").alias("node")).distinct().join(sketch, "node")
-        members = again.select("node", F.explode(_further("bucket", "sketch", turn)).alias("bucket")).distinct()
-        found, turn, _ = _candidates(members, sketch, turn + 1)
+    met = _met(members, sketch)
+    # Blocks only meet texts that share a bucket, so all texts that are read again are brought here,
+    # once.  The table is made of the few wanted digests, so no text is sorted.
+    needed = met.select(F.explode(F.array("center", "member")).alias("_node")).distinct()
+    needed = nodes.select(F.col("node").alias("_node"), F.col("id").alias("_id")).join(needed, "_node")
+    # Identical rows of one id may all stay; they only repeat a comparison.
+    same = (own["node"] == needed["_node"]) & own["id"].eqNullSafe(needed["_id"])
+    texts = checkpointed(own.join(needed.hint("shuffle_hash"), same).select("node", "text"))
+    compared = _compare(met.where("near").select("center", "member").distinct(), texts)
+    links = checkpointed(compared.where("similarity > 0").select(F.col("center").alias("a"), F.col("member").alias("b"), "similarity"))
     # So far a text met the centers of its buckets; now it meets all members of other classes.
-    links = checkpointed(links)
     labels = components(links)
     mixed = checkpointed(_mixed(met, labels))
     if mixed.limit(1).count():
         # Identical rows of one id are one here.
-        texts = texts_of(mixed.select("node")).dropDuplicates(["node"])
-        members = mixed.join(sketch, "node").join(texts, "node")
+        members = mixed.join(sketch, "node").join(texts.dropDuplicates(["node"]), "node")
         own_class = F.col("label") == F.col("most")
         more = checkpointed(meet_in_blocks(members, "a binary, b binary, similarity double", _strangers, own_class))
         if more.limit(1).count():

@@ -10,18 +10,23 @@ from pyspark.sql import DataFrame, functions as F
 HEAVY = 50_000
 
 
-def heavy_keys(counts: DataFrame, key: str, n: str) -> DataFrame:
-    """``key, _slices`` of the keys of ``counts`` with more rows than stay together."""
-    return counts.where(F.col(n) > HEAVY).select(key, F.ceil(F.col(n) / HEAVY).cast("int").alias("_slices"))
+def heavy_keys(counts: DataFrame, key: str, n: str) -> DataFrame | None:
+    """``key, _slices`` of the keys of ``counts`` with more rows than stay together; None without any."""
+    heavy = counts.where(F.col(n) > HEAVY).select(key, F.ceil(F.col(n) / HEAVY).cast("int").alias("_slices"))
+    return None if heavy.isEmpty() else heavy
 
 
-def spread_join(rows: DataFrame, lookup: DataFrame, key: str, heavy: DataFrame, spread: Sequence[str], how: str = "inner") -> DataFrame:
+def spread_join(
+    rows: DataFrame, lookup: DataFrame, key: str, heavy: DataFrame | None, spread: Sequence[str], how: str = "inner"
+) -> DataFrame:
     """``rows`` joined with ``lookup``, which has one row a key; rows of a heavy key are dealt out.
 
     ``heavy`` is from ``heavy_keys`` over counts of ``rows``: one row for each HEAVY rows at most,
-    so it is broadcast.  Rows are dealt by a hash of the ``spread`` columns and the lookup's row
-    stands in every slice.
+    so it is broadcast; without any this is a plain join.  Rows are dealt by a hash of the
+    ``spread`` columns and the lookup's row stands in every slice.
     """
+    if heavy is None:
+        return rows.join(lookup, key, how)
     heavy = F.broadcast(heavy)
     dealt = rows.join(heavy, key, "left").withColumn("_slice", F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_slices")), F.lit(0)).cast("int"))
     copied = lookup.join(heavy, key, "left").withColumn("_slice", F.explode(F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1)))

@@ -13,8 +13,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes of text looked at together; one longer text is looked at alone.
-SLICE_BYTES = 2 << 20
+#: Bytes of text looked at together, each of which takes some hundred bytes of arrays meanwhile;
+#: one longer text is looked at alone.
+SLICE_BYTES = 1 << 19
 
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
