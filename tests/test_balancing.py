@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tierwise.operators import neighbors as N, resampling as R
+from tierwise.operators import lsh, neighbors as N, resampling as R
 
 
 def frame(spark, x, y):
@@ -159,3 +159,75 @@ def test_strategy_names(crowded):
     assert R.resample(df, "off").count() == 900
     with pytest.raises(ValueError):
         R.resample(df, "adasyn")
+
+
+def cloud(n, width, seed, copies=0):
+    r = np.random.default_rng(seed)
+    x = np.round(r.normal(size=(n, width)) + 3 * r.integers(0, 4, (n, 1)), 3)
+    x[:copies] = x[0]
+    return [(int(k), int(k % 9 == 0), [float(v) for v in row], f"c{k}") for k, row in enumerate(x)]
+
+
+def brute_lists(rows, k, queries):
+    out = {}
+    for i, _, x, _ in (r for r in rows if queries(r)):
+        d = sorted((sum((a - b) ** 2 for a, b in zip(x, y)), j, c) for j, _, y, c in rows if j != i)
+        out[i] = [(round(a, 6), j, c) for a, j, c in d[:k]]
+    return out
+
+
+def lists(df):
+    return {r["key"]: [(round(n["d2"], 6), n["key"], n["c"]) for n in r["neighbors"]] for r in df.collect()}
+
+
+def test_few_queries_are_one_scan(spark):
+    rows = cloud(700, 5, 1, copies=230)
+    df = spark.createDataFrame(rows, "key long, label int, vector array<double>, c string").repartition(40)
+    few = N.nearest_neighbors(df, "key", "vector", 4, ["c"], F.col("label") == 1, with_vectors=True, block_rows=8)
+    assert lists(few) == brute_lists(rows, 4, lambda r: r[1] == 1)
+    assert all(n["vector"] == rows[n["key"]][2] for r in few.collect() for n in r["neighbors"])
+    # The points reach the scan without an exchange; only lists are shuffled.
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    scan = plan[plan.index("MapInArrow") :]
+    assert "Exchange" not in scan[: scan.index("Scan ExistingRDD")].replace("Exchange RoundRobinPartitioning", "")
+    blocks = N.nearest_neighbors(df, "key", "vector", 4, ["c"], F.col("label") == 1, block_rows=8, few_bytes=0)
+    assert lists(blocks) == lists(few)
+    none = N.nearest_neighbors(df, "key", "vector", 4, ["c"], F.lit(False), block_rows=8)
+    assert none.count() == 0
+
+
+def test_lsh_finds_most_neighbors(spark):
+    rows = cloud(3000, 8, 2, copies=1000)
+    df = spark.createDataFrame(rows, "key long, label int, vector array<double>, c string")
+    hashing = lsh.Hashing(12, 6, 8)
+    found = lsh.nearest_neighbors_lsh(df, "key", "vector", 5, ["c"], hashing=hashing)
+    got, recall = lists(found), lsh.lsh_recall(df, found, "key", "vector", 5, n=150)
+    assert len(got) == 3000
+    measured = recall.agg(F.sum("n_found") / F.sum("n_exact")).first()[0]
+    assert measured >= 0.9 and recall.count() == 150
+    asked = {r["key"] for r in recall.collect()}
+    exact = brute_lists(rows, 5, lambda r: r[0] in asked)
+    # What is found has its exact distance and the order of the exact join.
+    for k in asked:
+        assert got[k] == sorted(got[k]) and set(x[0] for x in got[k] if x in exact[k]) <= {x[0] for x in exact[k]}
+    assert measured == pytest.approx(sum(len({x[1] for x in got[k]} & {x[1] for x in exact[k]}) for k in asked) / (5 * len(asked)))
+    # Of 1000 copies six are hashed.
+    assert 0 < lsh.lsh_comparisons(df, "key", "vector", 5, hashing) < 0.5 * 12 * 2006**2
+    some = lsh.nearest_neighbors_lsh(df, "key", "vector", 5, ["c"], queries=F.col("label") == 1, hashing=hashing)
+    assert lists(some) == {k: v for k, v in got.items() if k % 9 == 0}
+
+
+def test_lsh_groups_and_slices(spark, monkeypatch):
+    rows = cloud(400, 4, 3)
+    df = spark.createDataFrame(rows, "key long, label int, vector array<double>, c string")
+    hashing = lsh.Hashing(6, 5, 32)  # all buckets: exact
+    assert lists(lsh.nearest_neighbors_lsh(df, "key", "vector", 3, ["c"], hashing=hashing)) == brute_lists(rows, 3, lambda r: True)
+    monkeypatch.setattr(lsh, "GROUP_ROWS", 40)
+    monkeypatch.setattr(lsh, "SLICE_ROWS", 16)
+    assert lists(lsh.nearest_neighbors_lsh(df, "key", "vector", 3, ["c"], hashing=hashing)) == brute_lists(rows, 3, lambda r: True)
+    empty = df.limit(0)
+    assert lsh.nearest_neighbors_lsh(empty, "key", "vector", 3, ["c"]).count() == 0
+    assert lsh._cheapest(3, 99) == sorted(lsh._cheapest(3, 99), key=lambda s: sum((i + 1) ** 2 for i in s)) and len(lsh._cheapest(3, 99)) == 8
+    sizes = [lsh.Hashing.for_size(n) for n in (1, 500, 10**4, 10**6, 10**9)]
+    share = [h.tables * h.probes / 2**h.bits for h in sizes]
+    assert share[1:] == sorted(share[1:], reverse=True) and share[-1] < 0.05

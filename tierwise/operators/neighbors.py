@@ -1,6 +1,8 @@
 """Exact k-nearest-neighbour self-join.
 
-Up to two blocks of points are answered by one task.  Beyond that:
+Up to two blocks of points are answered by one task.  Few queries against many points are sent to
+every task instead: one scan keeps the best of each query and task, and the lists of tasks are
+merged in a tree, so the points are never shuffled.  Beyond that:
 
 1. Of equal vectors only the k+1 smallest keys can ever be neighbours, so the rest are set
    aside and share the answer of their vector at the end.
@@ -36,6 +38,8 @@ MAX_PIVOTS = 1024
 GROUP_BYTES = 32 << 20  # vectors of a group of blocks
 MIN_GROUPS = 32  # where there are as many blocks, so that small inputs still use many tasks
 CHUNK_CELLS = 4_000_000  # query x candidate distances held at a time
+FEW_BYTES = 16 << 20  # vectors of queries that are sent to every task
+MERGE = 16  # lists of a query that one row of the merging tree takes
 
 
 def nearest_neighbors(
@@ -47,12 +51,30 @@ def nearest_neighbors(
     queries: Column | None = None,
     with_vectors: bool = False,
     block_rows: int = BLOCK_ROWS,
+    few_bytes: int = FEW_BYTES,
 ) -> DataFrame:
     """The k nearest other points of every point (or of those matching ``queries``).
 
     Adds ``neighbors``: array of ``(d2, key, carried columns[, vector])`` ordered by squared
-    distance, then key.  Only ``key``, ``vector`` and ``carry`` are kept of the input.
+    distance, then key.  Only ``key``, ``vector`` and ``carry`` are kept of the input.  Of a large
+    table, queries whose vectors and lists were measured to take up to ``few_bytes`` are sent to
+    every task.
     """
+    rows, shape, size, asked, width = _prepared(points, key, vector, k, carry, queries, with_vectors)
+    per_query = 8 * (max(1, width or 0) * (1 + (k + 1) * with_vectors) + 4 * (k + 1))
+    if size > 2 * block_rows and queries is not None and asked * per_query <= few_bytes:
+        found = _few_queries(rows, shape, k + 1)
+    elif size <= 2 * block_rows:
+        block = rows.withColumn("block", F.lit(0)).groupBy("block")
+        found = block.applyInArrow(_within(shape, k + 1), shape.answer)
+        found = found.select("key", "vector", *carry, "neighbors")
+    else:
+        found = _by_blocks(rows, shape, k + 1, size, block_rows, width)
+    return _without_self(found, key, vector, k)
+
+
+def _prepared(points: DataFrame, key: str, vector: str, k: int, carry: Sequence[str], queries: Column | None, with_vectors: bool):
+    """Rows ``key, vector, carried, is_query``, their types, and the counts of rows, queries and numbers."""
     if k < 1:
         raise ValueError("k must be at least 1")
     is_query = F.lit(True) if queries is None else F.coalesce(queries, F.lit(False))
@@ -62,22 +84,20 @@ def nearest_neighbors(
         *carry,
         is_query.alias("is_query"),
     )
-    shape = _Shape(rows.schema, list(carry), with_vectors)
     lengths = rows.agg(
         F.count(F.lit(1)),
+        F.count_if("is_query"),
         F.count_if(F.col("vector").isNull() | F.exists("vector", lambda v: v.isNull())),
         F.min(F.size("vector")),
         F.max(F.size("vector")),
     ).first()
-    size, bad, shortest, width = lengths
+    size, asked, bad, shortest, width = lengths
     if bad or shortest != width:
         raise ValueError("every vector must be present, of one length and without nulls")
-    if size <= 2 * block_rows:
-        block = rows.withColumn("block", F.lit(0)).groupBy("block")
-        found = block.applyInArrow(_within(shape, k + 1), shape.answer)
-        found = found.select("key", "vector", *carry, "neighbors")
-    else:
-        found = _by_blocks(rows, shape, k + 1, size, block_rows, width)
+    return rows, _Shape(rows.schema, list(carry), with_vectors), size, asked, width
+
+
+def _without_self(found: DataFrame, key: str, vector: str, k: int) -> DataFrame:
     others = F.filter("neighbors", lambda n: n["key"] != F.col("key"))
     return found.withColumn("neighbors", F.slice(others, 1, k)).withColumnsRenamed(
         {"key": key, "vector": vector}
@@ -205,6 +225,57 @@ def _within(shape: _Shape, k: int):
     return answer
 
 
+# ---------------------------------------------------------------- few queries
+
+
+def _few_queries(rows: DataFrame, shape: _Shape, k: int) -> DataFrame:
+    """Every task scans its points once for all queries, which were measured to be few."""
+    spark = rows.sparkSession
+    asked = rows.where("is_query").drop("is_query").toArrow()
+    number = pa.array(np.arange(len(asked)))
+    queries = spark.createDataFrame(asked.append_column("_q", number))
+    partial = T.StructType([T.StructField("_q", T.LongType()), T.StructField("_part", T.LongType()), shape.neighbors])
+    best = rows.drop("is_query").mapInArrow(_scan_for(shape, _matrix(_plain(asked)), k), partial)
+    parts = rows.rdd.getNumPartitions()
+    merged = F.slice(F.array_sort(F.flatten(F.collect_list("neighbors"))), 1, k).alias("neighbors")
+    while parts > 1:
+        parts = -(-parts // MERGE)
+        best = best.groupBy("_q", F.floor(F.col("_part") / MERGE).alias("_part")).agg(merged)
+    return queries.join(F.broadcast(best.select("_q", "neighbors")), "_q").drop("_q")  # a row a query
+
+
+def _scan_for(shape: _Shape, q: np.ndarray, k: int):
+    from pyspark import TaskContext
+
+    kept = ["key", *shape.carry, *(["vector"] if shape.with_vectors else [])]
+
+    def scan(batches):
+        part = TaskContext.get().partitionId()
+        held, owner, best, bound = None, np.zeros(0, np.int64), np.zeros(0), np.full(len(q), np.inf)
+        for batch in batches:
+            table = _plain(pa.Table.from_batches([batch]))
+            if not len(table) or not len(q):
+                continue
+            qi, ci, d2 = _nearest(q, _matrix(table), _key_rank(table), k, bound)
+            found = table.select(kept).take(pa.array(ci))
+            # The lists so far and the batch's, cut to the first k of each query again.
+            rows = found if held is None else pa.concat_tables([held, found])
+            owner, best = np.concatenate([owner, qi]), np.concatenate([best, d2])
+            order = np.lexsort((_key_rank(rows), best, owner))
+            owner, best = owner[order], best[order]
+            first = np.arange(len(owner)) - np.searchsorted(owner, owner) < k
+            held, owner, best = rows.take(pa.array(order[first])), owner[first], best[first]
+            ends = np.searchsorted(owner, np.arange(len(q)), "right") - 1
+            full = np.bincount(owner, minlength=len(q)) >= k
+            bound[full] = best[ends[full]]
+        if held is not None:
+            lists = _lists(shape, held, owner, np.arange(len(owner)), best, len(q))
+            columns = [pa.array(np.arange(len(q))), pa.array(np.full(len(q), part)), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["_q", "_part", "neighbors"])
+
+    return scan
+
+
 # ---------------------------------------------------------------- many blocks
 
 

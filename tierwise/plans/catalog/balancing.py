@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tierwise.operators import neighbors as N, resampling as R
+from tierwise.operators import lsh as L, neighbors as N, resampling as R
 from tierwise.plans.catalog.bindings import VECTORS, rounded, vectors
 
 # ---- brute force over all pairs, for comparison only
@@ -99,6 +99,23 @@ def _resampled(strategy: str, **settings):
 PLAIN = f"{VECTORS}, {_pairs('v', 'pw')}"
 GROWN = f"{SMOTE}, {_pairs('w', 'pw')}"
 
+def knn_join_lsh(spark, sf):
+    """Recall of the approximate join by label, against the exact neighbours of all points."""
+    points = vectors(spark, sf)
+    size = points.count()
+    found = L.nearest_neighbors_lsh(points, "key", "vector", 5)
+    recall = L.lsh_recall(points, found, "key", "vector", 5, n=size)
+    few = L.lsh_comparisons(points, "key", "vector", 5) < size * size
+    by_label = recall.join(points.select("key", "label"), "key").groupBy("label")
+    return by_label.agg(
+        F.count(F.lit(1)).alias("queries"),
+        F.sum("n_exact").alias("pairs"),
+        (F.sum("n_found") > 0).alias("compared"),
+        (F.sum("n_found") >= 0.9 * F.sum("n_exact")).alias("recall_reached"),
+        F.lit(few).alias("fewer_than_all_pairs"),
+    )
+
+
 QUERIES = {
     "knn_join": (
         lambda spark, sf: rounded(
@@ -113,6 +130,22 @@ QUERIES = {
         ),
         f"with {VECTORS}, {_pairs('v')} select i, j, cast(rk as int) as rank, round(d2, 6) as d2 from {_near('pd', 5)}",
     ),
+    "knn_join_small_side": (
+        # The rare class against all: sent to every task, as for a table of any size.
+        lambda spark, sf: rounded(
+            N.knn_pairs(
+                N.nearest_neighbors(vectors(spark, sf), "key", "vector", 5, queries=F.col("label") == 1, block_rows=1), "key"
+            ),
+            6,
+        ),
+        f"with {VECTORS}, {_pairs('v')} select i, j, cast(rk as int) as rank, round(d2, 6) as d2 from {_near('pd', 5, 'il = 1')}",
+    ),
+    "knn_join_lsh": (
+        knn_join_lsh,
+        f"""with {VECTORS}, {_pairs('v')}, n as {_near('pd', 5)}
+   select il as label, count(distinct i) as queries, count(*) as pairs, sum(round(d2, 6)) > 0 as compared,
+   true as recall_reached, true as fewer_than_all_pairs from n group by il""",
+    ),
     "borderline_groups": (
         lambda spark, sf: R.borderline_groups(vectors(spark, sf)),
         f"with {ZONES} select key, n_majority, n_neighbors, zone from z",
