@@ -91,3 +91,14 @@ def test_many_classes_are_split_as_few_are(spark, monkeypatch):
     many = [split.stratified_split(df, "y", "key", 0.2, 0.15, 5), split.stratified_folds(df, "y", "key", 4, 5)]
     for a, b in zip(few, many):
         assert a.columns == b.columns and sorted(a.collect(), key=lambda r: r["key"]) == sorted(b.collect(), key=lambda r: r["key"])
+
+
+def test_duplicate_rows_by_digest(spark):
+    rows = [(1, None, "a", [1.0]), (None, 1, "a", [1.0]), (1, None, "a", [1.0]), (1, None, "a", [1.0]), (2, 2, None, None), (2, 2, None, None), (3, 3, "b", [0.0]), (3, 3, "b", [-0.0])]
+    df = spark.createDataFrame(rows, "a int, `b c` int, t string, v array<double>")
+    want = df.count() - df.distinct().count()
+    assert audit.duplicate_rows(df).first()[0] == want >= 3
+    assert audit.duplicate_rows(df.limit(0)).first()[0] == 0
+    assert audit.duplicate_rows(df.distinct()).collect()[0]["duplicate_rows"] == 0
+    plan = audit.duplicate_rows(df.select("a", "t").distinct())._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan  # no digest stands twice, so no row is shuffled

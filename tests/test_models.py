@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tierwise.operators import boosting as B, explain as X, search as S, tiers
+from tierwise.operators import boosting as B, explain as X, isotonic, search as S, tiers
 from tierwise.plans.catalog.modelling import LEAVES
 from tierwise.plans.scoring import score_records
 from tierwise.plans.training import RunConfig, run_training
@@ -77,6 +77,52 @@ def test_no_background_gives_zeros(leaves):
     assert not X.interventional_weights(leaves[0], np.zeros((0, 3))).any()
 
 
+def random_leaves(n, d, width, seed):
+    r = np.random.default_rng(seed)
+    features = np.sort(np.argsort(r.random((n, width)), axis=1)[:, :d], axis=1)
+    low = r.normal(size=(n, d)) - 1
+    ratio = r.uniform(0, 1, (n, d)) * (r.random((n, d)) > 0.1)
+    return [X.Leaf(float(r.normal()), f.tolist(), a, a + 2, q) for f, a, q in zip(features, low, ratio)]
+
+
+def test_contributions_without_tables_equal_tables(monkeypatch):
+    leaves = [*random_leaves(40, 5, 9, 1), *random_leaves(20, 3, 9, 2), X.Leaf(2.0, [], np.zeros(0), np.zeros(0), np.zeros(0))]
+    packed = X.PackedLeaves.of(leaves)
+    assert [leaf.features for leaf in packed] == [leaf.features for leaf in leaves]
+    x = np.random.default_rng(3).normal(size=(300, 9))
+    background = x[:50]
+    want = X._leaf_sums(leaves, [X.path_weights(leaf) for leaf in leaves], x)
+    against = X._leaf_sums(leaves, [X.interventional_weights(leaf, background) for leaf in leaves], x)
+    for few in (0, 1000):  # by masks, and row by row
+        monkeypatch.setattr(X, "FEW_ROWS", few)
+        monkeypatch.setattr(X, "CELLS", 1000)
+        assert np.allclose(X.leaf_sums_without_tables(packed, x), want)
+        assert np.allclose(X.leaf_sums_without_tables(packed, x, background), against)
+        assert not X.leaf_sums_without_tables(packed, x[:0]).size
+
+
+def test_large_ensembles_take_little_memory(spark, monkeypatch):
+    import tracemalloc
+
+    # A sixth of 900 trees of depth 8; memory is in proportion to the leaves.
+    leaves = random_leaves(150 * 256, 8, 20, 4)
+    packed = X.PackedLeaves.of(leaves)
+    assert packed.table_bytes() > 9 * X.TABLE_BYTES
+    x = np.random.default_rng(5).normal(size=(3, 20))
+    tracemalloc.start()
+    got = X.leaf_sums_without_tables(packed, x)
+    assert tracemalloc.get_traced_memory()[1] < 80 << 20
+    tracemalloc.stop()
+    held = sum(a.nbytes for a in (packed.values, packed.first, packed.features, packed.low, packed.high, packed.ratio))
+    assert held * 6 < 100 << 20
+    chosen = leaves[::200]
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "key long, x array<double>")
+    monkeypatch.setattr(X, "TABLE_BYTES", 0)
+    few = {r["key"]: r["s"] for r in df.select("key", X.shap_values(F.col("x"), chosen).alias("s")).collect()}
+    want = X._leaf_sums(chosen, [X.path_weights(leaf) for leaf in chosen], x)
+    assert all(np.allclose(few[i], want[i]) for i in few) and np.isfinite(got).all()
+
+
 @pytest.fixture(scope="module")
 def records_table(spark):
     """Records shaped like the sample record, with a rare target that depends on them."""
@@ -178,10 +224,41 @@ def test_runs_are_found_by_name_then_latest_then_unnamed_then_only(spark, run, t
         store.resolve("c")
     alone = RunStore(spark, str(tmp_path / "alone"))
     alone.save("x", *args)
-    spark.createDataFrame([("gone",)], "run_id string").write.mode("overwrite").parquet(f"{alone.root}/latest")
+    spark.createDataFrame([(9, "gone")], "number long, run_id string").withColumn("saved_at", F.current_timestamp()).write.mode(
+        "append"
+    ).parquet(f"{alone.root}/commits")
     assert alone.resolve().run_id == "x"
 
 
+def test_a_reader_between_two_commits_finds_the_last_one(spark, run, tmp_path, monkeypatch):
+    made, _ = run
+    root = str(tmp_path / "store")
+    one, two, reader = (RunStore(spark, root) for _ in range(3))
+    args = (made.model.stages[0], 0.5, "pr_auc", ["age"], [], {}, [])
+    one.save("a", *args)
+    seen = []
+    point_at = RunStore._point_at
+
+    def interleaved(self, run_id):
+        # The other writer's record is there and its commit is not; then both give the same number.
+        seen.append(reader.resolve().run_id)
+        if run_id == "b":
+            last = self._last_commit()
+            monkeypatch.setattr(RunStore, "_last_commit", lambda store: last)
+            point_at(two, "c")
+            point_at(self, "b")
+            monkeypatch.undo()
+        else:
+            point_at(self, run_id)
+
+    monkeypatch.setattr(RunStore, "_point_at", interleaved)
+    two.save("c", *args)
+    one.save("b", *args)
+    assert seen == ["a", "c"]
+    numbers = [r["number"] for r in spark.read.parquet(f"{root}/commits").orderBy("saved_at").collect()]
+    assert numbers == [1, 2, 3, 3] and reader.resolve().run_id == "b"
+
+
 def test_settings_are_merged_and_checked():
     assert B.boosting_params({"max_depth": 6})["max_depth"] == 6
     assert B.boosting_params()["n_estimators"] == 400
@@ -191,6 +268,45 @@ def test_settings_are_merged_and_checked():
         B.boosting_params({"reg_alpha": 1.0})
 
 
+def test_isotonic_blocks_equal_plain_pooling(spark):
+    r = np.random.default_rng(2)
+    p = np.round(r.random(4000), 3)
+    y = (r.random(4000) < p * p).astype(int)
+    df = spark.createDataFrame([(int(b), float(a)) for a, b in zip(p, y)] + [(1, None)], "y int, p double")
+    xs = np.unique(p)
+    sums, counts = (np.array([f[p == x].sum() for x in xs]) for f in (y, np.ones(4000)))
+    plain = []
+    for x, s, n in zip(xs, sums, counts):
+        plain.append([x, x, s, n])
+        while len(plain) > 1 and plain[-2][2] / plain[-2][3] >= plain[-1][2] / plain[-1][3] - 1e-15:
+            b = plain.pop()
+            plain[-1] = [plain[-1][0], b[1], plain[-1][2] + b[2], plain[-1][3] + b[3]]
+    want = [(a, b, s / n, n) for a, b, s, n in plain]
+    for ranges in (1, 3, 64, 100):
+        blocks = isotonic.isotonic_blocks(B.by_score(df), ranges)
+        assert np.allclose([tuple(r) for r in blocks.orderBy("low").collect()], want)
+    # Prediction between and beyond the blocks, in one bin and in many.
+    asked = [None, -1.0, 0.0, 0.12345, 0.5, 0.77777, 1.0, 9.0]
+    ends = [e for a, b, _, _ in plain for e in (a, b)]
+    levels = [v for v in (s / n for *_, s, n in plain) for _ in range(2)]
+    scored = spark.createDataFrame([(a, 1) for a in asked], "p double, _held int")
+    found = isotonic.predict_isotonic(scored.drop("_held"), blocks).collect()
+    for row in found:
+        assert row["calibrated"] is None if row["p"] is None else row["calibrated"] == pytest.approx(np.interp(row["p"], ends, levels))
+    assert len(found) == len(asked)
+    none = B.calibrate_isotonic(df.limit(0), df)
+    assert none.where("calibrated is null").count() == 4001
+
+
+def test_shap_distribution_and_constant_features(spark):
+    rows = [(i, [float(i), 1.0], [i / 10.0, 0.5]) for i in range(101)]
+    df = spark.createDataFrame(rows, "key long, x array<double>, shap array<double>")
+    a, b = X.shap_distribution(df, ["a", "b"], (0.05, 0.5, 0.95)).collect()
+    assert (a["feature"], a["n"], a["q05"], a["q50"], a["q95"], round(a["direction"], 9)) == ("a", 101, 0.5, 5.0, 9.5, 1.0)
+    assert (b["mean_shap"], b["q05"], b["q95"], b["direction"]) == (0.5, 0.5, 0.5, None)
+    assert [r["q05"] for r in X.shap_distribution(df.limit(0), ["a", "b"], (0.05,)).collect()] == [None, None]
+
+
 def test_calibration_is_monotone_and_keeps_the_mean(spark):
     rows = [(i, int(i % 10 < i // 30), i / 300.0) for i in range(300)]
     df = spark.createDataFrame(rows, "key long, y int, p double")

@@ -7,7 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tierwise.functions.fixed_values import DOMAIN_RULES
+from tierwise.functions.lineage import checkpointed
 from tierwise.functions.quantiles import exact_quantiles
+from tierwise.functions.sizes import is_small
+
+_LOW, _HIGH, _COPIES = "__tierwise_low", "__tierwise_high", "__tierwise_n"
 
 
 def validate_schema(df: DataFrame, target: str, required: Sequence[str] = ()) -> None:
@@ -112,9 +116,26 @@ def domain_violations(df: DataFrame, rules: Sequence[tuple[str, str, str]] = DOM
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows that repeat another row in every column, nulls being equal."""
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    return copies.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"))
+    """Rows that repeat another row in every column, nulls being equal.
+
+    A 128-bit digest of each row is counted first.  Rows whose digest stands once are no copies and
+    are never shuffled; the others are compared exactly.
+    """
+    if not df.columns:
+        return df.agg(F.greatest(F.count(F.lit(1)) - 1, F.lit(0)).alias("duplicate_rows"))
+    # Two hashes over the values and over which of them are null: 16 bytes a row are shuffled.
+    null = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in df.columns])
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    low, high = F.xxhash64(F.lit(1), null, *columns), F.xxhash64(F.lit(2), *reversed(columns), null)
+    marked = df.withColumns({_LOW: low, _HIGH: high})
+    counts = marked.groupBy(_LOW, _HIGH).agg(F.count(F.lit(1)).alias(_COPIES)).where(F.col(_COPIES) > 1)
+    counts = checkpointed(counts)
+    if counts.isEmpty():
+        return df.sparkSession.createDataFrame([(0,)], "duplicate_rows long")
+    # Only rows of a repeated digest are compared in all columns; copies are summed up before the shuffle.
+    again = marked.join(counts.select(_LOW, _HIGH).hint("broadcast" if is_small(counts) else "shuffle_hash"), [_LOW, _HIGH], "left_semi")
+    copies = again.drop(_LOW, _HIGH).groupBy(*[f"`{c}`" for c in df.columns]).agg(F.count(F.lit(1)).alias(_COPIES))
+    return copies.agg(F.coalesce(F.sum(F.col(_COPIES) - 1), F.lit(0)).alias("duplicate_rows"))
 
 
 def audit_report(

@@ -10,11 +10,11 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tierwise.functions.fixed_values import BOOSTING_DEFAULTS
 from tierwise.functions.lineage import checkpointed
+from tierwise.operators.isotonic import isotonic_blocks, predict_isotonic
 from tierwise.operators.preprocessing import build_preprocessor
 from tierwise.operators.resampling import resample, strategy_name
 
@@ -141,7 +141,7 @@ def score(model: PipelineModel, rows: DataFrame, key: str, target: str | None =
 # ---------------------------------------------------------------- calibration
 
 
-def _by_score(held_out: DataFrame) -> DataFrame:
+def by_score(held_out: DataFrame) -> DataFrame:
     """One row per distinct score; both calibrations depend on nothing finer."""
     return held_out.groupBy(F.col("p").cast("double").alias("p")).agg(
         F.sum(F.col("y").cast("double")).alias("pos"), F.count(F.lit(1)).cast("double").alias("n")
@@ -150,16 +150,12 @@ def _by_score(held_out: DataFrame) -> DataFrame:
 
 def calibrate_isotonic(held_out: DataFrame, scored: DataFrame) -> DataFrame:
     """Monotone calibration learned on held-out scores; adds ``calibrated``."""
-    points = _by_score(held_out).select("p", (F.col("pos") / F.col("n")).alias("label"), F.col("n").alias("weight"))
-    model = IsotonicRegression(
-        featuresCol="p", labelCol="label", weightCol="weight", predictionCol="calibrated"
-    ).fit(points)
-    return model.transform(scored)
+    return predict_isotonic(scored, isotonic_blocks(by_score(held_out)))
 
 
 def calibrate_sigmoid(held_out: DataFrame, scored: DataFrame) -> DataFrame:
     """Logistic calibration with Platt's smoothed targets; adds ``calibrated``."""
-    points = _by_score(held_out)
+    points = by_score(held_out)
     sizes = points.agg(F.sum("pos").alias("pos"), F.sum(F.col("n") - F.col("pos")).alias("neg")).first()
     high = (sizes["pos"] + 1.0) / (sizes["pos"] + 2.0)
     low = 1.0 / (sizes["neg"] + 2.0)

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tierwise.functions.hashing import order_hash
 from tierwise.functions.lineage import shared_dir
+from tierwise.functions.quantiles import exact_quantiles
 
 LEAF_SCHEMA = (
     "tree int, leaf int, value double, cover double, "
@@ -27,6 +28,12 @@ LEAF_SCHEMA = (
 )
 
 
+#: Contributions by mask that a worker may hold for all leaves together.
+TABLE_BYTES = 64 << 20
+#: Rows that are worked out without masks, and numbers held for them meanwhile.
+FEW_ROWS, CELLS = 256, 1 << 18
+
+
 @dataclass
 class Leaf:
     """A leaf: its weighted value and, per feature on its path, interval and cover ratio."""
@@ -113,15 +120,13 @@ def _bits(masks: np.ndarray, d: int) -> np.ndarray:
     return (masks[:, None] >> np.arange(d)) & 1
 
 
-def interventional_weights(leaf: Leaf, background: np.ndarray) -> np.ndarray:
-    """Contribution of every feature for every row mask, averaged over the background."""
+def interventional_for(leaf: Leaf, masks: np.ndarray, seen: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Contribution of every feature for given row masks, averaged over background masks."""
     d = len(leaf.features)
-    out = np.zeros((2**d, d))
-    if not d or not len(background):
+    out = np.zeros((len(masks), d))
+    if not d or not len(seen):
         return out
-    seen, counts = np.unique(leaf.masks(background), return_counts=True)
-    x = _bits(np.arange(2**d), d)[:, None, :]
-    z = _bits(seen, d)[None, :, :]
+    x, z = _bits(masks, d)[:, None, :], _bits(seen, d)[None, :, :]
     reachable = ((x | z) == 1).all(axis=2)
     only_x, only_z = (x & ~z) & 1, (z & ~x) & 1
     a, b = only_x.sum(axis=2), only_z.sum(axis=2)
@@ -129,31 +134,78 @@ def interventional_weights(leaf: Leaf, background: np.ndarray) -> np.ndarray:
     whole = fact[a + b]
     gain = np.where(a > 0, fact[np.maximum(a - 1, 0)] * fact[b] / whole, 0.0)
     loss = np.where(b > 0, fact[a] * fact[np.maximum(b - 1, 0)] / whole, 0.0)
-    share = np.where(reachable, counts[None, :] / len(background), 0.0)
-    out += np.einsum("xz,xzd->xd", gain * share, only_x)
-    out -= np.einsum("xz,xzd->xd", loss * share, only_z)
+    weight = np.where(reachable, share[None, :], 0.0)
+    out += np.einsum("xz,xzd->xd", gain * weight, only_x)
+    out -= np.einsum("xz,xzd->xd", loss * weight, only_z)
     return leaf.value * out
 
 
-def path_weights(leaf: Leaf) -> np.ndarray:
+def interventional_weights(leaf: Leaf, background: np.ndarray) -> np.ndarray:
+    """Contribution of every feature for every row mask, averaged over the background."""
+    seen, counts = np.unique(leaf.masks(background), return_counts=True) if len(background) else (np.zeros(0, int),) * 2
+    return interventional_for(leaf, np.arange(2 ** len(leaf.features)), seen, counts / max(1, len(background)))
+
+
+def _path_gains(one: np.ndarray, zero: np.ndarray) -> np.ndarray:
+    """Shapley values of a leaf of value 1: ``one`` is 1 where a feature (last axis) is inside, and
+    ``zero`` the cover ratios.
+
+    With every other feature kept with chance t, the gain of a feature is a polynomial in t of
+    degree d-1, and its Shapley value the integral from 0 to 1, which Gauss points sum exactly.
+    """
+    points, weights = np.polynomial.legendre.leggauss((one.shape[-1] + 1) // 2)
+    total = np.zeros(np.broadcast_shapes(one.shape, zero.shape))
+    for t, weight in zip((points + 1) / 2, weights / 2):
+        factors = zero * (1 - t) + one * t
+        # The product over all others, from both ends, as a factor may be 0.
+        before, after = np.ones_like(factors), np.ones_like(factors)
+        np.cumprod(factors[..., :-1], axis=-1, out=before[..., 1:])
+        np.cumprod(factors[..., :0:-1], axis=-1, out=after[..., -2::-1])
+        total += weight * before * after
+    return (one - zero) * total
+
+
+def path_for(leaf: Leaf, masks: np.ndarray) -> np.ndarray:
     """The same from cover ratios: a feature left out is averaged by the training covers."""
     d = len(leaf.features)
-    out = np.zeros((2**d, d))
-    one = _bits(np.arange(2**d), d).astype(float)
-    zero = leaf.ratio
-    size_weight = np.array(
-        [math.factorial(s) * math.factorial(d - s - 1) / math.factorial(d) for s in range(d)]
-    )
-    for i in range(d):
-        sums = np.zeros((2**d, d))
-        sums[:, 0] = 1.0
-        for j in range(d):
-            if j != i:
-                grown = sums * zero[j]
-                grown[:, 1:] += sums[:, :-1] * one[:, j : j + 1]
-                sums = grown
-        out[:, i] = leaf.value * (one[:, i] - zero[i]) * (sums @ size_weight)
-    return out
+    return leaf.value * _path_gains(_bits(masks, d).astype(float), leaf.ratio) if d else np.zeros((len(masks), 0))
+
+
+def path_weights(leaf: Leaf) -> np.ndarray:
+    """Contributions along the path for every row mask."""
+    return path_for(leaf, np.arange(2 ** len(leaf.features)))
+
+
+@dataclass
+class PackedLeaves:
+    """Leaves as a few flat arrays, so that an ensemble of any size is sent and held compactly."""
+
+    values: np.ndarray
+    first: np.ndarray
+    features: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    ratio: np.ndarray
+
+    @classmethod
+    def of(cls, leaves: Sequence[Leaf]) -> PackedLeaves:
+        flat = lambda name, kind: np.concatenate([np.zeros(0, kind), *[np.asarray(getattr(leaf, name), kind) for leaf in leaves]])
+        first = np.cumsum([0, *[len(leaf.features) for leaf in leaves]])
+        values = np.array([leaf.value for leaf in leaves], dtype=float)
+        return cls(values, first, flat("features", np.int32), flat("low", float), flat("high", float), flat("ratio", float))
+
+    def __len__(self) -> int:
+        return len(self.values)
+
+    def __iter__(self) -> Iterator[Leaf]:
+        for i, value in enumerate(self.values.tolist()):
+            at = slice(self.first[i], self.first[i + 1])
+            yield Leaf(value, self.features[at].tolist(), self.low[at], self.high[at], self.ratio[at])
+
+    def table_bytes(self) -> int:
+        """Of a table for every leaf and mask."""
+        d = np.diff(self.first).astype(float)
+        return int((8 * d * 2.0**d).sum())
 
 
 def _leaf_sums(leaves: Sequence[Leaf], tables: Sequence[np.ndarray], x: np.ndarray) -> np.ndarray:
@@ -164,6 +216,38 @@ def _leaf_sums(leaves: Sequence[Leaf], tables: Sequence[np.ndarray], x: np.ndarr
     return out
 
 
+def leaf_sums_without_tables(leaves: PackedLeaves, x: np.ndarray, background: np.ndarray | None = None) -> np.ndarray:
+    """Contributions worked out for the masks that the rows have, one leaf at a time, or for the
+    rows themselves where they are fewer than masks, many leaves at a time."""
+    out = np.zeros_like(x)
+    if background is None and len(x) <= FEW_ROWS:
+        depth = np.diff(leaves.first)
+        for d in np.unique(depth[depth > 0]).tolist():
+            alike = np.flatnonzero(depth == d)
+            for part in np.array_split(alike, -(-len(alike) * len(x) * d // CELLS) or 1):
+                at = leaves.first[part][:, None] + np.arange(d)
+                features = leaves.features[at]
+                own = x[:, features]
+                inside = ((own > leaves.low[at]) & (own <= leaves.high[at])).astype(float)
+                found = _path_gains(inside, leaves.ratio[at][None]) * leaves.values[part][None, :, None]
+                for j in range(d):
+                    np.add.at(out.T, features[:, j], found[:, :, j].T)
+        return out
+    for leaf in leaves:
+        if not leaf.features or not len(x):
+            continue
+        masks, back = np.unique(leaf.masks(x), return_inverse=True)
+        if background is None:
+            found = path_for(leaf, masks)
+        else:
+            seen, counts = np.unique(leaf.masks(background), return_counts=True)
+            found = np.concatenate(
+                [interventional_for(leaf, part, seen, counts / len(background)) for part in np.array_split(masks, -(-len(masks) // 256))]
+            )
+        out[:, leaf.features] += found[back]
+    return out
+
+
 def margin(leaves: Sequence[Leaf], x: np.ndarray) -> np.ndarray:
     out = np.zeros(len(x))
     for leaf in leaves:
@@ -183,18 +267,31 @@ def path_base(leaves: Sequence[Leaf]) -> float:
 
 
 def shap_values(x: Column, leaves: Sequence[Leaf], background: np.ndarray | None = None) -> Column:
-    """Shapley values of a feature array: against a background, or along the paths without one."""
-    leaves = list(leaves)
+    """Shapley values of a feature array: against a background, or along the paths without one.
+
+    A worker holds the contributions of all masks of all leaves while they take up to
+    ``TABLE_BYTES``.  For a larger ensemble it works out those of the masks at hand, leaf by leaf, so
+    that it holds little more than the packed leaves.
+    """
+    packed = PackedLeaves.of(list(leaves))
+    if background is not None and not len(background):
+        packed = PackedLeaves.of([])
+    held = packed.table_bytes() <= TABLE_BYTES
 
     @F.pandas_udf("array<double>")
     def explain(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        if background is None:
-            tables = [path_weights(leaf) for leaf in leaves]
-        else:
-            tables = [interventional_weights(leaf, background) for leaf in leaves]
+        tables = None
+        if held and background is None:
+            tables = [path_weights(leaf) for leaf in packed]
+        elif held:
+            tables = [interventional_weights(leaf, background) for leaf in packed]
         for batch in batches:
             if len(batch):
-                values = _leaf_sums(leaves, tables, np.stack(batch.to_numpy()).astype(float))
+                rows = np.stack(batch.to_numpy()).astype(float)
+                if held:
+                    values = _leaf_sums(packed, tables, rows)
+                else:
+                    values = leaf_sums_without_tables(packed, rows, background)
                 yield pd.Series(list(values), index=batch.index)
             else:
                 yield pd.Series([], dtype=object)
@@ -239,6 +336,35 @@ def shap_importance(long: DataFrame) -> DataFrame:
     )
 
 
+def shap_distribution(
+    explained: DataFrame, names: Sequence[str], probs: Sequence[float] = (0.05, 0.25, 0.5, 0.75, 0.95), x: str = "x", shap: str = "shap"
+) -> DataFrame:
+    """The spread of each feature's values, most important first: what a plot of all values shows.
+
+    ``feature, n, mean_abs_shap, mean_shap``, a quantile for each of ``probs`` (``q05`` and so on)
+    and ``direction``, the correlation of the feature with its contributions (null if either is
+    constant).  Quantiles are exact; all features share each look at the rows.
+    """
+    wide = explained.select(
+        *[F.get(shap, F.lit(i)).alias(f"s{i}") for i in range(len(names))],
+        *[F.get(x, F.lit(i)).cast("double").alias(f"x{i}") for i in range(len(names))],
+    )
+    cuts = exact_quantiles(wide, [f"s{i}" for i in range(len(names))], list(probs))
+    stats = [
+        F.struct(
+            F.lit(name).alias("feature"),
+            F.count(f"s{i}").alias("n"),
+            F.avg(F.abs(f"s{i}")).alias("mean_abs_shap"),
+            F.avg(f"s{i}").alias("mean_shap"),
+            *[F.lit(q).cast("double").alias(f"q{round(100 * prob):02d}") for prob, q in zip(probs, cuts[f"s{i}"])],
+            (F.covar_pop(f"x{i}", f"s{i}") / F.nullif(F.stddev_pop(f"x{i}") * F.stddev_pop(f"s{i}"), F.lit(0.0))).alias("direction"),
+        )
+        for i, name in enumerate(names)
+    ]
+    # One row a feature.
+    return wide.agg(F.array(*stats).alias("_f")).select(F.inline("_f")).orderBy(F.desc("mean_abs_shap"), "feature")
+
+
 def top_contributions(names: Sequence[str], x: Column, shap: Column, k: int = 5) -> Column:
     """The k features of largest absolute value, ordered inside the row itself."""
     cells = F.zip_with(

@@ -43,6 +43,18 @@ SCORED_TIES = """s as (select event_id as key, cast(event_type = 'purchase' as i
   floor(value / 25.0) / 20.0 as p from events)"""
 
 
+def scored_steps(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").select(
+        F.col("event_id").alias("key"),
+        (F.col("event_type") == "purchase").cast("int").alias("y"),
+        (F.floor("value") / 1000.0).alias("p"),
+    )
+
+
+SCORED_STEPS = """s as (select event_id as key, cast(event_type = 'purchase' as int) as y,
+  floor(value) / 1000.0 as p from events)"""
+
+
 def scored_by_user(spark: SparkSession, sf: str) -> DataFrame:
     value = F.col("value")
     return table(spark, sf, "events").select(

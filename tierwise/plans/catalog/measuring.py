@@ -6,14 +6,17 @@ from pyspark.sql import functions as F
 
 from tierwise.functions.fixed_values import ALLKNN_SEARCH_SPACE, NCR_SEARCH_SPACE, TIER_TABLE, TREE_SEARCH_SPACE
 from tierwise.operators import metrics as M, run_reports as R, search, split, thresholds, tiers
-from tierwise.operators.boosting import calibrate_isotonic, calibrate_sigmoid
+from tierwise.operators.boosting import by_score, calibrate_isotonic, calibrate_sigmoid
+from tierwise.operators.isotonic import isotonic_blocks
 from tierwise.plans.catalog.bindings import (
     SCORED,
     SCORED_RUNS,
+    SCORED_STEPS,
     SCORED_TIES,
     rounded,
     scored,
     scored_by_user,
+    scored_steps,
     scored_ties,
 )
 
@@ -319,12 +322,17 @@ def _trials_sql(sampler: list[tuple]) -> str:
     return f"with x as (select distinct user_id as trial from events) select trial, {draws} from x"
 
 
-ISOTONIC = f"""with {SCORED_TIES}, g as (select p, sum(y) as pos, count(*) as n from s group by p),
+def _isotonic_sql(rows: str) -> str:
+    """Value of each distinct score: the greatest over starts of the least mean over ends."""
+    return f"""with {rows}, g as (select p, sum(y) as pos, count(*) as n from s group by p),
  o as (select p, row_number() over (order by p) as i, sum(pos) over (order by p) as cp, sum(n) over (order by p) as cn from g),
  z as (select * from o union all select null, 0, 0, 0),
  b as (select k.i as i, k.p as p, lo.i as lo, min((hi.cp - lo.cp) / cast(hi.cn - lo.cn as double)) as low_mean
    from o k join z lo on lo.i < k.i join o hi on hi.i >= k.i group by k.i, k.p, lo.i),
- c as (select p, max(low_mean) as calibrated from b group by i, p)
+ c as (select p, max(low_mean) as calibrated from b group by i, p)"""
+
+
+ISOTONIC = f"""{_isotonic_sql(SCORED_TIES)}
 select s.key, s.y, round(s.p, 9) as p, round(c.calibrated, 9) as calibrated from s join c on s.p = c.p"""
 
 
@@ -456,6 +464,12 @@ QUERIES = {
         lambda spark, sf: rounded(calibrate_isotonic(scored_ties(spark, sf), scored_ties(spark, sf))),
         ISOTONIC,
     ),
+    "isotonic_blocks": (
+        # 64 score ranges pooled apart and merged in a tree, whatever the size.
+        lambda spark, sf: rounded(isotonic_blocks(by_score(scored_steps(spark, sf)))),
+        f"""{_isotonic_sql(SCORED_STEPS)} select round(min(p), 9) as low, round(max(p), 9) as high, round(any_value(calibrated), 9) as value,
+          cast(sum(n) as double) as weight from (select c.p, c.calibrated, g.n from c join g using (p)) group by round(calibrated, 12)""",
+    ),
     "calibrate_sigmoid": (
         lambda spark, sf: rounded(calibrate_sigmoid(scored(spark, sf), scored(spark, sf))).withColumn(
             "calibrated", F.round("calibrated", 4)

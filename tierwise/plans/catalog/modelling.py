@@ -384,6 +384,13 @@ QUERIES = {
         f"""{INTERVENTIONAL} select feature, round(avg(abs(shap_value)), 9) as mean_abs_shap,
           round(min(shap_value), 9) as min_shap, round(max(shap_value), 9) as max_shap from lg group by feature""",
     ),
+    "shap_distribution": (
+        lambda spark, sf: rounded(explain.shap_distribution(_explained(spark, sf, True), FEATURES), 6),
+        f"""{INTERVENTIONAL} select feature, count(*) as n, round(avg(abs(shap_value)), 6) as mean_abs_shap,
+          round(avg(shap_value), 6) as mean_shap,
+          {", ".join(f"round(quantile_cont(shap_value, {q}), 6) as q{round(100 * q):02d}" for q in (0.05, 0.25, 0.5, 0.75, 0.95))},
+          round(corr(feature_value, shap_value), 6) as direction from lg group by feature""",
+    ),
     "shap_top_local": (
         shap_top_local,
         f"""{INTERVENTIONAL}, top as (select key, p from e order by p desc, key limit 1),

@@ -28,7 +28,8 @@ class RunRecord:
 
 
 class RunStore:
-    """Runs below one folder: ``records``, ``latest``, ``models/<run>`` and ``reports/<name>``."""
+    """Runs below one folder: ``records``, ``commits`` (the last is the latest run), ``models/<run>``
+    and ``reports/<name>``."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -52,7 +53,7 @@ class RunStore:
         params: dict,
         tiers: list[dict],
     ) -> RunRecord:
-        """Store the model, append its record and point ``latest`` at it."""
+        """Store the model, append its record and commit it as the latest."""
         model_path = f"{self.root}/models/{run_id or 'unnamed'}"
         model.write().overwrite().save(model_path)
         row = [
@@ -62,9 +63,26 @@ class RunStore:
         record = self.spark.createDataFrame(row, schema).withColumn("saved_at", F.current_timestamp())
         record.write.mode("append").parquet(f"{self.root}/records")
         if run_id is not None:
-            record.select("run_id").write.mode("overwrite").parquet(f"{self.root}/latest")
+            self._point_at(run_id)
         return self._parse(record.first())
 
+    def _point_at(self, run_id: str) -> None:
+        """Append one commit, numbered after the greatest complete one.
+
+        Nothing is replaced, so a reader always finds the last commit.  Writers that pass each
+        other may give one number twice; the later in time, then by name, is the latest.
+        """
+        last = self._last_commit()
+        number = 1 + (last["number"] if last is not None else 0)
+        commit = self.spark.createDataFrame([(number, run_id)], "number long, run_id string")
+        commit.withColumn("saved_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+
+    def _last_commit(self):
+        commits = self._read("commits")
+        if commits is None:
+            return None
+        return commits.agg(F.max(F.struct("number", "saved_at", "run_id")).alias("_c")).select("_c.*").where("number is not null").first()
+
     def add_report(self, name: str, report: DataFrame, run_id: str) -> None:
         """Add one run's part of a report; other runs' parts stay."""
         tagged = report.withColumn("run_id", F.lit(run_id))
@@ -92,9 +110,9 @@ class RunStore:
             if named is None or named["model_path"] is None:
                 raise FileNotFoundError(f"run {run_id!r} not found under {self.root}")
             return self._parse(named)
-        pointer = self._read("latest")
+        pointer = self._last_commit()
         if pointer is not None:
-            latest = pointer.first()["run_id"]
+            latest = pointer["run_id"]
             hit = records.where(F.col("run_id") == latest).agg(newest).select("_r.*").first()
             if hit is not None and hit["model_path"] is not None:
                 return self._parse(hit)
