@@ -59,7 +59,8 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return masked_lm.score_words(docs, masked_lm.fit(docs), masked_lm.word_counts(docs))
+    counts = masked_lm.word_counts(docs)
+    return masked_lm.score_words(docs, masked_lm.fit(docs, counts=counts), counts)
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,22 +16,25 @@ groups of bounded size until one is left, so what is gathered grows with the cor
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tierwise.llm.frames import broadcast_if_small, checkpointed
-from tierwise.llm.words import Words, mix, slices, words_of
+from tierwise.llm.frames import checkpointed
+from tierwise.llm.words import Words, mix, slices, sorted_member, words_of
 
 OFFSETS = (-2, -1, 1, 2)
 BUCKETS, WIDTH, HALF = 8192, 16, 32
-ROUNDS, MASKED, BATCH, RATE = 2, 8, 1024, 0.5
+ROUNDS, MASKED, BATCH, RATE = 2, 8, 512, 0.2
 FAN_IN = 32
-#: A table of so many words is broadcast.
-FEW_WORDS = 1 << 20
+#: The most frequent words, up to so many, are looked up inside each task (16 bytes a word); only
+#: the others are joined.
+FEW_WORDS = 1 << 19
 
 Weights = dict[str, np.ndarray]
 _SHAPES = {
@@ -44,11 +47,17 @@ _SHAPES = {
 }
 
 
-def initial(seed: int = 0) -> Weights:
+def initial(seed: int = 0, held: np.ndarray | None = None) -> Weights:
+    """Weights as drawn; with ``held``, the words in each output bucket, biases start at their
+    frequencies, so that training begins where the context is ignored."""
     random = np.random.default_rng(seed)
     out = {name: np.zeros(shape, np.float32) for name, shape in _SHAPES.items()}
     out["embed"] = random.normal(0, 0.3, _SHAPES["embed"]).astype(np.float32)
     out["place"] += 1.0
+    if held is not None:
+        share = (held + 1.0).reshape(HALF, HALF)
+        out["upper_bias"] = np.log(share.sum(axis=1) / share.sum()).astype(np.float32)
+        out["lower_bias"] = np.log(share / share.sum(axis=1, keepdims=True)).astype(np.float32)
     return out
 
 
@@ -114,8 +123,17 @@ def place_scores(weights: Weights, words: Words, places: np.ndarray) -> np.ndarr
     return out
 
 
-def _step(weights: Weights, around: np.ndarray, upper: np.ndarray, lower: np.ndarray, rate: float) -> None:
-    """One step against the mean gradient of a batch."""
+def _summed(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different places, ascending, and the sum of the rows of each."""
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    return at[first], np.add.reduceat(rows[order], first, axis=0)
+
+
+def _step(weights: Weights, seen: Weights, around: np.ndarray, upper: np.ndarray, lower: np.ndarray, rate: float) -> None:
+    """One step against the mean gradient of a batch, each weight at a rate that falls with the
+    squares of its gradients so far, in ``seen``."""
     n = len(upper)
     row = np.arange(n)
     hidden = _hidden(weights, around)
@@ -125,22 +143,26 @@ def _step(weights: Weights, around: np.ndarray, upper: np.ndarray, lower: np.nda
     first /= n
     second /= n
     back = (first @ weights["upper"].T + second @ weights["lower"].T) * (1 - hidden * hidden)
-    weights["upper"] -= rate * (hidden.T @ first)
-    weights["lower"] -= rate * (hidden.T @ second)
-    weights["upper_bias"] -= rate * first.sum(axis=0)
-    by_upper = np.zeros_like(weights["lower_bias"])
-    np.add.at(by_upper, upper, second)
-    weights["lower_bias"] -= rate * by_upper
-    for i in range(len(OFFSETS)):
-        seen = weights["embed"][around[i]]
-        # Embeddings are seen rarely, so they move by the sum over their own places.
-        np.add.at(weights["embed"], around[i], -rate * 8 * back * weights["place"][i])
-        weights["place"][i] -= rate * (back * seen).sum(axis=0)
+    places = range(len(OFFSETS))
+    spots, embed = _summed(around.reshape(-1), np.concatenate([back * weights["place"][i] for i in places]))
+    halves, bias = _summed(upper, second)
+    moves = {
+        "upper": (slice(None), hidden.T @ first),
+        "lower": (slice(None), hidden.T @ second),
+        "upper_bias": (slice(None), first.sum(axis=0)),
+        "lower_bias": (halves, bias),
+        "place": (slice(None), np.stack([(back * weights["embed"][around[i]]).sum(axis=0) for i in places])),
+        "embed": (spots, embed),
+    }
+    for name, (at, slope) in moves.items():
+        seen[name][at] += slope * slope
+        weights[name][at] -= rate * slope / np.sqrt(seen[name][at] + 1e-6)
 
 
 def _train(text: str, flat: np.ndarray, turn: int, rounds: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, seen = _unflat(flat), 0
+        squares = {name: np.zeros(shape, np.float32) for name, shape in _SHAPES.items()}
         for batch in batches:
             for low, high in slices(batch, text):
                 words = words_of(batch.column(text).slice(low, high - low))
@@ -153,13 +175,14 @@ def _train(text: str, flat: np.ndarray, turn: int, rounds: int, seed: int):
                 for i in range(0, len(masked), BATCH):
                     at = masked[i : i + BATCH]
                     # A last small batch moves the weights less.
-                    _step(weights, _around(words, inputs, at), upper[at], lower[at], RATE * len(at) / BATCH)
+                    _step(weights, squares, _around(words, inputs, at), upper[at], lower[at], RATE * len(at) / BATCH)
                 seen += len(masked)
         if seen:
-            # Numbers of tasks are not known here; a hash of the weights spreads them over groups.
-            total = _flat(weights).astype(np.float32)
+            # Numbers of tasks are not known here; a digest of the weights spreads them over groups.
+            blob = _flat(weights).astype(np.float32).tobytes()
+            part = int.from_bytes(hashlib.blake2b(blob, digest_size=7).digest(), "big")
             yield pa.RecordBatch.from_arrays(
-                [pa.array([hash(total.tobytes()) & 0x7FFFFFFF], pa.int64()), pa.array([float(seen)]), pa.array([total.tobytes()])],
+                [pa.array([part], pa.int64()), pa.array([float(seen)]), pa.array([blob])],
                 ["part", "words", "weights"],
             )
 
@@ -167,13 +190,11 @@ def _train(text: str, flat: np.ndarray, turn: int, rounds: int, seed: int):
 
 
 def _average(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total, words = None, 0.0
-    for batch in batches:
-        for n, blob in zip(batch.column("words").to_pylist(), batch.column("weights").to_pylist()):
-            own = np.frombuffer(blob, np.float32).astype(np.float64) * n
-            total = own if total is None else total + own
-            words += n
-    if total is not None:
+    # At most FAN_IN sets, give or take; in one order, so that sums do not depend on arrival.
+    sets = sorted((n, blob) for batch in batches for n, blob in zip(batch.column("words").to_pylist(), batch.column("weights").to_pylist()))
+    words = sum(n for n, _ in sets)
+    if words:
+        total = sum(np.frombuffer(blob, np.float32).astype(np.float64) * n for n, blob in sets)
         blob = (total / words).astype(np.float32).tobytes()
         yield pa.RecordBatch.from_arrays(
             [pa.array([key[0].as_py()], pa.int64()), pa.array([words]), pa.array([blob])], ["part", "words", "weights"]
@@ -190,12 +211,22 @@ def _averaged(trained: DataFrame, parts: int) -> np.ndarray | None:
             return None if row is None else np.frombuffer(row["weights"], np.float32)
 
 
-def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, seed: int = 0) -> Weights:
+def bucket_words(counts: DataFrame) -> np.ndarray:
+    """Words of the corpus in each output bucket, one row a bucket."""
+    held = np.zeros(HALF * HALF)
+    for row in counts.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+        held[row["bucket"]] = row["n"]
+    return held
+
+
+def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, seed: int = 0, counts: DataFrame | None = None) -> Weights:
     """Weights trained on all words of all texts; the driver holds one set of weights at a time.
 
-    Null and empty texts teach nothing; without any word the weights stay as drawn.
+    ``counts`` is from ``word_counts`` and is worked out if not given.  Null and empty texts teach
+    nothing; without any word the weights stay as they start.
     """
-    weights, own = initial(seed), docs.select(F.col(text))
+    weights = initial(seed, bucket_words(word_counts(docs, text) if counts is None else counts))
+    own = docs.select(F.col(text))
     parts = own.rdd.getNumPartitions()
     for turn in range(rounds):
         trained = own.mapInArrow(_train(text, _flat(weights), turn, rounds, seed), "part long, words double, weights binary")
@@ -223,49 +254,87 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return checkpointed(counted.groupBy("word", "bucket").agg(F.sum("n").alias("n")))
 
 
-def _inside(words: Words, unseen: np.ndarray) -> pa.Array:
-    """For each text its different words, how often each stands there, and its logarithm if never seen."""
-    text = words.text_of()
-    order = np.lexsort((words.hashes, text))
-    text, hashes = text[order], words.hashes[order]
-    new = np.ones(len(text), bool)
-    new[1:] = (text[1:] != text[:-1]) | (hashes[1:] != hashes[:-1])
-    at = np.flatnonzero(new)
-    _, upper, lower = _buckets(Words(hashes[at], np.array([0, len(at)])))
-    times = pa.array(np.diff(at, append=len(text)), pa.int64())
-    fields = [pa.array(hashes[at].view(np.int64)), times, pa.array(unseen[upper * HALF + lower])]
-    rows = pa.StructArray.from_arrays(fields, ["word", "times", "none"])
-    return pa.ListArray.from_arrays(pa.array(np.searchsorted(text[at], np.arange(len(words.first))), pa.int32()), rows)
+@dataclass
+class Shares:
+    """Logarithms of a word's share of its bucket: the frequent ones, and that of any unseen word."""
+
+    words: np.ndarray
+    logs: np.ndarray
+    unseen: np.ndarray
+
+    def inside(self, words: Words) -> tuple[np.ndarray, pa.Array]:
+        """The sum over each text's frequent words, and its other words with how often each stands there."""
+        text = words.text_of()
+        order = np.lexsort((words.hashes, text))
+        text, hashes = text[order], words.hashes[order]
+        new = np.ones(len(text), bool)
+        new[1:] = (text[1:] != text[:-1]) | (hashes[1:] != hashes[:-1])
+        at = np.flatnonzero(new)
+        times, text, hashes = np.diff(at, append=len(text)), text[at], hashes[at]
+        place, known = sorted_member(hashes, self.words)
+        total = np.bincount(text[known], times[known] * self.logs[place[known]] if known.any() else None, len(words.first) - 1)
+        text, hashes, times = text[~known], hashes[~known], times[~known]
+        _, upper, lower = _buckets(Words(hashes, np.array([0, len(hashes)])))
+        fields = [pa.array(hashes.view(np.int64)), pa.array(times, pa.int64()), pa.array(self.unseen[upper * HALF + lower])]
+        rows = pa.StructArray.from_arrays(fields, ["word", "times", "none"])
+        return total, pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(len(words.first))), pa.int32()), rows)
+
+
+def frequent_shares(counts: DataFrame) -> tuple[Shares, int | None]:
+    """Shares of the most frequent words, FEW_WORDS at most, and the least count among them; None
+    if no other word is left."""
+    held = bucket_words(counts)
+    # How many words have each count: as many rows as there are different counts.
+    sizes = sorted(((r["n"], r["words"]) for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).collect()), reverse=True)
+    total, least = 0, None
+    for n, words in sizes:
+        total += words
+        if total > FEW_WORDS:
+            least = n + 1
+            break
+    chosen = (counts if least is None else counts.where(F.col("n") >= least)).toArrow()
+    words = chosen.column("word").to_numpy().view(np.uint64)
+    logs = np.log(chosen.column("n").to_numpy()) - np.log(held[chosen.column("bucket").to_numpy()] + 1)
+    order = np.argsort(words)
+    return Shares(words[order], logs[order], -np.log(held + 1)), least
 
 
 def score_words(docs: DataFrame, weights: Weights, counts: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, n_tokens, log_prob, mean_log_prob`` for each row, as ``score``, over words and not buckets.
 
     ``counts`` is from ``word_counts``.  All words that it lacks share one count of their bucket.
+    Frequent words are looked up in the task that scores the text; the others are joined.
     """
-    totals = counts.groupBy("bucket").agg(F.sum("n").alias("n"))
-    held = np.zeros(HALF * HALF)
-    for row in totals.collect():
-        held[row["bucket"]] = row["n"]
-    shares = counts.join(F.broadcast(totals.withColumnRenamed("n", "_all")), "bucket")
-    shares = shares.select("word", (F.log("n") - F.log(F.col("_all") + 1)).alias("_share"))
-    shares = broadcast_if_small(shares, counts.count(), FEW_WORDS)
-    scored = score(docs, weights, key, text, -np.log(held + 1)).withColumn("_row", F.monotonically_increasing_id())
-    each = scored.select("*", F.inline_outer("_words")).drop("_words").join(shares, "word", "left")
-    inside = F.coalesce(F.sum(F.col("times") * F.coalesce("_share", "none")), F.lit(0.0))
-    total = each.groupBy("_row", key, "n_tokens", "log_prob").agg(inside.alias("_inside"))
-    total = total.select(key, "n_tokens", (F.col("log_prob") + F.col("_inside")).alias("log_prob"))
+    shares, least = frequent_shares(counts)
+    scored = score(docs, weights, key, text, shares)
+    if least is None:
+        # No word is left to join, so what is not frequent was never counted.
+        rest = F.aggregate(_WORDS, F.lit(0.0), lambda total, w: total + w["times"] * w["none"])
+        total = scored.select(key, "n_tokens", (F.col("log_prob") + rest).alias("log_prob"))
+    else:
+        scored = checkpointed(scored.withColumn(_ROW, F.monotonically_increasing_id()))
+        held = counts.groupBy("bucket").agg(F.sum("n").alias("_all"))  # a row a bucket
+        others = counts.where(F.col("n") < least).join(F.broadcast(held), "bucket")
+        others = others.select("word", (F.log("n") - F.log(F.col("_all") + 1)).alias("_share"))
+        each = scored.select(_ROW, F.inline(_WORDS)).join(others, "word", "left")
+        inside = each.groupBy(_ROW).agg(F.sum(F.col("times") * F.coalesce("_share", "none")).alias("_inside"))
+        total = scored.join(inside, _ROW, "left")
+        total = total.select(key, "n_tokens", (F.col("log_prob") + F.coalesce("_inside", F.lit(0.0))).alias("log_prob"))
     return total.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")))
 
 
+_ROW, _WORDS = "__tierwise_row", "__tierwise_words"
+
+
 def score(
-    docs: DataFrame, weights: Weights, key: str = "doc_id", text: str = "text", unseen: np.ndarray | None = None
+    docs: DataFrame, weights: Weights, key: str = "doc_id", text: str = "text", shares: Shares | None = None
 ) -> DataFrame:
     """``key, n_tokens, log_prob, mean_log_prob`` for each row, over its whole text; no shuffle.
 
     ``log_prob`` sums the conditional log-probabilities of the buckets of all words; with
-    ``unseen``, a logarithm for each bucket, ``_words`` has the different words of the text.  A null or empty text has
-    no words: its sum is 0 and its mean null.  A text of one word is predicted from nothing.
+    ``shares`` those of frequent words inside their buckets too, and one more column has the text's
+    other words.  A null or empty text has no words: its sum is 0 and its mean null.  A text of one
+    word is predicted from nothing.
     """
     own = docs.select(F.col(key), F.col(text))
 
@@ -279,9 +348,12 @@ def score(
                 full = np.flatnonzero(counts)
                 if len(full):
                     total[full] = np.add.reduceat(logs, words.first[:-1][full])
+                others = []
+                if shares is not None:
+                    inside, left = shares.inside(words)
+                    total, others = total + inside, [left]
                 mean = pa.array(np.where(counts > 0, total / np.maximum(counts, 1), 0.0), mask=counts == 0)
-                columns = [part.column(key), pa.array(counts, pa.int64()), pa.array(total), mean]
-                columns += [] if unseen is None else [_inside(words, unseen)]
+                columns = [part.column(key), pa.array(counts, pa.int64()), pa.array(total), mean, *others]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = T.StructType(
@@ -292,8 +364,8 @@ def score(
             T.StructField("mean_log_prob", T.DoubleType()),
         ]
     )
-    if unseen is not None:
+    if shares is not None:
         word = T.StructType().add("word", "long").add("times", "long").add("none", "double")
-        schema.add("_words", T.ArrayType(word))
+        schema.add(_WORDS, T.ArrayType(word))
     names = schema.names
     return own.mapInArrow(run, schema)
