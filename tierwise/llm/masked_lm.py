@@ -30,7 +30,7 @@ from tierwise.llm.words import Words, mix, slices, sorted_member, words_of
 
 OFFSETS = (-2, -1, 1, 2)
 BUCKETS, WIDTH, HALF = 8192, 16, 32
-ROUNDS, MASKED, BATCH, RATE = 2, 8, 512, 0.2
+ROUNDS, MASKED, BATCH, RATE = 2, 8, 1024, 0.2
 FAN_IN = 32
 #: The most frequent words, up to so many, are looked up inside each task (16 bytes a word); only
 #: the others are joined.
@@ -93,21 +93,34 @@ def _around(words: Words, inputs: np.ndarray, places: np.ndarray) -> np.ndarray:
     return out
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """Probabilities along rows, in place."""
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(axis=1, keepdims=True)
+    return x
 
 
-def _hidden(weights: Weights, around: np.ndarray) -> np.ndarray:
-    total = weights["embed"][around[0]] * weights["place"][0]
-    for i in range(1, len(OFFSETS)):
-        total += weights["embed"][around[i]] * weights["place"][i]
-    return np.tanh(total, out=total)
+def _log_chance(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Logarithm of the chosen column's probability in each row; ``x`` is used up."""
+    x -= x.max(axis=1, keepdims=True)
+    own = x[np.arange(len(x)), chosen]
+    np.exp(x, out=x)
+    return own - np.log(x.sum(axis=1))
 
 
-def _logs(weights: Weights, hidden: np.ndarray, upper: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    first = _log_softmax(hidden @ weights["upper"] + weights["upper_bias"])
-    second = _log_softmax(hidden @ weights["lower"] + weights["lower_bias"][upper])
+def _hidden(weights: Weights, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hidden layer of each place, and the embeddings around it."""
+    found = weights["embed"][around]
+    total = np.einsum("kni,ki->ni", found, weights["place"])
+    return np.tanh(total, out=total), found
+
+
+def _sides(weights: Weights, hidden: np.ndarray, upper: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Scores of all upper halves, and of all lower halves given the upper one."""
+    first, second = hidden @ weights["upper"], hidden @ weights["lower"]
+    first += weights["upper_bias"]
+    second += weights["lower_bias"][upper]
     return first, second
 
 
@@ -115,17 +128,16 @@ def place_scores(weights: Weights, words: Words, places: np.ndarray) -> np.ndarr
     """Log-probability of the word at each place, given those around it."""
     inputs, upper, lower = _buckets(words)
     out = np.empty(len(places), np.float64)
-    for i in range(0, len(places), 1 << 14):
-        at = places[i : i + (1 << 14)]
-        first, second = _logs(weights, _hidden(weights, _around(words, inputs, at)), upper[at])
-        row = np.arange(len(at))
-        out[i : i + len(at)] = first[row, upper[at]] + second[row, lower[at]]
+    for i in range(0, len(places), 1 << 13):
+        at = places[i : i + (1 << 13)]
+        first, second = _sides(weights, _hidden(weights, _around(words, inputs, at))[0], upper[at])
+        out[i : i + len(at)] = _log_chance(first, upper[at]) + _log_chance(second, lower[at])
     return out
 
 
 def _summed(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different places, ascending, and the sum of the rows of each."""
-    order = np.argsort(at, kind="stable")
+    order = np.argsort(at.astype(np.uint16), kind="stable")  # there are few places: a radix sort
     at = at[order]
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     return at[first], np.add.reduceat(rows[order], first, axis=0)
@@ -136,22 +148,22 @@ def _step(weights: Weights, seen: Weights, around: np.ndarray, upper: np.ndarray
     squares of its gradients so far, in ``seen``."""
     n = len(upper)
     row = np.arange(n)
-    hidden = _hidden(weights, around)
-    first, second = (np.exp(x) for x in _logs(weights, hidden, upper))
+    hidden, found = _hidden(weights, around)
+    first, second = (_softmax(x) for x in _sides(weights, hidden, upper))
     first[row, upper] -= 1
     second[row, lower] -= 1
     first /= n
     second /= n
     back = (first @ weights["upper"].T + second @ weights["lower"].T) * (1 - hidden * hidden)
-    places = range(len(OFFSETS))
-    spots, embed = _summed(around.reshape(-1), np.concatenate([back * weights["place"][i] for i in places]))
+    pulls = back[None] * weights["place"][:, None]
+    spots, embed = _summed(around.reshape(-1), pulls.reshape(-1, WIDTH))
     halves, bias = _summed(upper, second)
     moves = {
         "upper": (slice(None), hidden.T @ first),
         "lower": (slice(None), hidden.T @ second),
         "upper_bias": (slice(None), first.sum(axis=0)),
         "lower_bias": (halves, bias),
-        "place": (slice(None), np.stack([(back * weights["embed"][around[i]]).sum(axis=0) for i in places])),
+        "place": (slice(None), np.einsum("ni,kni->ki", back, found)),
         "embed": (spots, embed),
     }
     for name, (at, slope) in moves.items():
@@ -264,16 +276,19 @@ class Shares:
 
     def inside(self, words: Words) -> tuple[np.ndarray, pa.Array]:
         """The sum over each text's frequent words, and its other words with how often each stands there."""
-        text = words.text_of()
-        order = np.lexsort((words.hashes, text))
-        text, hashes = text[order], words.hashes[order]
+        place, known = sorted_member(words.hashes, self.words)
+        logs = np.zeros(len(known))
+        logs[known] = self.logs[place[known]]
+        total, full = np.zeros(len(words.first) - 1), np.flatnonzero(words.counts)
+        if len(full):
+            total[full] = np.add.reduceat(logs, words.first[:-1][full])
+        text, hashes = words.text_of()[~known], words.hashes[~known]
+        order = np.lexsort((hashes, text))
+        text, hashes = text[order], hashes[order]
         new = np.ones(len(text), bool)
         new[1:] = (text[1:] != text[:-1]) | (hashes[1:] != hashes[:-1])
         at = np.flatnonzero(new)
         times, text, hashes = np.diff(at, append=len(text)), text[at], hashes[at]
-        place, known = sorted_member(hashes, self.words)
-        total = np.bincount(text[known], times[known] * self.logs[place[known]] if known.any() else None, len(words.first) - 1)
-        text, hashes, times = text[~known], hashes[~known], times[~known]
         _, upper, lower = _buckets(Words(hashes, np.array([0, len(hashes)])))
         fields = [pa.array(hashes.view(np.int64)), pa.array(times, pa.int64()), pa.array(self.unseen[upper * HALF + lower])]
         rows = pa.StructArray.from_arrays(fields, ["word", "times", "none"])
