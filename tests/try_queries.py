@@ -11,7 +11,7 @@ sys.path[:0] = [os.path.dirname(HERE), HERE]
 from compare import compare  # noqa: E402
 from pyspark.sql import SparkSession  # noqa: E402
 
-SF = "/root/testdata/sf0.01"
+SF = os.environ.get("TRY_SF", "/root/testdata/sf0.01")
 
 
 def main() -> None:

@@ -389,7 +389,8 @@ QUERIES = {
         f"""{INTERVENTIONAL} select feature, count(*) as n, round(avg(abs(shap_value)), 6) as mean_abs_shap,
           round(avg(shap_value), 6) as mean_shap,
           {", ".join(f"round(quantile_cont(shap_value, {q}), 6) as q{round(100 * q):02d}" for q in (0.05, 0.25, 0.5, 0.75, 0.95))},
-          round(corr(feature_value, shap_value), 6) as direction from lg group by feature""",
+          case when stddev_pop(feature_value) * stddev_pop(shap_value) > 0
+            then round(corr(feature_value, shap_value), 6) end as direction from lg group by feature""",
     ),
     "shap_top_local": (
         shap_top_local,
