@@ -51,6 +51,43 @@ def test_groups_of_blocks_equal_brute_force(spark, monkeypatch, groups):
     assert got == brute(x, 4, range(500))
 
 
+@pytest.mark.parametrize("block_rows", [64, 128, 2048])
+def test_shuffle_grows_with_the_points_not_with_their_square(block_rows):
+    """A point travels once to each group, so their number must not grow until they are full."""
+    for size in (10_000, 100_000, 600_000):
+        rows, n_blocks, in_group = N._layout(size, block_rows, 64)
+        assert -(-n_blocks // in_group) <= N.MIN_GROUPS
+        assert rows * in_group * 64 * 8 <= N.GROUP_BYTES and rows <= 2048
+    assert N._layout(500, block_rows, 64)[0] == block_rows
+    # Short vectors fill a group by rows.
+    rows, _, in_group = N._layout(50_000_000, block_rows, 2)
+    assert rows * in_group <= N.GROUP_ROWS
+
+
+def test_whole_groups_are_not_listed_block_by_block():
+    pairs = np.array([[0, 0], [0, 1], [0, 3], [2, 4], [2, 2], [2, 3]])
+    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+    assert N._by_group(pairs, 3, 2, 5).to_pylist() == [
+        [{"group": 0, "blocks": []}, {"group": 1, "blocks": [3]}],
+        [],
+        [{"group": 1, "blocks": []}, {"group": 2, "blocks": []}],
+    ]
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-3, 1e20])
+def test_single_precision_loses_no_neighbour(scale):
+    """Tight clusters far apart, whose distances single precision can't tell."""
+    rng = np.random.default_rng(3)
+    x = scale * (1000.0 * rng.integers(0, 3, (300, 1)) + rng.normal(size=(300, 5)))
+    d2 = ((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2)
+    want = np.sort(d2, axis=1)[:, :4]
+    bounds = (None, np.full(300, np.inf), want[:, 3] * (1 + 1e-9))
+    for bound in bounds:
+        qi, _, got = N._nearest(x, x, np.arange(300), 4, bound)
+        assert (qi == np.repeat(np.arange(300), 4)).all()
+        assert np.allclose(got.reshape(300, 4), want, rtol=1e-9)
+
+
 def test_vectors_must_be_whole(spark):
     for rows in ([(1, [1.0]), (2, [1.0, 2.0])], [(1, [1.0]), (2, None)], [(1, [1.0]), (2, [None])]):
         with pytest.raises(ValueError, match="one length"):
