@@ -184,6 +184,25 @@ def test_cleaning_is_the_same_in_blocks(crowded):
         assert clean(df, block_rows=100).exceptAll(clean(df)).isEmpty()
 
 
+@pytest.mark.parametrize("spare, stop, asks", [(5, False, 1), (5, True, 1), (0, False, 4)])
+def test_allknn_lists_neighbours_once(spark, monkeypatch, spare, stop, asks):
+    """Rounds strike those that went before; only rows left with too few neighbours are asked again."""
+    rng = np.random.default_rng(11)
+    x, y = rng.normal(size=(300, 2)), (rng.random(300) < 0.3).astype(int)
+    df = frame(spark, x, y).cache()
+    left = df
+    for k in range(1, 4):
+        left = R.enn_clean(left, k).localCheckpoint()
+        if stop and left.where("label = 0").count() < left.where("label = 1").count():
+            break
+    calls, real = [], R.nearest_neighbors
+    monkeypatch.setattr(R, "SPARE", spare)
+    monkeypatch.setattr(R, "nearest_neighbors", lambda *a, **b: calls.append(a) or real(*a, **b))
+    got = {r["key"] for r in R.allknn_clean(df, 3, stop_when_smaller=stop).collect()}
+    assert got == {r["key"] for r in left.collect()} and len(got) < 300
+    assert len(calls) <= asks
+
+
 def test_gate_of_neighbourhood_cleaning(crowded):
     _, _, df = crowded
     assert R.ncr_clean(df, 3, threshold=100.0).count() >= R.ncr_clean(df, 3, threshold=0.5).count()
