@@ -268,6 +268,46 @@ def test_components(spark):
     assert got == {**dict.fromkeys(range(21), 0), 40: 40, 45: 40, 50: 40}
 
 
+def test_settled_links_are_joined_once(spark, monkeypatch):
+    """A link inside a class is not joined in later rounds, and more links do not join it again."""
+    rng = np.random.default_rng(2)
+    rows = [(int(a), int(b)) for a, b in rng.integers(0, 60, (600, 2)) if a != b]
+    rows += [(1000 + i, 1001 + i) for i in range(30)]
+    links = spark.createDataFrame(rows, "a long, b long")
+    joined, plain = [], components.spread_join
+
+    def counted(left, *rest):
+        joined.append(left.count())
+        return plain(left, *rest)
+
+    monkeypatch.setattr(components, "spread_join", counted)
+    labels = components.components(links)
+    nodes = {n: 0 for n in range(60)} | {1000 + i: 1000 for i in range(31)}
+    assert dict(labels.collect()) == nodes
+    different = len({tuple(sorted(r)) for r in rows})
+    assert sum(joined) <= 2 * different + 6 * len(nodes)
+    joined.clear()
+    more = spark.createDataFrame([(1030, 7), (2000, 2001), (2001, 5000), (5, None), (8, 8)], "a long, b long")
+    got = dict(components.extended(labels, more).collect())
+    assert got == {n: 0 for n in nodes} | {n: 2000 for n in (2000, 2001, 5000)}
+    assert max(joined) <= len(nodes) + 3
+
+
+def test_components_equal_a_walk(spark, few_together):
+    rng = np.random.default_rng(3)
+    for size, n in ((200, 60), (200, 150), (120, 400)):
+        rows = [tuple(map(int, r)) for r in rng.integers(0, size, (n, 2))]
+        label = list(range(size))
+        for _ in range(size):
+            for a, b in rows:
+                label[a] = label[b] = min(label[a], label[b])
+        want = {x: label[x] for a, b in rows if a != b for x in (a, b)}
+        assert dict(components.components(spark.createDataFrame(rows, "a long, b long")).collect()) == want
+        cut = n // 2
+        known = components.components(spark.createDataFrame(rows[:cut], "a long, b long"))
+        assert dict(components.extended(known, spark.createDataFrame(rows[cut:], "a long, b long")).collect()) == want
+
+
 def test_pseudo_likelihood_equals_loops(spark):
     weights = masked_lm.initial(3)
     rng = np.random.default_rng(0)

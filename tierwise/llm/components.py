@@ -12,36 +12,60 @@ from tierwise.llm.skew import heavy_keys, spread_join
 def components(links: DataFrame) -> DataFrame:
     """``node, label`` for every node of ``links(a, b)``; the label is the least node reached.
 
-    Each round takes the least label among neighbours (summed up before the shuffle), then jumps
-    to the label of the label, and ends when nothing changed.  Rows of a node with very many links,
-    and of a label that very many nodes have, are dealt to slices in the joins.  Nodes without
-    links are not listed; a null on either side is no link.
+    Each round moves a node to its least neighbour, that one's and so on, and then its links with
+    it: links inside a class are gone and equal ones are one, so a link is only joined again while
+    its ends are apart.  Rows of a node with very many links, and of a label that very many nodes
+    have, are dealt to slices in the joins.  Nodes without links are not listed; a null on either
+    side is no link.
     """
+    edges = _apart(links.where("a is not null and b is not null"))
+    moves = []
+    while n := edges.count():
+        # Links go from the lesser node, so that a node without a lesser one stays.
+        move = _to_ends(checkpointed(edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label"))))
+        moves.append(move)
+        edges = _apart(_moved(_moved(edges, "a", move, n), "b", move, n))
+    if not moves:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
+    labels = moves.pop()
+    while moves:
+        labels = checkpointed(_moved(moves[-1], "label", labels, moves.pop().count()).unionByName(labels))
+    # Each class has another node than its least.
+    ends = labels.select(F.col("label").alias("node")).distinct()
+    return checkpointed(labels.unionByName(ends.withColumn("label", F.col("node"))))
+
+
+def extended(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The ``labels`` of ``components`` after more ``links``; only these are joined."""
     links = links.where("a is not null and b is not null and a <> b").select("a", "b")
-    both = checkpointed(links.union(links.select("b", "a")).distinct())
-    labels = checkpointed(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")))
+    ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    new = ends.join(labels, "node", "left_anti").withColumn("label", F.col("node"))
+    labels, n = checkpointed(labels.unionByName(new)), links.count()
+    between = components(_moved(_moved(links, "a", labels, n), "b", labels, n))
+    return checkpointed(_moved(labels, "label", between, labels.count()))
+
+
+def _apart(links: DataFrame) -> DataFrame:
+    """Each two different nodes that are linked, once, the lesser as ``a``."""
+    ordered = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return checkpointed(ordered.where("a <> b").distinct())
+
+
+def _moved(rows: DataFrame, column: str, moves: DataFrame, n: int) -> DataFrame:
+    """The ``n`` ``rows`` with the label of each node in ``column`` that ``moves(node, label)`` lists."""
+    heavy = None
     # Only among more rows than stay together can one key have that many.
-    many = labels.count() > skew.HEAVY
-    hubs = None
-    if many:
-        hubs = heavy_keys(both.groupBy("b").agg(F.count(F.lit(1)).alias("_n")), "b", "_n")
-    while True:
-        heard = (
-            spread_join(both, labels.withColumnRenamed("node", "b"), "b", hubs, ["a"])
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("label").alias("near"))
-        )
-        nearer = labels.join(heard, "node").select("node", F.least("label", "near").alias("label"), F.col("label").alias("was"))
-        common = None
-        if many:
-            nearer = checkpointed(nearer)
-            common = heavy_keys(nearer.groupBy("label").agg(F.count(F.lit(1)).alias("_n")), "label", "_n")
-        jump = nearer.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        labels = checkpointed(
-            spread_join(nearer, jump, "label", common, ["node"], "left").select(
-                "node", F.coalesce("further", "label").alias("label"), "was"
-            )
-        )
-        if not labels.where("label <> was").limit(1).count():
-            return labels.select("node", "label")
-        labels = labels.select("node", "label")
+    if n > skew.HEAVY:
+        heavy = heavy_keys(rows.groupBy(column).agg(F.count(F.lit(1)).alias("_n")), column, "_n")
+    to = moves.select(F.col("node").alias(column), F.col("label").alias("_to"))
+    others = [c for c in rows.columns if c != column]
+    found = spread_join(rows, to, column, heavy, others, "left")
+    return found.withColumn(column, F.coalesce("_to", column)).select(*rows.columns)
+
+
+def _to_ends(moves: DataFrame) -> DataFrame:
+    """``moves`` followed until they end; each step doubles how far."""
+    n = moves.count()
+    while moves.join(moves.select(F.col("node").alias("label")), "label", "left_semi").limit(1).count():
+        moves = checkpointed(_moved(moves, "label", moves, n))
+    return moves

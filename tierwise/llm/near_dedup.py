@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tierwise.llm.blocks import meet_in_blocks
-from tierwise.llm.components import components
+from tierwise.llm.components import components, extended
 from tierwise.llm.frames import checkpointed
 from tierwise.llm.skew import heavy_keys, spread_join
 from tierwise.llm.words import MARKS, Words, mix, slices, words_of
@@ -350,7 +350,7 @@ def near_links(
         more = checkpointed(meet_in_blocks(members, "a binary, b binary, similarity double", _strangers, own_class))
         if more.limit(1).count():
             links = links.unionByName(more)
-            labels = components(links)
+            labels = extended(labels, more)
     return sketched.select("node", "id"), links, labels
 
 
