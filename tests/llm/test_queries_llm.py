@@ -308,6 +308,36 @@ def test_components_equal_a_walk(spark, few_together):
         assert dict(components.extended(known, spark.createDataFrame(rows[cut:], "a long, b long")).collect()) == want
 
 
+@pytest.mark.parametrize("scale", [1, 60])
+def test_places_in_one_lookup_equal_each_alone(scale):
+    """Scores of any size, and a step on them, equal those of one place after another in double precision."""
+    rng = np.random.default_rng(6)
+    weights = {k: (scale * (v + rng.normal(0, 0.2, v.shape))).astype(np.float32) for k, v in masked_lm.initial(5).items()}
+    assert masked_lm._sides(weights)[2] == (scale == 1)
+    own = words_of(pa.array(["", "a", prose(12, 40), None, "b c", prose(13, 30)]))
+    inputs, upper, lower = masked_lm._buckets(own)
+    padded, stands = masked_lm._padded(own, inputs)
+    around = padded.take(stands + masked_lm._STEPS)
+    text, half = own.text_of(), masked_lm.HALF
+    slopes, want = np.zeros((2, half)), []
+    for i in range(len(inputs)):
+        h = np.zeros(masked_lm.WIDTH)
+        for k, o in enumerate(masked_lm.OFFSETS):
+            inside = 0 <= i + o < len(inputs) and text[i + o] == text[i]
+            assert around[k, i] == (inputs[i + o] if inside else masked_lm.BUCKETS)
+            h += weights["embed"][around[k, i]].astype(float) * weights["place"][k]
+        h = np.tanh(h)
+        each = [h @ weights["upper"] + weights["upper_bias"], h @ weights["lower"] + weights["lower_bias"][upper[i]]]
+        logs = [x - x.max() - np.log(np.exp(x - x.max()).sum()) for x in each]
+        want.append(logs[0][upper[i]] + logs[1][lower[i]])
+        for k, true in enumerate((upper[i], lower[i])):
+            slopes[k] += (np.exp(logs[k]) - (np.arange(half) == true)) / len(inputs)
+    np.testing.assert_allclose(masked_lm.place_scores(weights, own, np.arange(len(inputs))), want, rtol=1e-3, atol=1e-3 * scale)
+    moved = {k: v.copy() for k, v in weights.items()}
+    masked_lm._step(moved, {k: np.zeros_like(v) for k, v in weights.items()}, around, upper, lower, 0.5)
+    np.testing.assert_allclose(moved["upper_bias"] - weights["upper_bias"], -0.5 * slopes[0] / np.sqrt(slopes[0] ** 2 + 1e-6), atol=2e-2)
+
+
 def test_pseudo_likelihood_equals_loops(spark):
     weights = masked_lm.initial(3)
     rng = np.random.default_rng(0)

@@ -81,94 +81,126 @@ def _buckets(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return inputs, outputs >> 5, outputs & (HALF - 1)
 
 
-def _around(words: Words, inputs: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """Input buckets around each place; outside the text the last one."""
-    text = np.searchsorted(words.first, places, "right") - 1
-    low, high = words.first[text], words.first[text + 1]
-    out = np.empty((len(OFFSETS), len(places)), np.int32)
-    for i, offset in enumerate(OFFSETS):
-        at = places + offset
-        inside = (at >= low) & (at < high)
-        out[i] = np.where(inside, inputs[np.clip(at, 0, len(inputs) - 1)], BUCKETS)
-    return out
-
-
-def _softmax(x: np.ndarray) -> np.ndarray:
-    """Probabilities along rows, in place."""
-    x -= x.max(axis=1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True)
-    return x
+def _padded(words: Words, inputs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Input buckets with places outside the text on both sides of each text, and where each word stands there."""
+    reach = max(OFFSETS)
+    at = np.arange(len(inputs)) + reach * (words.text_of() + 1)
+    out = np.full(len(inputs) + reach * len(words.first), BUCKETS, np.int32)
+    out[at] = inputs
+    return out, at
 
 
-def _log_chance(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """Logarithm of the chosen column's probability in each row; ``x`` is used up."""
-    x -= x.max(axis=1, keepdims=True)
-    own = x[np.arange(len(x)), chosen]
-    np.exp(x, out=x)
-    return own - np.log(x.sum(axis=1))
+_STEPS = np.array(OFFSETS)[:, None]
 
 
 def _hidden(weights: Weights, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The hidden layer of each place, and the embeddings around it."""
-    found = weights["embed"][around]
-    total = np.einsum("kni,ki->ni", found, weights["place"])
+    found = weights["embed"].take(around, axis=0)
+    total = found[0] * weights["place"][0]
+    for one, place in zip(found[1:], weights["place"][1:]):
+        total += one * place
     return np.tanh(total, out=total), found
 
 
-def _sides(weights: Weights, hidden: np.ndarray, upper: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Scores of all upper halves, and of all lower halves given the upper one."""
-    first, second = hidden @ weights["upper"], hidden @ weights["lower"]
-    first += weights["upper_bias"]
-    second += weights["lower_bias"][upper]
-    return first, second
+#: Scores of upper halves are the first HALF columns, those of lower ones the others; each column of
+#: this adds up one half.
+_BOTH = np.kron(np.eye(2, dtype=np.float32), np.ones((HALF, 1), np.float32))
+#: Scores up to this size are raised to powers as they are, and others less the largest of a half.
+_PLAIN = 40.0
+
+
+def _sides(weights: Weights) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Weights of both halves, their biases by upper half, and whether all scores are small."""
+    both = np.concatenate([weights["upper"], weights["lower"]], axis=1)
+    bias = np.concatenate([np.broadcast_to(weights["upper_bias"], (HALF, HALF)), weights["lower_bias"]], axis=1)
+    # The hidden layer lies between -1 and 1.
+    most = np.abs(both).sum(axis=0).max() + np.abs(bias).max()
+    return both, bias, bool(most <= _PLAIN)
+
+
+def _raised(sides: tuple[np.ndarray, np.ndarray, bool], hidden: np.ndarray, upper: np.ndarray, lower: np.ndarray):
+    """Powers of the scores of both halves, their sums by half, and the scores of the true halves."""
+    both, bias, small = sides
+    scores = hidden @ both
+    scores += bias.take(upper, axis=0)
+    if not small:
+        for half in (scores[:, :HALF], scores[:, HALF:]):
+            half -= half.max(axis=1, keepdims=True)
+    true = _true(upper, lower)
+    own = scores.reshape(-1).take(true)
+    np.exp(scores, out=scores)
+    return scores, scores @ _BOTH, own, true
+
+
+def _true(upper: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """Where the true upper and lower half of each place stand among all scores."""
+    row = np.arange(0, 2 * HALF * len(upper), 2 * HALF)
+    return np.stack([row + upper, row + HALF + lower])
 
 
 def place_scores(weights: Weights, words: Words, places: np.ndarray) -> np.ndarray:
     """Log-probability of the word at each place, given those around it."""
     inputs, upper, lower = _buckets(words)
+    padded, stands = _padded(words, inputs)
+    sides = _sides(weights)
     out = np.empty(len(places), np.float64)
-    for i in range(0, len(places), 1 << 13):
-        at = places[i : i + (1 << 13)]
-        first, second = _sides(weights, _hidden(weights, _around(words, inputs, at))[0], upper[at])
-        out[i : i + len(at)] = _log_chance(first, upper[at]) + _log_chance(second, lower[at])
+    for i in range(0, len(places), 1 << 12):
+        at = places[i : i + (1 << 12)]
+        hidden, _ = _hidden(weights, padded.take(stands[at] + _STEPS))
+        _, total, own, _ = _raised(sides, hidden, upper[at], lower[at])
+        out[i : i + len(at)] = own.sum(axis=0) - np.log(total[:, 0]) - np.log(total[:, 1])
     return out
 
 
 def _summed(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different places, ascending, and the sum of the rows of each."""
     order = np.argsort(at.astype(np.uint16), kind="stable")  # there are few places: a radix sort
-    at = at[order]
+    at = at.take(order)
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    return at[first], np.add.reduceat(rows[order], first, axis=0)
+    return at.take(first), np.add.reduceat(rows.take(order, axis=0), first, axis=0)
 
 
 def _step(weights: Weights, seen: Weights, around: np.ndarray, upper: np.ndarray, lower: np.ndarray, rate: float) -> None:
     """One step against the mean gradient of a batch, each weight at a rate that falls with the
     squares of its gradients so far, in ``seen``."""
     n = len(upper)
-    row = np.arange(n)
     hidden, found = _hidden(weights, around)
-    first, second = (_softmax(x) for x in _sides(weights, hidden, upper))
-    first[row, upper] -= 1
-    second[row, lower] -= 1
-    first /= n
-    second /= n
-    back = (first @ weights["upper"].T + second @ weights["lower"].T) * (1 - hidden * hidden)
+    sides = _sides(weights)
+    slopes, total, _, true = _raised(sides, hidden, upper, lower)
+    total *= n
+    slopes[:, :HALF] /= total[:, :1]
+    slopes[:, HALF:] /= total[:, 1:]
+    slopes.reshape(-1)[true] -= np.float32(1 / n)
+    back = slopes @ sides[0].T
+    back *= 1 - hidden * hidden
     pulls = back[None] * weights["place"][:, None]
     spots, embed = _summed(around.reshape(-1), pulls.reshape(-1, WIDTH))
-    halves, bias = _summed(upper, second)
+    halves, bias = _summed(upper, slopes[:, HALF:])
+    both = hidden.T @ slopes
     moves = {
-        "upper": (slice(None), hidden.T @ first),
-        "lower": (slice(None), hidden.T @ second),
-        "upper_bias": (slice(None), first.sum(axis=0)),
+        "upper": (None, both[:, :HALF]),
+        "lower": (None, both[:, HALF:]),
+        "upper_bias": (None, np.ones(n, np.float32) @ slopes[:, :HALF]),
         "lower_bias": (halves, bias),
-        "place": (slice(None), np.einsum("ni,kni->ki", back, found)),
+        "place": (None, np.einsum("ni,kni->ki", back, found)),
         "embed": (spots, embed),
     }
     for name, (at, slope) in moves.items():
-        seen[name][at] += slope * slope
-        weights[name][at] -= rate * slope / np.sqrt(seen[name][at] + 1e-6)
+        squares = slope * slope
+        if at is None:
+            squares += seen[name]
+            seen[name][:] = squares
+        else:
+            squares += seen[name].take(at, axis=0)
+            seen[name][at] = squares
+        squares += np.float32(1e-6)
+        np.sqrt(squares, out=squares)
+        np.divide(slope, squares, out=squares)
+        squares *= np.float32(rate)
+        if at is None:
+            weights[name] -= squares
+        else:
+            weights[name][at] = weights[name].take(at, axis=0) - squares
 
 
 def _train(text: str, flat: np.ndarray, turn: int, rounds: int, seed: int):
@@ -184,10 +216,11 @@ def _train(text: str, flat: np.ndarray, turn: int, rounds: int, seed: int):
                 mask = (mix(words.hashes + place.astype(np.uint64), seed) % np.uint64(MASKED)).astype(np.int64)
                 masked = np.flatnonzero((mask - turn) % min(rounds, MASKED) == 0)
                 masked = masked[np.argsort(mix(masked.astype(np.uint64), seed + turn + 1))]
+                padded, stands = _padded(words, inputs)
                 for i in range(0, len(masked), BATCH):
                     at = masked[i : i + BATCH]
                     # A last small batch moves the weights less.
-                    _step(weights, squares, _around(words, inputs, at), upper[at], lower[at], RATE * len(at) / BATCH)
+                    _step(weights, squares, padded.take(stands[at] + _STEPS), upper[at], lower[at], RATE * len(at) / BATCH)
                 seen += len(masked)
         if seen:
             # Numbers of tasks are not known here; a digest of the weights spreads them over groups.
