@@ -273,6 +273,33 @@ def test_lsh_finds_most_neighbors(spark):
     assert lists(some) == {k: v for k, v in got.items() if k % 9 == 0}
 
 
+def test_lsh_vectors_travel_once_a_part_and_slice(spark, monkeypatch):
+    """Not once for each table and group of codes; what is found does not depend on the dealing."""
+    for size in (10_000, 100_000, 400_000):
+        assert sum(lsh._cells(size, 64, lsh.Hashing.for_size(size))) <= 16
+    rows = cloud(600, 6, 5, copies=60)
+    df = spark.createDataFrame(rows, "key long, label int, vector array<double>, c string")
+    hashing = lsh.Hashing(5, 8, 12)
+    seen, search = spark.sparkContext.accumulator(0), lsh._search
+
+    def counting(*given):
+        answer = search(*given)
+
+        def run(visitors, hosts):
+            seen.add(len(visitors) + len(hosts))
+            return answer(visitors, hosts)
+
+        return run
+
+    monkeypatch.setattr(lsh, "_search", counting)
+    whole = lists(lsh.nearest_neighbors_lsh(df, "key", "vector", 4, ["c"], hashing=hashing))
+    assert 0 < seen.value <= 600 * sum(lsh._cells(600, 6, hashing))
+    monkeypatch.setattr(lsh, "GROUP_ROWS", 100)
+    monkeypatch.setattr(lsh, "SLICE_CODES", 600)
+    assert lsh._cells(600, 6, hashing) == (6, 12)
+    assert lists(lsh.nearest_neighbors_lsh(df, "key", "vector", 4, ["c"], hashing=hashing)) == whole
+
+
 def test_lsh_groups_and_slices(spark, monkeypatch):
     rows = cloud(400, 4, 3)
     df = spark.createDataFrame(rows, "key long, label int, vector array<double>, c string")

@@ -2,9 +2,12 @@
 
 Each of several tables hashes a vector to the sides of random planes through the mean of all
 vectors.  A point looks into its own bucket of each table and into those that differ from it by
-the planes it lies nearest to (multi-probe), so far fewer tables are needed.  Codes with equal
-leading bits form a group of bounded size; a point travels once to each group it looks into, with
-the codes it looks at.  All candidates are compared exactly, and only the first of a group leave it.
+the planes it lies nearest to (multi-probe), so far fewer tables are needed.  Points are dealt by
+key to parts of bounded size, and queries to slices; each slice meets each part once, with vectors
+alone: codes of all tables are worked out there, and only the first of a part leave it.  A vector
+travels once for each part as a query and once for each slice as a point, whatever the number of
+tables and probes, so the shuffle grows as the input does while parts and slices are not full.
+All candidates are compared exactly.
 
 The exact join stays the default; ``lsh_recall`` holds a result against it on a seeded sample.
 """
@@ -17,15 +20,28 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tierwise.functions.hashing import order_hash
 from tierwise.functions.lineage import checkpointed
-from tierwise.operators.neighbors import _matrix, _plain, _prepared, _visit, _without_self, nearest_neighbors
+from tierwise.operators.neighbors import (
+    CHUNK_PAIRS,
+    GROUP_BYTES,
+    GROUP_ROWS,
+    MIN_GROUPS,
+    _key_rank,
+    _lists,
+    _matrix,
+    _nearest,
+    _plain,
+    _prepared,
+    _without_self,
+    nearest_neighbors,
+)
 
 TABLES = 16
-GROUP_ROWS = 4096  # of one table, on average, in a group of codes
-SLICE_ROWS = 16384  # hosts of a group that meet in one task; more are dealt to slices
+SLICE_ROWS = 1 << 16  # queries of a slice
+SLICE_CODES = 1 << 23  # codes that the queries of a slice look at in one table
 
 
 @dataclass(frozen=True)
@@ -85,39 +101,8 @@ def _cheapest(bits: int, n: int) -> list[tuple[int, ...]]:
     return out
 
 
-def _hashed(hashing: Hashing, centre: np.ndarray, shift: int, groups_of_table: int):
-    planes = hashing.planes(len(centre))
-
-    def run(batches):
-        for batch in batches:
-            table = _plain(pa.Table.from_batches([batch]))
-            if not len(table):
-                continue
-            x = _matrix(table) - centre
-            for t in range(hashing.tables):
-                sides = x @ planes[t] if x.size else np.zeros((len(table), hashing.bits))
-                code, looks = hashing.codes(sides), np.sort(hashing.nearby(sides), axis=1)
-                group = t * groups_of_table + (looks >> shift)
-                # Codes are ascending, so those of one group stand together.
-                new = np.ones(group.shape, bool)
-                new[:, 1:] = group[:, 1:] != group[:, :-1]
-                starts = np.flatnonzero(new)
-                inner = pa.ListArray.from_arrays(
-                    pa.array(np.append(starts, group.size), pa.int32()), pa.array(looks.reshape(-1), pa.int32())
-                )
-                outer = pa.array(np.append(0, np.cumsum(new.sum(axis=1))), pa.int32())
-                items = pa.StructArray.from_arrays([pa.array(group.reshape(-1)[starts], pa.int32()), inner], names=["group", "blocks"])
-                own = pa.array(t * groups_of_table + (code >> shift), pa.int32())
-                out = table.append_column("block", pa.array(code, pa.int32())).append_column("group", own)
-                out = out.append_column("visit", pa.ListArray.from_arrays(outer, items))
-                yield from out.to_batches()
-
-    return run
-
-
-def _placed(points: DataFrame, key: str, vector: str, k: int, carry: Sequence[str], queries: Column | None, hashing: Hashing | None):
-    """All rows, their types, and each different vector in each table: its code, its group and the
-    groups that it looks into; the leading bits of a code that name its group, and the hashing."""
+def _hosts(points: DataFrame, key: str, vector: str, k: int, carry: Sequence[str], queries: Column | None, hashing: Hashing | None):
+    """All rows, their types, their number, each different vector, the centre, and the hashing."""
     rows, shape, size, _, width = _prepared(points, key, vector, k, carry, queries, False)
     hashing = hashing or Hashing.for_size(size)
     width = width or 0
@@ -128,24 +113,129 @@ def _placed(points: DataFrame, key: str, vector: str, k: int, carry: Sequence[st
     asked = rows.where("is_query").select(F.col("vector").alias("_asked")).distinct()
     hosts = hosts.drop("is_query").join(asked, F.col("vector") == F.col("_asked"), "left")
     hosts = hosts.withColumn("is_query", (F.col("_copy") == 1) & F.col("_asked").isNotNull()).drop("_asked", "_copy")
-    top = min(hashing.bits, max(0, math.ceil(math.log2(max(1, size) / GROUP_ROWS)))) if size else 0
-    visit = T.StructType().add("group", "integer").add("blocks", T.ArrayType(T.IntegerType()))
-    schema = T.StructType([*[shape.vector if f.name == "vector" else f for f in hosts.schema]])
-    schema = schema.add("block", "integer").add("group", "integer").add("visit", T.ArrayType(visit))
-    placed = checkpointed(hosts.mapInArrow(_hashed(hashing, centre, hashing.bits - top, 1 << top), schema))
-    return rows, shape, placed, top, hashing
-
-
-_VISITOR = ("key", "vector", "bound", "blocks")
-
-
-def _visited(shape, k: int):
-    answer = _visit(shape, k)
-
-    def run(visitors: pa.Table, hosts: pa.Table) -> pa.Table:
-        return answer(visitors.rename_columns([c.removeprefix("q_") for c in visitors.column_names]), hosts)
+    return rows, shape, size, checkpointed(hosts), centre, hashing
+
+
+def _cells(size: int, width: int, hashing: Hashing) -> tuple[int, int]:
+    """Parts of the points, and slices of the queries."""
+    part = min(GROUP_ROWS, max(1, GROUP_BYTES // (8 * max(1, width))))
+    slice_rows = max(1, min(part, SLICE_ROWS, SLICE_CODES // hashing.probes))
+    return max(1, math.ceil(size / part)), max(MIN_GROUPS, math.ceil(size / slice_rows))
+
+
+class _Best:
+    """The first k points of each query so far; pairs that several tables propose count once."""
+
+    def __init__(self, q: np.ndarray, c: np.ndarray, rank: np.ndarray, k: int):
+        self.q, self.c, self.rank, self.k = q, c, rank, k
+        self.d2, self.at = np.full((len(q), k), np.inf), np.zeros((len(q), k), np.int64)
+        self.pending: list[tuple[np.ndarray, np.ndarray]] = []
+        self.n = 0
+
+    def propose(self, qi: np.ndarray, ci: np.ndarray) -> bool:
+        """Whether enough pairs wait to be settled."""
+        self.pending.append((qi, ci))
+        self.n += len(qi)
+        return self.n >= 4 * CHUNK_PAIRS
+
+    def settle(self) -> np.ndarray:
+        """Sums the distances of waiting pairs exactly; the queries whose lists were looked at."""
+        if not self.n:
+            return np.zeros(0, np.int64)
+        qi, ci = (np.concatenate(x) for x in zip(*self.pending))
+        self.pending, self.n = [], 0
+        d2 = np.zeros(len(qi))
+        for i in range(0, len(qi), CHUNK_PAIRS):
+            part = slice(i, i + CHUNK_PAIRS)
+            gap = self.q[qi[part]] - self.c[ci[part]]
+            gap *= gap
+            for j in range(self.c.shape[1]):
+                d2[part] += gap[:, j]
+        keep = d2 <= self.d2[qi, -1]
+        qi, ci, d2 = qi[keep], ci[keep], d2[keep]
+        some = np.unique(qi)
+        row, slot = np.nonzero(np.isfinite(self.d2[some]))
+        qi = np.concatenate([qi, some[row]])
+        ci, d2 = np.concatenate([ci, self.at[some[row], slot]]), np.concatenate([d2, self.d2[some[row], slot]])
+        order = np.lexsort((self.rank[ci], d2, qi))
+        qi, ci, d2 = qi[order], ci[order], d2[order]
+        new = np.ones(len(qi), bool)
+        new[1:] = (qi[1:] != qi[:-1]) | (ci[1:] != ci[:-1])
+        qi, ci, d2 = qi[new], ci[new], d2[new]
+        slot = np.arange(len(qi)) - np.searchsorted(qi, qi)
+        first = slot < self.k
+        qi, ci, d2, slot = qi[first], ci[first], d2[first], slot[first]
+        self.d2[some] = np.inf
+        self.d2[qi, slot], self.at[qi, slot] = d2, ci
+        return some
+
+
+def _search(shape, hashing: Hashing, centre: np.ndarray, k: int):
+    """Answers the queries of a slice from the points of a part, bucket by bucket of each table."""
+    planes = hashing.planes(len(centre))
 
-    return run
+    def answer(visitors: pa.Table, hosts: pa.Table) -> pa.Table:
+        visitors = _plain(visitors.rename_columns([c.removeprefix("q_") for c in visitors.column_names]))
+        hosts = _plain(hosts)
+        q, c, rank, n = _matrix(visitors), _matrix(hosts), _key_rank(hosts), len(visitors)
+        if not n or not len(hosts):
+            nothing = np.zeros(0, np.int64)
+            found = _lists(shape, hosts, nothing, nothing, np.zeros(0), n)
+            return pa.table([visitors.column("key"), found], names=["key", "neighbors"])
+        best = _Best(q, c, rank, k)
+        own, other = q - centre, c - centre
+        a2, c2 = np.einsum("ij,ij->i", own, own), np.einsum("ij,ij->i", other, other)
+        # As in the exact join: a product proposes within its rounding error, exact sums decide.
+        kind = np.float32 if max(a2.max(), c2.max()) < 1e30 else np.float64
+        slack = 16.0 * (c.shape[1] + 4) * np.finfo(kind).eps * (a2 + c2.max())
+        left = np.column_stack([-2.0 * own, np.ones(n)]).astype(kind)
+        right = np.column_stack([other, c2]).astype(kind)
+        limit = np.full(n, np.inf, kind)
+
+        def settle() -> None:
+            some = best.settle()
+            limit[some] = best.d2[some, -1] - a2[some] + slack[some]
+
+        for plane in planes:
+            code, order = _ordered(hashing.codes(other @ plane))
+            codes, starts = np.unique(code, return_index=True)
+            ends, side = np.append(starts[1:], len(code)), right[order]
+            number = np.full(1 << hashing.bits, -1, np.int32)
+            number[codes] = np.arange(len(codes))
+            looks = number[hashing.nearby(own @ plane)]
+            probes = looks.shape[1]
+            there = np.flatnonzero(looks >= 0)
+            bucket, by = _ordered(looks.reshape(-1)[there])
+            who = there[by] // probes
+            used, begin = np.unique(bucket, return_index=True)
+            for b, s, e in zip(used.tolist(), begin.tolist(), [*begin[1:].tolist(), len(bucket)]):
+                low, high, some = starts[b], ends[b], who[s:e]
+                if (high - low) * (e - s) > CHUNK_PAIRS:
+                    # So many pairs are cut to the first of each query here.
+                    settle()
+                    held = order[low:high]
+                    qi, ci, _ = _nearest(q[some], c[held], rank[held], k, best.d2[some, -1])
+                    best.propose(some[qi], held[ci])
+                    settle()
+                    continue
+                near = np.flatnonzero(left[some] @ side[low:high].T <= limit[some][:, None])
+                if len(near):
+                    qi, ci = np.divmod(near, high - low)
+                    if best.propose(some[qi], order[low + ci]):
+                        settle()
+            settle()
+        held = np.isfinite(best.d2)
+        qi = np.repeat(np.arange(n), held.sum(axis=1))
+        found = _lists(shape, hosts, qi, best.at[held], best.d2[held], n)
+        return pa.table([visitors.column("key"), found], names=["key", "neighbors"])
+
+    return answer
+
+
+def _ordered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values sorted, and their order; few different ones by a radix sort."""
+    order = np.argsort(values.astype(np.uint16) if not len(values) or values.max() < 1 << 16 else values, kind="stable")
+    return values[order], order
 
 
 def nearest_neighbors_lsh(
@@ -163,46 +253,64 @@ def nearest_neighbors_lsh(
     a shorter list.  Of equal vectors the k+1 smallest keys are hashed and the rest share their
     answer, so a crowd of copies is no crowded bucket.
     """
-    rows, shape, placed, top, _ = _placed(points, key, vector, k, carry, queries, hashing)
-    # One row a group: tables x groups.
-    slices = placed.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / SLICE_ROWS).cast("int").alias("slices"))
-    slices = F.broadcast(checkpointed(slices))
-    held = placed.select("key", "vector", *shape.carry, "block", "group").join(slices, "group")
-    held = held.withColumn("slice", F.pmod(F.xxhash64("key"), F.col("slices")).cast("int")).drop("slices")
-    looking = placed.where("is_query").select("key", "vector", F.lit(float("inf")).alias("bound"), F.inline("visit")).join(slices, "group")
-    looking = looking.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices")
+    rows, shape, size, hosts, centre, hashing = _hosts(points, key, vector, k, carry, queries, hashing)
+    parts, slices = _cells(size, len(centre), hashing)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    dealt = lambda n, salt: F.pmod(F.xxhash64("key", F.lit(salt)), F.lit(n)).cast("int")
+    held = hosts.select("key", "vector", *shape.carry, dealt(parts, 1).alias("part")).withColumn("slice", every(slices))
     # Both sides come from one table, so the visitors' columns get names of their own.
-    visitors = looking.select(*[F.col(c).alias(f"q_{c}") for c in _VISITOR], "group", "slice")
-    groups = [F.col("group").alias("q_group"), F.col("slice").alias("q_slice")]
-    visitors = visitors.select(*[f"q_{c}" for c in _VISITOR], *groups)
+    asked = hosts.where("is_query").select("key", "vector", dealt(slices, 2).alias("q_slice")).withColumn("q_part", every(parts))
     met = (
-        visitors.groupBy("q_group", "q_slice")
-        .cogroup(held.groupBy("group", "slice"))
-        .applyInArrow(_visited(shape, k + 1), shape.partial)
+        asked.withColumnsRenamed({"key": "q_key", "vector": "q_vector"})
+        .groupBy("q_part", "q_slice")
+        .cogroup(held.groupBy("part", "slice"))
+        .applyInArrow(_search(shape, hashing, centre, k + 1), shape.partial)
     )
-    # A neighbour that several tables found counts once.
-    each = met.select("key", F.explode("neighbors").alias("_n")).dropDuplicates(["key", "_n"])
     best = Window.partitionBy("key").orderBy("_n.d2", "_n.key")
     merged = (
-        each.withColumn("_at", F.row_number().over(best))
+        met.select("key", F.explode("neighbors").alias("_n"))
+        .withColumn("_at", F.row_number().over(best))
         .where(F.col("_at") <= k + 1)
         .groupBy(F.col("key").alias("_rep"))
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_n"))), lambda e: e["_n"]).alias("neighbors"))
     )
-    heads = placed.where("is_query").where(F.col("group") < (1 << top)).select("key", F.col("vector").alias("_vector"))
+    heads = hosts.where("is_query").select("key", F.col("vector").alias("_vector"))
     by_vector = heads.join(merged, F.col("key") == F.col("_rep")).select("_vector", "neighbors")
     found = rows.where("is_query").drop("is_query").join(by_vector, F.col("vector") == F.col("_vector"))
     return _without_self(found.select("key", "vector", *shape.carry, "neighbors"), key, vector, k)
 
 
+def _counted(hashing: Hashing, centre: np.ndarray):
+    """How many points of a batch have each code, and how many queries look at it, by table."""
+    planes = hashing.planes(len(centre))
+
+    def run(batches):
+        for batch in batches:
+            table = _plain(pa.Table.from_batches([batch]))
+            if not len(table):
+                continue
+            x, asked = _matrix(table) - centre, table.column("is_query").to_numpy()
+            for t, plane in enumerate(planes):
+                sides = x @ plane
+                held, hosts = np.unique(hashing.codes(sides), return_counts=True)
+                seen, looks = np.unique(hashing.nearby(sides[asked]), return_counts=True)
+                columns = [
+                    pa.array(np.full(len(held) + len(seen), t, np.int32)),
+                    pa.array(np.concatenate([held, seen])),
+                    pa.array(np.concatenate([hosts, np.zeros(len(seen), np.int64)])),
+                    pa.array(np.concatenate([np.zeros(len(held), np.int64), looks])),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["table", "code", "hosts", "looks"])
+
+    return run
+
+
 def lsh_comparisons(points: DataFrame, key: str, vector: str, k: int, hashing: Hashing | None = None) -> int:
     """Distances that ``nearest_neighbors_lsh`` works out, from counts of its buckets."""
-    _, _, placed, top, hashing = _placed(points, key, vector, k, (), None, hashing)
-    table = lambda group: F.floor(F.col(group) / (1 << top)).alias("table")
-    held = placed.groupBy(table("group"), "block").agg(F.count(F.lit(1)).alias("hosts"))
-    looks = placed.where("is_query").select(F.inline("visit")).select(table("group"), F.explode("blocks").alias("block"))
-    looks = looks.groupBy("table", "block").agg(F.count(F.lit(1)).alias("looks"))
-    return held.join(looks, ["table", "block"]).agg(F.sum(F.col("hosts") * F.col("looks"))).first()[0] or 0
+    _, _, _, hosts, centre, hashing = _hosts(points, key, vector, k, (), None, hashing)
+    counts = hosts.select("vector", "is_query").mapInArrow(_counted(hashing, centre), "table int, code long, hosts long, looks long")
+    each = counts.groupBy("table", "code").agg(F.sum("hosts").alias("hosts"), F.sum("looks").alias("looks"))
+    return each.agg(F.sum(F.col("hosts") * F.col("looks"))).first()[0] or 0
 
 
 def lsh_recall(points: DataFrame, found: DataFrame, key: str, vector: str, k: int, n: int = 200, seed: int = 0) -> DataFrame:
