@@ -1,6 +1,9 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tierwise.operators import lsh, neighbors as N, resampling as R
 
@@ -74,6 +77,55 @@ def test_whole_groups_are_not_listed_block_by_block():
     ]
 
 
+def test_visits_to_many_blocks_are_named_in_bounded_steps():
+    rng = np.random.default_rng(3)
+    n, n_blocks, k = 600, 4000, 3
+    pivots = np.unique(rng.normal(size=(40, 16)), axis=0)
+    x = rng.normal(size=(n, 16))
+    cell, reach = N._nearest_pivot(x, pivots)
+    # Every block holds points of every cell, so nothing is ruled out.
+    spans = np.array([(b, c, 0.0, 9.0) for c in range(len(pivots)) for b in range(c, n_blocks, len(pivots))])
+    table = pa.table(
+        {
+            "key": pa.array(np.arange(n)),
+            "vector": pa.array(list(x), pa.list_(pa.float64())),
+            "is_query": pa.array(np.ones(n, bool)),
+            "cell": pa.array(cell.astype(np.int32)),
+            "reach": pa.array(reach),
+            "block": pa.array(np.full(n, 7, np.int32)),
+        }
+    )
+    kinds = T.StructType([T.StructField("key", T.LongType()), T.StructField("vector", T.ArrayType(T.DoubleType()))])
+    local = N._local(N._Shape(kinds, [], False), k, pivots, spans, 500)
+    tracemalloc.start()
+    visits = local(table).column("visit").to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    gaps = np.sqrt(((x[:, None] - pivots) ** 2).sum(2))
+    far = np.sqrt(N._nearest(x, x, np.arange(n), k)[2].reshape(n, k)[:, -1])
+    apart = np.sqrt(((pivots[:, None] - pivots) ** 2).sum(2))[gaps.argmin(1)]
+    with np.errstate(invalid="ignore"):
+        beyond = (gaps**2 - gaps.min(1)[:, None] ** 2) / (2 * apart) > far[:, None] + 1e-6
+    meets = (gaps - far[:, None] <= 9.0) & ~beyond
+    for i in range(n):
+        wanted = [b for b in range(n_blocks) if b != 7 and meets[i, b % len(pivots)]]
+        named = [b for v in visits[i] for b in v["blocks"] or range(500 * v["group"], 500 * v["group"] + 500)]
+        assert named == wanted
+    assert peak < 100 << 20
+
+
+@pytest.mark.parametrize("scale, offset", [(1.0, 0.0), (1e-3, 1e3), (1e150, 0.0), (1e200, 0.0)])
+def test_nearest_pivots_by_product_equal_those_by_differences(scale, offset):
+    rng = np.random.default_rng(4)
+    pivots = np.unique(offset + scale * rng.integers(0, 4, (60, 5)), axis=0)
+    x = offset + scale * rng.integers(0, 7, (3000, 5)) / 2.0
+    with np.errstate(over="ignore"):
+        cell, reach = N._nearest_pivot(x, pivots)
+        gaps = N._to_pivots_directly(x, pivots)
+    assert (cell == gaps.argmin(axis=1)).all()
+    assert np.allclose(reach, gaps.min(axis=1), rtol=1e-12, atol=0)
+
+
 @pytest.mark.parametrize("scale", [1.0, 1e-3, 1e20])
 def test_single_precision_loses_no_neighbour(scale):
     """Tight clusters far apart, whose distances single precision can't tell."""
