@@ -67,6 +67,29 @@ def test_shuffle_grows_with_the_points_not_with_their_square(block_rows):
     assert rows * in_group <= N.GROUP_ROWS
 
 
+@pytest.mark.parametrize("odd, sent", [(0.0, "float"), (1e-12, "double"), (1e39, "double")])
+def test_copies_of_single_precision_numbers_travel_as_such(spark, monkeypatch, odd, sent):
+    """One number that single precision doesn't hold keeps all of them double."""
+    x = np.random.default_rng(6).normal(size=(200, 12)).astype(np.float32).astype(float)
+    x[7, 3] += odd
+    kinds, real = [], N._visit
+
+    def seen(shape, k):
+        answer = real(shape, k)
+
+        def run(visitors, hosts):
+            assert str(visitors.schema.field("vector").type.value_type) == sent
+            assert str(hosts.schema.field("vector").type.value_type) == sent
+            return answer(visitors, hosts)
+
+        kinds.append(shape)
+        return run
+
+    monkeypatch.setattr(N, "_visit", seen)
+    got = answer(N.nearest_neighbors(frame(spark, x, np.zeros(200)), "key", "vector", 3, with_vectors=True, block_rows=20))
+    assert kinds and got == brute(x, 3, range(200))
+
+
 def test_whole_groups_are_not_listed_block_by_block():
     pairs = np.array([[0, 0], [0, 1], [0, 3], [2, 4], [2, 2], [2, 3]])
     pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]

@@ -103,7 +103,7 @@ def _cheapest(bits: int, n: int) -> list[tuple[int, ...]]:
 
 def _hosts(points: DataFrame, key: str, vector: str, k: int, carry: Sequence[str], queries: Column | None, hashing: Hashing | None):
     """All rows, their types, their number, each different vector, the centre, and the hashing."""
-    rows, shape, size, _, width = _prepared(points, key, vector, k, carry, queries, False)
+    rows, shape, size, _, width, _ = _prepared(points, key, vector, k, carry, queries, False)
     hashing = hashing or Hashing.for_size(size)
     width = width or 0
     means = rows.agg(*[F.avg(F.get("vector", F.lit(i))).alias(f"m{i}") for i in range(width)]).first() if width else ()
