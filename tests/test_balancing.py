@@ -1,3 +1,4 @@
+import re
 import tracemalloc
 
 import numpy as np
@@ -389,3 +390,40 @@ def test_lsh_groups_and_slices(spark, monkeypatch):
     sizes = [lsh.Hashing.for_size(n) for n in (1, 500, 10**4, 10**6, 10**9)]
     share = [h.tables * h.probes / 2**h.bits for h in sizes]
     assert share[1:] == sorted(share[1:], reverse=True) and share[-1] < 0.05
+
+
+@pytest.mark.parametrize("repeats, small", [(False, True), (True, True), (True, False)])
+def test_answers_are_found_by_key_not_by_vector(spark, monkeypatch, repeats, small):
+    """Only vectors that are there more than once may be shuffled to meet their equals."""
+    x = np.random.default_rng(8).normal(size=(300, 5))
+    if repeats:
+        x[20:32] = x[10]
+        x[40:43] = 0.0
+        x[41, 2] = -0.0
+    if not small:
+        monkeypatch.setattr(N, "BROADCAST_BYTES", 0)
+    df = frame(spark, x, np.arange(300) % 3 == 0)
+    near = N.nearest_neighbors(df, "key", "vector", 4, ["label"], F.col("label") == 1, block_rows=20, few_bytes=0)
+    assert answer(near) == brute(x, 4, range(0, 300, 3))
+    if not repeats:
+        plan = near.select("key", "neighbors")._jdf.queryExecution().executedPlan().toString()
+        dealt = re.findall(r"hashpartitioning\(.*", plan)
+        assert dealt and not any("vector" in by for by in dealt)
+
+
+def test_a_point_travels_to_few_groups():
+    for size in (20_000, 200_000, 600_000):
+        _, n_blocks, in_group = N._layout(size, N.BLOCK_ROWS, 64)
+        assert -(-n_blocks // in_group) <= 5
+
+
+def test_oversampling_searches_without_carrying_vectors(spark, monkeypatch):
+    """Lists of vectors would travel once for every group; the few that are wanted join at the end."""
+    rng = np.random.default_rng(9)
+    y = (np.arange(240) % 4 == 0).astype(int)
+    df = frame(spark, rng.normal(size=(240, 3)), y)
+    asked, real = [], R.nearest_neighbors
+    monkeypatch.setattr(R, "nearest_neighbors", lambda *a, **b: asked.append(b) or real(*a, **b))
+    made = R.borderline_smote(df)
+    assert made.where("synthetic").count() == 120
+    assert len(asked) == 2 and not any(b.get("with_vectors") for b in asked)

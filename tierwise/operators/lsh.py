@@ -26,9 +26,7 @@ from tierwise.functions.hashing import order_hash
 from tierwise.functions.lineage import checkpointed
 from tierwise.operators.neighbors import (
     CHUNK_PAIRS,
-    GROUP_BYTES,
     GROUP_ROWS,
-    MIN_GROUPS,
     _key_rank,
     _lists,
     _matrix,
@@ -40,6 +38,8 @@ from tierwise.operators.neighbors import (
 )
 
 TABLES = 16
+PART_BYTES = 48 << 20  # vectors of a part of the points
+MIN_SLICES = 8
 SLICE_ROWS = 1 << 16  # queries of a slice
 SLICE_CODES = 1 << 23  # codes that the queries of a slice look at in one table
 
@@ -118,9 +118,9 @@ def _hosts(points: DataFrame, key: str, vector: str, k: int, carry: Sequence[str
 
 def _cells(size: int, width: int, hashing: Hashing) -> tuple[int, int]:
     """Parts of the points, and slices of the queries."""
-    part = min(GROUP_ROWS, max(1, GROUP_BYTES // (8 * max(1, width))))
+    part = min(GROUP_ROWS, max(1, PART_BYTES // (8 * max(1, width))))
     slice_rows = max(1, min(part, SLICE_ROWS, SLICE_CODES // hashing.probes))
-    return max(1, math.ceil(size / part)), max(MIN_GROUPS, math.ceil(size / slice_rows))
+    return max(1, math.ceil(size / part)), max(MIN_SLICES, math.ceil(size / slice_rows))
 
 
 class _Best:
