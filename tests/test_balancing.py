@@ -427,3 +427,64 @@ def test_oversampling_searches_without_carrying_vectors(spark, monkeypatch):
     made = R.borderline_smote(df)
     assert made.where("synthetic").count() == 120
     assert len(asked) == 2 and not any(b.get("with_vectors") for b in asked)
+
+
+def _peak(work):
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1] / 2**20
+    finally:
+        tracemalloc.stop()
+
+
+SOME_ROWS = T.StructType(
+    [
+        T.StructField("key", T.LongType()),
+        T.StructField("vector", T.ArrayType(T.DoubleType())),
+        T.StructField("label", T.IntegerType()),
+    ]
+)
+
+
+def _some_rows(x, at=0):
+    return {
+        "key": pa.array(np.arange(at, at + len(x))),
+        "vector": pa.array(list(x), pa.list_(pa.float64())),
+        "label": pa.array(np.zeros(len(x), np.int32)),
+    }
+
+
+def test_a_scan_works_on_the_lists_of_few_queries_at_a_time(monkeypatch):
+    """Beside the lists that are kept (24 bytes an entry), memory doesn't grow with the queries."""
+    monkeypatch.setattr("pyspark.TaskContext.get", lambda: type("Task", (), {"partitionId": lambda self: 3})())
+    rng = np.random.default_rng(12)
+    q, k = rng.normal(size=(24_000, 4)), 11
+    parts = [rng.normal(size=(400, 4)) for _ in range(3)]
+    batches = [pa.RecordBatch.from_pydict(_some_rows(x, 400 * i)) for i, x in enumerate(parts)]
+    out = []
+    assert _peak(lambda: out.extend(N._scan_for(N._Shape(SOME_ROWS, ["label"], False), q, k)(batches))) < 20
+    got = pa.Table.from_batches(out)
+    assert got.column("_q").to_pylist() == list(range(24_000)) and set(got.column("_part").to_pylist()) == {3}
+    x = np.concatenate(parts)
+    for i in (0, 4095, 4096, 23_999):
+        want = np.argsort(((x - q[i]) ** 2).sum(axis=1), kind="stable")[:k]
+        assert [e["key"] for e in got.column("neighbors")[i].as_py()] == want.tolist()
+
+
+def test_a_group_answers_some_visitors_at_a_time():
+    rng = np.random.default_rng(13)
+    n, k = 60_000, 11
+    q, c = rng.normal(size=(n, 4)), rng.normal(size=(300, 4))
+    hosts = pa.table(_some_rows(c) | {"block": pa.array(np.arange(300, dtype=np.int32) // 100)})
+    blocks = pa.array([[]] * (n - 1) + [[0, 2]], pa.list_(pa.int32()))
+    visitors = pa.table(_some_rows(q, 1000) | {"bound": pa.array(np.full(n, np.inf)), "blocks": blocks}).drop(["label"])
+    answer, out = N._visit(N._Shape(SOME_ROWS, ["label"], False), k), []
+    assert _peak(lambda: out.append(answer(visitors, hosts))) < 60
+    assert out[0].column("key").to_pylist() == list(range(1000, 1000 + n))
+    for i in (0, 16_383, 16_384, n - 1):
+        near = ((c - q[i]) ** 2).sum(axis=1)
+        if i == n - 1:
+            near[100:200] = np.inf
+        assert [e["key"] for e in out[0].column("neighbors")[i].as_py()] == np.argsort(near, kind="stable")[:k].tolist()
+    assert answer(visitors.slice(0, 0), hosts).num_rows == 0
